@@ -1,10 +1,17 @@
 """The registered queries of the operators, and their SQL where SQL can express them."""
 
 from .decontaminate import OP5_SQL, op5_decontaminate
+from .packing import op10_pack
+from .quality_rules import OP1_SQL, op1_quality_rules
+from .tokens import op3_token_counts
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op3_token_counts": op3_token_counts,
     "op5_decontaminate": op5_decontaminate,
+    "op10_pack": op10_pack,
 }
 ORACLES = {
+    "op1_quality_rules": OP1_SQL,
     "op5_decontaminate": OP5_SQL,
 }
