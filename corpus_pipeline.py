@@ -1,8 +1,59 @@
-"""The corpus pipeline: quality, near duplicates, leakage, personal data, packing."""
+"""The corpus pipeline: quality, near duplicates, leakage, personal data, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; the tables `labels` and `benchmark`
+come from sf_dir. All but the last return the columns of `documents`.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docsink.llm.common import table, written
+from docsink.llm.decontaminate import build_index, search
+from docsink.llm.near_duplicates import near_duplicates
+from docsink.llm.packing import pack_documents
+from docsink.llm.personal_data import redact, train
+from docsink.llm.quality_model import quality
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    kept = quality(spark, docs, table(spark, sf_dir, "labels")).where("predicted = 1").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi")
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least doc_id, of each class of near duplicates."""
+    firsts = near_duplicates(spark, docs).where("doc_id = class_id").select("doc_id").distinct()
+    return docs.join(firsts, "doc_id", "left_semi")
+
+
+def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any passage of a benchmark item."""
+    index = written(spark, build_index(docs), "index")
+    hit = search(index, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select("doc_id")
+    return docs.join(hit, "doc_id", "left_anti")
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; n_chars follows the text."""
+    clean = redact(docs, train(docs))
+    return clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else clean
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all documents' pieces in sequences."""
+    return pack_documents(spark, docs)
+
+
+STAGES = [("quality", good), ("near duplicates", distinct), ("decontamination", unleaked), ("personal data", private), ("packing", packed)]
+#: The classifier, the near duplicates' sketches and the packing can't be expressed in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(spark, stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
