@@ -1 +1,41 @@
+"""The column functions of the operators, for use in expressions."""
 
+from ..operators.checks import key_reason, missing_required, object_reason
+from ..operators.outcome import error_class
+from ..operators.project import (
+    doc_id_from_key,
+    doc_id_from_position,
+    doc_id_generated,
+    event_time_from_field,
+    event_time_from_record,
+    event_time_of_json,
+    normalise,
+    record_position,
+    to_document,
+    version_from_header,
+    version_from_offset,
+    write_op,
+)
+from ..operators.route import route_by_time, route_index, route_stream
+
+__all__ = [
+    "doc_id_from_key",
+    "doc_id_from_position",
+    "doc_id_generated",
+    "error_class",
+    "event_time_from_field",
+    "event_time_from_record",
+    "event_time_of_json",
+    "key_reason",
+    "missing_required",
+    "normalise",
+    "object_reason",
+    "record_position",
+    "route_by_time",
+    "route_index",
+    "route_stream",
+    "to_document",
+    "version_from_header",
+    "version_from_offset",
+    "write_op",
+]

@@ -1 +1 @@
-
+"""Streams of changes."""
