@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import table, texts_of, written
-from .tokens import Pieces, _text_blocks, ids_of, packed, vocabulary_path
+from .tokens import Pieces, _text_blocks, ids_of, vocabulary_path
 
 CAPACITY = 2048
 #: A length's ranks are made in this many parts, so that a very common length is no single task.
@@ -32,7 +32,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _piecer(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path, packed)
+        pieces = Pieces(path, ids=True)
         for doc_ids, texts, _ in _text_blocks(batches):
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, ids in zip(doc_ids.to_pylist(), ids_of(texts, pieces), strict=True):

@@ -74,8 +74,16 @@ def unplaned(own: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(own, np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
 
 
-def _keyed(parts: int):
+def even_numbers(spark: SparkSession, parts: int) -> np.ndarray:
+    """A number for each of `parts` partitions that repartition(parts, number) deals to that one."""
+    dealt = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts))
+    rows = spark.range(32 * parts + 200).groupBy(dealt.alias("p")).agg(F.min("id").alias("id")).collect()
+    return np.array([r["id"] for r in rows], np.int32)
+
+
+def _keyed(numbers: np.ndarray):
     """For each part that keys are dealt to, the runs of a batch, sorted by key, as differences."""
+    parts = len(numbers)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(2 * BLOCK_BYTES)
@@ -88,7 +96,7 @@ def _keyed(parts: int):
             part = np.sort(part)
             first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
             cut = [runs[a:b] for a, b in zip(first, np.append(first[1:], len(runs)), strict=True)]
-            columns = [pa.array(part[first].astype(np.int32))]
+            columns = [pa.array(numbers[part[first].astype(np.int64)])]
             columns += [pa.array([planes(f(x)) for x in cut], pa.binary()) for f in (lambda x: np.diff(x["key"], prepend=np.uint64(0)), lambda x: x["doc"].copy(), lambda x: x["at"].copy(), lambda x: x["n"].astype(np.uint8))]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "keys", "docs", "at", "n"])
 
@@ -339,7 +347,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, at, n): n neighbouring 100-byte windows of a document, from byte `at`, that also start earlier."""
     texts = texts_of(docs)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_keyed(parts), "part int, keys binary, docs binary, at binary, n binary")
+    keyed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_keyed(even_numbers(spark, parts)), "part int, keys binary, docs binary, at binary, n binary")
     runs = keyed.repartition(parts, "part").mapInArrow(_repeated, "doc_id long, key long, at int, n int")
     by_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n")).alias("runs"))  # a document's own runs
     fragments = texts.join(by_doc, "doc_id").select("doc_id", "text", "runs").mapInArrow(_cut, FRAGMENTS)

@@ -45,23 +45,39 @@ def pre_tokens(text: str) -> list[str] | None:
 
 
 class Pieces:
-    """The distinct pre-tokens that a task has met, with what `keep` makes of their ids."""
+    """The distinct pre-tokens that a task has met: how many pieces each has, or with `ids` their ids as packed bytes."""
 
-    def __init__(self, path: str, keep):
+    def __init__(self, path: str, ids: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
+        self.tokenizer, self.ids, self.known = Tokenizer.from_file(path), ids, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # the last piece of a pre-token says so
+        self.ends[[k for piece, k in vocabulary.items() if piece.endswith("</w>")]] = True
+
+    def encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, wanted: set[str]) -> None:
+        """The new ones go through the tokenizer as one text, which is cut at the ends of pre-tokens."""
         new = list(wanted.difference(self.known))
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = list(wanted)
-        self.known.update(zip(new, (self.keep(x.ids) for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        ids = self.encoded(" ".join(new))
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(new):
+            raise ValueError("this vocabulary does not mark the ends of pre-tokens")
+        if self.ids:
+            own, stops = ids.tobytes(), [0, *(4 * stops).tolist()]
+            self.known.update(zip(new, [own[i:j] for i, j in zip(stops, stops[1:])], strict=True))
+        else:
+            self.known.update(zip(new, np.diff(stops, prepend=0).tolist(), strict=True))
 
-    def whole(self, text: str):
-        return self.keep(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def whole(self, text: str) -> int | bytes:
+        ids = self.encoded(text)
+        return ids.tobytes() if self.ids else len(ids)
 
 
 def _text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str], np.ndarray]]:
@@ -73,7 +89,7 @@ def _text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array,
 
 def _counter(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path, len)
+        pieces = Pieces(path)
         for ids, texts, sizes in _text_blocks(batches):
             frequencies = [None if (x := pre_tokens(t)) is None else Counter(x) for t in texts]
             pieces.learn(set().union(*filter(None, frequencies)))
@@ -94,16 +110,12 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
 
 
 def ids_of(texts: list[str], pieces: Pieces) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit numbers. pieces keeps `packed`."""
+    """Each text's ids as little-endian unsigned 32-bit numbers, by pieces with `ids`."""
     cut = [pre_tokens(t) for t in texts]
     pieces.learn(set().union(*filter(None, cut)))
     known = pieces.known
     return [pieces.whole(t) if c is None else b"".join([known[x] for x in c]) for t, c in zip(texts, cut, strict=True)]
 
 
-def packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
-
-
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))

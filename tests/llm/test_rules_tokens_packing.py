@@ -75,17 +75,17 @@ def test_pre_tokens_are_the_tokenizers(tokenizer):
 
     r = random.Random(1)
     signs = "abzABZ019 '\t\n.,!-<|>%$éßÀÿµªº²¼½¾«»×÷'s't're've'm'll'd"
-    pieces = tokens.Pieces(tokens.vocabulary_path(), tokens.packed)
+    pieces = tokens.Pieces(tokens.vocabulary_path(), ids=True)
     texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 60))) for _ in range(3000)]
     for t, own in zip(texts, tokens.ids_of(texts, pieces), strict=True):
-        assert own == tokens.packed(tokenizer.encode(t, add_special_tokens=False).ids), t
+        assert own == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
 
 def test_remembered_pre_tokens_begin_anew(monkeypatch, tokenizer):
     monkeypatch.setattr(tokens, "REMEMBERED", 5)
-    pieces = tokens.Pieces(tokens.vocabulary_path(), tokens.packed)
+    pieces = tokens.Pieces(tokens.vocabulary_path(), ids=True)
     for t in ("one two three four", "five six seven one two", "one nine"):
-        assert tokens.ids_of([t], pieces) == [tokens.packed(tokenizer.encode(t, add_special_tokens=False).ids)]
+        assert tokens.ids_of([t], pieces) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]
 
 
 def check_packed(rows, texts, tokenizer, capacity):
