@@ -58,12 +58,12 @@ def missing_required(col: Column, kind: T.DataType) -> Column:
             if meta.get("required") and meta.get("default") is None:
                 found = found | col[f.name].isNull()
             if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-                found = found | (col[f.name].isNotNull() & missing_required(col[f.name], f.dataType))
+                found = found | missing_required(col[f.name], f.dataType)
     elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType, T.MapType)):
-        found = F.exists(col, lambda x: F.coalesce(missing_required(x, kind.elementType), F.lit(False)))
+        found = F.exists(col, lambda x: missing_required(x, kind.elementType))
     elif isinstance(kind, T.MapType) and isinstance(kind.valueType, (T.StructType, T.ArrayType, T.MapType)):
-        found = F.exists(F.map_values(col), lambda x: F.coalesce(missing_required(x, kind.valueType), F.lit(False)))
-    return F.coalesce(found, F.lit(False))
+        found = F.exists(F.map_values(col), lambda x: missing_required(x, kind.valueType))
+    return col.isNotNull() & F.coalesce(found, F.lit(False))
 
 
 def tag(changes: DataFrame, options) -> DataFrame:
@@ -89,7 +89,7 @@ def tag(changes: DataFrame, options) -> DataFrame:
     elif options.is_stream:
         require_object(kind, options.compact_map_entries)
     if isinstance(kind, T.StructType) and not options.schema_ignore:
-        reason = F.coalesce(reason, F.when(F.col("value").isNotNull() & missing_required(F.col("value"), kind), MISSING))
+        reason = F.coalesce(reason, F.when(missing_required(F.col("value"), kind), MISSING))
     return changes.withColumn("reason", reason)
 
 
