@@ -68,9 +68,8 @@ def mapping_json(schema: T.StructType, compact: bool = True) -> str:
     return json.dumps(field_mapping(schema, compact))
 
 
-def mapping_table(spark: SparkSession, schema: T.StructType, compact: bool = True) -> DataFrame:
-    """(path, type, keyword_ignore_above, null_value), one row for each field, objects before their fields."""
-    rows = []
+def mapping_rows(schema: T.StructType, compact: bool = True) -> list[tuple]:
+    rows: list[tuple] = []
 
     def walk(own: dict, path: str) -> None:
         if path:
@@ -81,7 +80,19 @@ def mapping_table(spark: SparkSession, schema: T.StructType, compact: bool = Tru
             walk(inner, f"{path}.{name}" if path else name)
 
     walk(field_mapping(schema, compact), "")
-    return spark.createDataFrame(rows, ROWS)
+    return rows
+
+
+def mapping_table(spark: SparkSession, schema: T.StructType, compact: bool = True) -> DataFrame:
+    """(path, type, keyword_ignore_above, null_value), one row for each field, objects before their fields."""
+    return spark.createDataFrame(mapping_rows(schema, compact), ROWS)
+
+
+def mappings_of(targets: DataFrame, schema: T.StructType, compact: bool = True) -> DataFrame:
+    """The rows of mapping_table for each resource."""
+    names = [x.split()[0] for x in ROWS.split(", ")]
+    rows = [F.struct(*(F.lit(v).cast(k.split()[1]).alias(n) for v, k, n in zip(r, ROWS.split(", "), names, strict=True))) for r in mapping_rows(schema, compact)]
+    return targets.select("resource", F.explode(F.array(*rows)).alias("m")).select("resource", "m.*")
 
 
 def unmapped(targets: DataFrame, mapped: DataFrame) -> DataFrame:

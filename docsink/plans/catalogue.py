@@ -142,13 +142,10 @@ def rejected_records(spark, sf_dir):
     return checks.rejects(checks.tag(event_changes(table(spark, sf_dir, "events")), Options(null_policy="ignore"))).select("position", "reason")
 
 
-@query("""
-SELECT processed, reported, fatal, count(*) AS n FROM (
-  SELECT CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS TINYINT) IS NULL AND json_extract_string(props, '$.k') IS NOT NULL THEN true END AS bad FROM events)
-  CROSS JOIN (VALUES (true, true, false)) v(processed, reported, fatal) WHERE bad GROUP BY ALL""")
+@query("SELECT true AS processed, true AS reported, false AS fatal, count(*) AS n FROM events WHERE event_type IN ('error', 'view')")
 def conformance_split(spark, sf_dir):
-    docs = table(spark, sf_dir, "events").select(F.col("props").alias("doc"))
-    _, reported = checks.malformed(checks.conforms(docs, {"k": "tinyint"}), "warn")
+    doc = F.when(F.col("event_type") == "error", '{"k":"text"}').when(F.col("event_type") == "view", '{"other":1}').otherwise(F.col("props"))
+    _, reported = checks.malformed(checks.conforms(table(spark, sf_dir, "events").select(doc.alias("doc")), {"k": "bigint"}), "warn")
     return reported.groupBy("processed", "reported", "fatal").agg(F.count("*").alias("n"))
 
 
@@ -353,10 +350,11 @@ def doc_counts(spark, sf_dir):
 # Mapping
 
 
-@query("""SELECT * FROM (VALUES ('doc_id', 'long', NULL, NULL), ('text', 'text', 256, NULL), ('lang', 'text', 256, NULL), ('source', 'text', 256, NULL), ('n_chars', 'long', NULL, NULL))
+@query("""SELECT resource, m.* FROM (SELECT DISTINCT lower(source) AS resource FROM documents), (VALUES ('doc_id', 'long', NULL, NULL), ('text', 'text', 256, NULL), ('lang', 'text', 256, NULL), ('source', 'text', 256, NULL), ('n_chars', 'long', NULL, NULL))
 m(path, type, keyword_ignore_above, null_value)""")
 def mapping_rows(spark, sf_dir):
-    return mapping.mapping_table(spark, table(spark, sf_dir, "documents").schema)
+    docs = table(spark, sf_dir, "documents")
+    return mapping.mappings_of(route.targets(docs.select(route.route_index(F.col("source")).alias("resource"))), docs.schema)
 
 
 @query("SELECT event_type AS resource, 'k' AS field, count(*) AS n FROM events WHERE json_type(props, '$.k') IS NOT NULL GROUP BY 1")
