@@ -19,7 +19,7 @@ from .common import blocks, held_out, table, texts_of, utf8, written
 
 THRESHOLD = 0.7
 #: Shares of the pooled covariance and of the diagonal in a class's covariance.
-POOLED, DIAGONAL = 0.1, 0.05
+POOLED, DIAGONAL = 0.7, 0.0
 #: Added to each variance: measures that never vary have a scale too.
 RIDGE = 1e-3
 BLOCK_BYTES = 1 << 20
