@@ -24,7 +24,7 @@ FEATURES = 4096
 SIZES = (3, 4, 5, 6)
 BITS = 20
 SMOOTHING, LEAST_DOCS = 0.5, 4
-RIDGE, STEPS, RATE = 2e-3, 300, 0.1
+RIDGE, STEPS, RATE = 2e-4, 300, 0.1
 BLOCK_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
