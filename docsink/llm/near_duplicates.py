@@ -6,8 +6,9 @@ a sketch share several shingles in the same order. Candidates are verified by al
 within the band of diagonals that the threshold allows; the similarity is aligned / (all of both - aligned).
 
 Copies (the same words in order) are one text from the start. In a bucket of texts with equal sketches all are first
-compared with the least one; then texts that the links so far leave in different components are compared with each
-other, so no pair of a bucket is left out but those that are connected already.
+compared with the least one. Where that leaves a bucket's texts in several components, they meet in a task that
+counts their common shingles and aligns the pairs that may be similar, so no pair of a bucket is left out but those that are
+connected already, and pairs are no rows.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ SIMILARITY = 0.8
 #: At 0.8, two texts miss each of SKETCHES sketches with probability 1 - 0.8^ORDERED: all with under 1e-5.
 SKETCHES, ORDERED = 24, 4
 BLOCK_BYTES = 1 << 20
+#: Texts of a bucket that meet in one task, about, and as many again from another part; a larger bucket is dealt out in pairs of parts.
+TOGETHER = 2000
 #: Numbers in one table of orders by shingles, about.
 TABLE = 1 << 21
 SEEDS = splitmix(np.arange(SKETCHES, dtype=np.uint64) + np.uint64(77))[:, None]
@@ -145,6 +148,62 @@ def _verifier(least: float):
     return verify
 
 
+def links_among(docs: list[int], roots: list[int], own: list[np.ndarray], least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Links that join texts of different roots, until no two similar texts are apart. own: their labelled shingles.
+
+    How many labelled shingles a text has in common with each of the others comes from lists of the texts by shingle; it
+    bounds what can be aligned, so only pairs that may be similar and are still apart are aligned.
+    """
+    sizes = np.array([len(x) for x in own])
+    numbers = np.unique(np.concatenate(own), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(own)), sizes)
+    order = np.argsort(numbers, kind="stable")
+    by_shingle, at = owner[order], np.searchsorted(numbers[order], np.arange(numbers.max() + 2))
+    first = np.append(0, np.cumsum(sizes))
+    parent = {r: r for r in roots}
+
+    def find(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    out = []
+    for x in range(1, len(own)):
+        mine = numbers[first[x] : first[x + 1]]
+        starts, n = at[mine], at[mine + 1] - at[mine]
+        listed = np.repeat(starts - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+        common = np.bincount(by_shingle[listed], minlength=len(own))[:x]
+        for y in np.flatnonzero(common >= least * (sizes[:x] + sizes[x] - common) - 1e-9).tolist():
+            a, b = find(roots[x]), find(roots[y])
+            if a != b and similar(own[x], own[y], least):
+                parent[max(a, b)] = min(a, b)
+                out.append((docs[x], docs[y]))
+    return out
+
+
+def _linker(least: float):
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, docs, roots, own = None, [], [], []
+
+        def close() -> pa.RecordBatch:
+            found = links_among(docs, roots, own, least) if len(docs) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for *k, doc, root, words in zip(*(batch.column(c).to_pylist() for c in ("bucket", "low", "high", "doc", "root", "words")), strict=True):
+                if k != key:
+                    if key:
+                        yield close()
+                    key, docs, roots, own = k, [], [], []
+                docs.append(doc)
+                roots.append(root)
+                own.append(shingles(np.frombuffer(words, np.uint32)))
+        if key:
+            yield close()
+
+    return linked
+
+
 def verified(pairs: DataFrame, words: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """pairs (a, b) with ok. words: (doc_id, words)."""
     both = pairs.join(words.select(F.col("doc_id").alias("a"), F.col("words").alias("a_words")), "a").join(words.select(F.col("doc_id").alias("b"), F.col("words").alias("b_words")), "b")
@@ -174,16 +233,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     linked = written(spark, verified(stars, words, least).where("ok").select("a", "b"), "linked")
     roots = written(spark, components(spark, linked), "roots")
 
-    # Buckets whose texts are in several components; all pairs there between components, from outside the largest one.
+    # Buckets whose texts are in several components, each set of texts once: there all of them meet, in the tasks.
     placed = members.select("bucket", "doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    major = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("bucket", F.col("m.root").alias("major"))
-    open_ = written(spark, placed.join(major, "bucket"), "open")
-    x = open_.where("root <> major").select("bucket", F.col("doc").alias("x"), F.col("root").alias("x_root"))
-    y = open_.select("bucket", F.col("doc").alias("y"), F.col("root").alias("y_root"), (F.col("root") == F.col("major")).alias("in_major"))
-    crossed = x.join(y, "bucket").where((F.col("x_root") != F.col("y_root")) & (F.col("in_major") | (F.col("x") < F.col("y"))))
-    crossed = crossed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = written(spark, verified(crossed, words, least).where("ok").select("a", "b"), "linked")
+    mixed = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), F.bit_xor(F.xxhash64("doc")).alias("texts")).where("least <> most")
+    mixed = mixed.groupBy("n", "texts").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / TOGETHER).cast("int").alias("parts"))
+    dealt = placed.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("doc"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc", "root").join(words.select(F.col("doc_id").alias("doc"), "words"), "doc")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    linking = dealt.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "doc").select("bucket", "low", "high", "doc", "root", "words").mapInArrow(_linker(least), "a long, b long")
+    more = written(spark, linking, "linked")
     if more.limit(1).count():
         roots = components(spark, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     return signed.select("doc_id", "copy_key").join(copies, "copy_key").join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left").select("doc_id", F.coalesce("root", "text_id").alias("class_id"))

@@ -198,7 +198,9 @@ def brute_classes(docs):
     return {d: find(d) for d, _ in docs}
 
 
-def test_near_duplicates_by_brute_force(spark):
+@pytest.mark.parametrize("together", [2000, 7])
+def test_near_duplicates_by_brute_force(spark, monkeypatch, together):
+    monkeypatch.setattr(near_duplicates, "TOGETHER", together)
     r = random.Random(9)
     docs = []
     for i in range(40):
@@ -209,6 +211,10 @@ def test_near_duplicates_by_brute_force(spark):
                 k = r.randrange(len(words))
                 words[k : k + r.randint(0, 1)] = [r.choice(["new", "other", words[k]])]
             docs.append((len(docs) * 3 + 1, " ".join(words)))
+    drift = prose(66, 150).split()
+    for i in range(60):  # each is near the one before, but not the first
+        drift[r.randrange(150)] = f"w{i}"
+        docs.append((4000 + i, " ".join(drift)))
     shared = prose(77, 60)
     docs += [(5000 + i, prose(300 + i, 100) + " " + shared) for i in range(20)]
     docs += [(9000, None), (9001, ""), (9002, "a b"), (9003, "A, b"), (9004, "!!!"), (9005, "???"), (9006, "one two three four five"), (9007, "one two three four five")]
