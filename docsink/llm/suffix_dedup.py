@@ -134,7 +134,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, begin = utf8(batch.column("text"))
         runs = batch.column("runs")
         flat = runs.flatten()
-        ends = np.append(0, np.cumsum(runs.value_lengths().to_numpy(zero_copy_only=False)))
+        ends = np.append(0, np.cumsum(runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
         keys, ats, ns = (flat.field(k).to_pylist() for k in ("key", "at", "n"))
         for r, doc in enumerate(ids):
             own = data[begin[r] : begin[r + 1]].tobytes()
@@ -350,7 +350,9 @@ def repeated_strings(spark: SparkSession, docs: DataFrame) -> DataFrame:
     keyed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_keyed(even_numbers(spark, parts)), "part int, keys binary, docs binary, at binary, n binary")
     runs = keyed.repartition(parts, "part").mapInArrow(_repeated, "doc_id long, key long, at int, n int")
     by_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n")).alias("runs"))  # a document's own runs
-    fragments = texts.join(by_doc, "doc_id").select("doc_id", "text", "runs").mapInArrow(_cut, FRAGMENTS)
+    # A left join, and a condition that keeps it one, so that dedup()'s join reuses the same exchange of the texts.
+    with_runs = texts.join(by_doc, "doc_id", "left").where("runs is not null or doc_id is null").select("doc_id", "text", "runs")
+    fragments = with_runs.mapInArrow(_cut, FRAGMENTS)
     return fragments.repartition(parts, "key").sortWithinPartitions("key", "fragment", "doc", "at").mapInArrow(_mark, "doc_id long, at int, n int")
 
 
