@@ -32,24 +32,30 @@ BLOCK_BYTES = 1 << 20
 COLLECTION, GROUP = 8_000, 40_000
 #: Columns of more bytes lie in files.
 EXTERNAL_BYTES = 8 << 20
+#: A fragment's byte for its number of windows says with this bit that its key's gram is in it twice.
+TWICE = 128
 RUN = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("n", "<i4")])
 
 
-def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
-    """Least of each `width` neighbours."""
+def sliding(x: np.ndarray, width: int, least=np.minimum) -> np.ndarray:
+    """Least (or with np.maximum greatest) of each `width` neighbours."""
     own, have = x, 1
     while 2 * have <= width:
-        own, have = np.minimum(own[:-have], own[have:]), 2 * have
-    return np.minimum(own[: len(x) - width + 1], own[width - have :]) if have < width else own
+        own, have = least(own[:-have], own[have:]), 2 * have
+    return least(own[: len(x) - width + 1], own[width - have :]) if have < width else own
 
 
 def runs_of(data: np.ndarray, at: np.ndarray, ids: np.ndarray, hasher: SpanHash) -> np.ndarray:
-    """RUN records: neighbouring windows of a text (a row of data) that have one key."""
+    """RUN records: neighbouring windows of a text (a row of data) that have one key.
+
+    Equal windows within one run have its key's gram at two places: such runs get TWICE added to n.
+    """
     if len(data) < LENGTH:
         return np.zeros(0, RUN)
     sums = hasher.prefix(data)
     places = np.arange(len(data) - GRAM + 1)
-    least = sliding_least(splitmix((sums[GRAM:] - sums[:-GRAM]) * hasher.down[places]), MOST)
+    hashed = splitmix((sums[GRAM:] - sums[:-GRAM]) * hasher.down[places])
+    least = sliding(hashed, MOST)
     row = np.repeat(np.arange(len(ids)), np.diff(at))[: len(least)]
     own = np.flatnonzero(np.arange(len(least)) + LENGTH <= at[row + 1])
     if not len(own):
@@ -60,7 +66,15 @@ def runs_of(data: np.ndarray, at: np.ndarray, ids: np.ndarray, hasher: SpanHash)
     within = np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))
     first = np.flatnonzero(within % MOST == 0)
     out = np.zeros(len(first), RUN)
-    out["key"], out["doc"], out["at"], out["n"] = key[first], ids[row[first]], own[first] - at[row[first]], np.diff(np.append(first, len(own)))
+    n = np.diff(np.append(first, len(own)))
+    # Grams that are the least of a window about them; of these, how many in a run's reach are its key's.
+    chosen = np.flatnonzero(sliding(np.pad(least, MOST - 1), MOST, np.maximum) == hashed)
+    low, high = np.searchsorted(chosen, own[first]), np.searchsorted(chosen, own[first] + n + MOST - 1)
+    times = np.zeros(len(first), np.int64)
+    for k in range(int((high - low).max())):
+        r = np.flatnonzero(low + k < high)
+        times[r] += hashed[chosen[low[r] + k]] == key[first[r]]
+    out["key"], out["doc"], out["at"], out["n"] = key[first], ids[row[first]], own[first] - at[row[first]], n + TWICE * (times > 1)
     return out
 
 
@@ -104,7 +118,7 @@ def _keyed(numbers: np.ndarray):
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All runs whose key comes twice or more in this part (all runs of a key are in one part)."""
+    """All runs whose key comes in two runs or twice in one (all runs of a key are in one part)."""
     got: list[list[np.ndarray]] = [[], [], [], []]
     for batch in batches:
         for name, kind, to in zip(("keys", "docs", "at", "n"), ("<u8", "<i8", "<i4", "<u1"), got, strict=True):
@@ -116,7 +130,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.argsort(key, kind="stable")
     ranked = key[order]
     same = ranked[1:] == ranked[:-1]
-    order = order[np.append(same, False) | np.append(False, same)]
+    order = order[np.append(same, False) | np.append(False, same) | (n[order] >= TWICE)]
+    n = n % TWICE
     order = order[np.argsort(doc[order], kind="stable")]
     for k in range(0, len(order), 50_000):
         o = order[k : k + 50_000]
@@ -185,10 +200,11 @@ def transform(strings: list[bytes], folder: str | None = None) -> tuple[np.ndarr
     files, m = Columns(folder), len(strings)
     sizes = np.array([len(s) for s in strings])
     text = np.frombuffer(b"".join(strings), np.uint8)
+    # Symbols are the bytes that occur, numbered from 1 in their order; 0 is a string's begin.
+    codes = np.cumsum(np.bincount(text, minlength=256) > 0)
+    text = codes.astype(np.uint8 if codes[-1] < 256 else np.uint16)[text]
     ends = np.cumsum(sizes)
-    owner, length = np.arange(m, dtype=np.int32), np.zeros(m, np.uint8)
-    # Symbols are bytes plus 1; 0 is a string's begin.
-    bwt, lcp = np.where(sizes > 0, text[np.maximum(ends - 1, 0)].astype(np.uint16) + 1, 0).astype(np.uint16) if len(text) else np.zeros(m, np.uint16), np.zeros(m, np.uint8)
+    bwt, lcp = np.where(sizes > 0, text[np.maximum(ends - 1, 0)], 0).astype(text.dtype) if len(text) else np.zeros(m, np.uint8), np.zeros(m, np.uint8)
     place, active = np.arange(m), np.flatnonzero(sizes > 0)
     t = 0
     while len(active):
@@ -215,19 +231,37 @@ def transform(strings: list[bytes], folder: str | None = None) -> tuple[np.ndarr
         old[new] = False
         grown = []
         left = sizes[active] > t
-        symbols = np.where(left, text[np.maximum(ends[active] - t - 1, 0)].astype(np.uint16) + 1, 0)
-        for x, own in ((bwt, symbols), (lcp, low), (owner, active), (length, np.full(len(at), t))):
+        symbols = np.where(left, text[np.maximum(ends[active] - t - 1, 0)], 0)
+        for x, own in ((bwt, symbols), (lcp, low)):
             y = np.empty(len(old), x.dtype)
             y[old] = x
             y[new] = own
             grown.append(y)
-        bwt, lcp, owner, length = grown
+        bwt, lcp = grown
         follows = has_after & old[np.minimum(new + 1, len(old) - 1)]
         lcp[new[follows] + 1] = high[follows]
-        bwt, lcp, owner, length = (files.keep(n, x) for n, x in (("bwt", bwt), ("lcp", lcp), ("owner", owner), ("length", length)))
+        bwt, lcp = files.keep("bwt", bwt), files.keep("lcp", lcp)
         place[active] = new
         active = active[left]
-    return owner, length, lcp
+    return *suffixes_of(bwt, sizes), lcp
+
+
+def suffixes_of(bwt: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of a transform its suffix's string and length, by going through all strings at once from their ends."""
+    m, rank = len(sizes), np.empty(len(bwt), np.int64)
+    rank[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
+    begun = int((np.asarray(bwt) == 0).sum())
+    owner, length = np.empty(len(bwt), np.int32), np.zeros(len(bwt), np.uint8)
+    owner[:m] = np.arange(m)
+    place, active, t = np.arange(m), np.flatnonzero(sizes > 0), 0
+    place = place[active]
+    while len(active):
+        t += 1
+        place = m + rank[place] - begun
+        owner[place], length[place] = active, t
+        on = sizes[active] > t
+        active, place = active[on], place[on]
+    return owner, length
 
 
 def marked(strings: list[bytes], docs: np.ndarray, ats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -102,6 +102,8 @@ def corpus():
             words[len(words) // 2] = "changed"
             text = " ".join(words)
         docs.append((r.randint(0, 10**6) * 200 + i, text))
+    for i, (unit, n) in enumerate([("Shti ", 22), ("Shti ", 30), ("Und so ", 15), ("die ", 26), ("x", 101), ("lorem ipsum dolor sit amet, ", 5), ("q", 100)]):
+        docs.append((1000 + i, prose(800 + i, 12) + " " + unit * n + prose(850 + i, 9)))  # repeats within one run
     docs += [(5, None), (6, ""), (7, "ab" * 300), (8, "q" * 500), (9, "é" * 260), (10, "x" * 99), (11, prose(2, 60) + prose(2, 60)), (3, "abc" * 100 + "ab" * 100 + "abc" * 100)]
     return docs
 
