@@ -81,7 +81,7 @@ def route_stream_names(spark, sf_dir):
 
 
 @query("""
-SELECT resource, count(*) AS n, sum(o_orderkey) AS sum_key FROM orders LEFT JOIN (VALUES ('O', 'open-orders'), ('F', 'done-orders')) m(status, resource) ON status = o_orderstatus GROUP BY resource""")
+SELECT resource, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS sum_key FROM orders LEFT JOIN (VALUES ('O', 'open-orders'), ('F', 'done-orders')) m(status, resource) ON status = o_orderstatus GROUP BY resource""")
 def route_explicit_map(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("topic"), "o_orderkey")
     return route.route_map(orders, {"O": "open-orders", "F": "done-orders"}).groupBy("resource").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("sum_key"))
@@ -155,9 +155,28 @@ def unknown_fields(spark, sf_dir):
     return checks.conforms(docs, {"other": "string"}).select(F.explode("unknown_fields").alias("field")).groupBy("field").agg(F.count("*").alias("n"))
 
 
+@query("""
+SELECT reason, count(*) AS n, min("offset") AS first_offset FROM (
+  SELECT CASE WHEN event_type = 'error' THEN 'null value' WHEN user_id % 7 = 0 THEN 'null key' WHEN event_type = 'view' THEN 'topic without resource' ELSE 'written' END AS reason, event_id AS "offset" FROM events)
+GROUP BY reason""")
+def accepted_and_rejected(spark, sf_dir):
+    """All checks of a job that drops what is invalid: what is written, and what becomes a reject for which reason."""
+    events = event_changes(table(spark, sf_dir, "events"), F.col("event_type")).withColumn("key", F.when(F.col("key") % 7 != 0, F.col("key")))
+    options = Options(null_policy="ignore", drop_invalid=True, use_external_resources=True, topic_resources={t: f"r-{t}" for t in ("signup", "purchase", "click", "error")})
+    tagged = job.tagged(events, options)
+    both = checks.rejects(tagged).select("reason", "offset").unionByName(job.actions(checks.accepted(tagged), options).select(F.lit("written").alias("reason"), "offset"))
+    return both.groupBy("reason").agg(F.count("*").alias("n"), F.min("offset").alias("first_offset"))
+
+
 # Projections
 
 
+@query("SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1")
+def decoded_json(spark, sf_dir):
+    rows = source.as_changes(table(spark, sf_dir, "events"), topic=F.lit("events"), partition=F.lit(0), offset="event_id", key="user_id", value="props")
+    return source.decode_json(rows, "k bigint").groupBy("value.k").agg(F.count("*").alias("n"))
+
+
 @query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name FROM customer")
 def ids_from_key(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(project.doc_id_from_key(F.col("c_custkey")).alias("id"), "c_name")
@@ -357,6 +376,13 @@ def mapping_rows(spark, sf_dir):
     return mapping.mappings_of(route.targets(docs.select(route.route_index(F.col("source")).alias("resource"))), docs.schema)
 
 
+@query("SELECT DISTINCT lower(source) AS resource FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE n_chars > 16000)")
+def unmapped_resources(spark, sf_dir):
+    """Resources that need a mapping and have none yet: here those that have a very long document are mapped."""
+    docs = table(spark, sf_dir, "documents").withColumn("resource", route.route_index(F.col("source")))
+    return mapping.unmapped(docs, docs.where("n_chars > 16000").select("resource").distinct())
+
+
 @query("SELECT event_type AS resource, 'k' AS field, count(*) AS n FROM events WHERE json_type(props, '$.k') IS NOT NULL GROUP BY 1")
 def inferred_fields(spark, sf_dir):
     return mapping.infer_fields(table(spark, sf_dir, "events").select(F.col("event_type").alias("resource"), F.col("props").alias("doc"))).drop("type")
