@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import blocks, held_out, table, texts_of, utf8, written
+from .sampling import thinned
 
 THRESHOLD = 0.3
 #: Labelled rows that the model learns from, at most: those with the smallest hashes of their ids.
@@ -105,7 +106,7 @@ def fit(labels: np.ndarray, row: np.ndarray, feature: np.ndarray, ratio: np.ndar
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
     """index (hash to feature), weights, intercept. The sample's ids, which are broadcast, are at most `sample`."""
     learn = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-    learn = learn.orderBy(F.xxhash64("doc_id"), "label").limit(sample)
+    learn = thinned(learn, F.col("doc_id"), 4 * sample).orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id", "label").limit(sample)
     seen = written(spark, texts_of(docs).join(F.broadcast(learn), "doc_id").repartition(8, "doc_id"), "labelled")
     index, nothing = np.full(1 << BITS, -1, np.int32), np.zeros(0)
     n = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
