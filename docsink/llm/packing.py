@@ -117,7 +117,10 @@ def best_fit(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...]
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of lengths and how many sequences are made of each; together they hold every piece once."""
+    """Patterns of lengths and how many sequences are made of each; together they hold every piece once.
+
+    Where patterns use up the short pieces that single long ones need, best-fit alone can take fewer sequences and is taken.
+    """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
@@ -125,6 +128,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
     if left[capacity]:
         out[(capacity,)] = int(left[capacity])
         left[capacity] = 0
+    whole, alone = dict(out), best_fit(left, capacity)
     rows = patterns(np.flatnonzero(left), capacity)
     if len(rows):
         counts = rounded(fit(rows, left.astype(float)), rows[:, 0])
@@ -137,6 +141,10 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
                     left[x] -= n
     for pattern, n in best_fit(left, capacity):
         out[pattern] += n
+    if sum(whole.values()) + sum(n for _, n in alone) < sum(out.values()):
+        out = defaultdict(int, whole)
+        for pattern, n in alone:
+            out[pattern] += n
     return sorted(out.items())
 
 
