@@ -45,6 +45,23 @@ def test_template_texts_go():
     assert copies["template"] == []
 
 
+def test_ids_and_classes_by_page(spark):
+    rows, want = [], {}
+    for i in range(8):
+        text = prose(i, 60)
+        named = f"<article id='post-{i}' class='post post-{i}' data-id={i}><p>{text}</p></article>"
+        plain = f"<div id='post-{i}' class='entry entry-{i}'><p>{text}</p></div>"
+        rows += [(2 * i + k, f"http://h{k}.org/{i}", f"<html><body><div class='site-info'>By the staff of this site</div>{own}</body></html>") for k, own in enumerate((named, plain))]
+        want |= {2 * i: text, 2 * i + 1: text}
+    got = html_text.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_optional_groups_are_siblings():
+    wrapper = html_text.align(["<div>", "<p>", "#", "</p>", "</div>"], ["<ul>", "<p>", "#", "</p>", "</ul>"])
+    assert set(html_text.slots(wrapper)) == {("div", "p"), ("ul", "p")}
+
+
 def test_folding_and_alignment():
     stream = ["<ul>", "<li>", "#", "</li>", "<li>", "#", "</li>", "<li>", "#", "</li>", "</ul>"]
     folded = html_text.fold(stream)
