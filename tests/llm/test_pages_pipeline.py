@@ -57,6 +57,25 @@ def test_ids_and_classes_by_page(spark):
     assert {r["page_id"]: r["text"] for r in got} == want
 
 
+def test_all_pages_of_a_host_count(spark):
+    """A rare layout, long pages without article elements, and headings that repeat."""
+    rows, want = [], {}
+    for i in range(60):
+        a, b = prose(i, 60), prose(900 + i, 60)
+        if i % 6 == 5:
+            body = f"<div class=story><p>{a}</p></div><div class=panel><p>{prose(i, 20)}</p></div>"
+            want[i] = a
+        elif i % 6 == 4:
+            body = "<div class=body>" + "".join(f"<div id=s{k}><h2>Part {k}</h2><p>{a} {k}</p><ul><li>x{i}</ul><p><b>y{i}</b></p></div>" for k in range(400)) + "</div>"
+            want[i] = " ".join(f"Part {k} {a} {k} x{i} y{i}" for k in range(400))
+        else:
+            body = f"<div class=body><h2>Ingredients</h2><p>{a}</p><p>Serves four.</p><p>{b}</p><p>Subscribe to our letter.</p></div>"
+            want[i] = f"Ingredients {a} Serves four. {b}"
+        rows.append((i, f"http://cook.org/{i}", f"<html><body>{body}</body></html>"))
+    got = html_text.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
 def test_optional_groups_are_siblings():
     wrapper = html_text.align(["<div>", "<p>", "#", "</p>", "</div>"], ["<ul>", "<p>", "#", "</p>", "</ul>"])
     assert set(html_text.slots(wrapper)) == {("div", "p"), ("ul", "p")}
