@@ -110,5 +110,21 @@ def test_personal_data(spark, odd_docs, no_docs):
     assert clean.columns == ["doc_id", "text", "z"] and clean.where("text like '%@site%' or text like '%010-1%'").count() == 0
 
 
+def test_planted_loose_data_is_found_and_redacted(spark):
+    rows = [(i, f"{prose(i, 20)} mail jo.{i}@site{i}.example.com or +1 (555) 010-{1000 + i} from 10.0.{i % 250}.7 card 4539 5787 6362 1486 ok; version 4.{i}.2, isbn 978-3-16-14{i % 10}410-0, id 4539.5787.6362.{1487 + i}") for i in range(120)]
+    model = personal_data.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    planted = {
+        "write to ann.lee [at] mill-pond [dot] org. Then rest": "write to [EMAIL]. Then rest",
+        "jo(at)site.example.net": "[EMAIL]",
+        "paid by card 4539.5787.6362.1486 today": "paid by card [CARD] today",
+        "phone 0044 20 7946 0958 now": "phone [PHONE] now",
+        "tel (555) 010-4477": "tel [PHONE]",
+    }
+    clean = ["version 4.10.2 of it", "isbn 978-3-16-148410-0", "order 4539.5787.6362.1487 sent", "look (at) me. Then go", "on 2024-10-11 at noon", "see 12 34 56 78 there"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*planted, *clean])], "doc_id long, text string")
+    got = [r["text"] for r in personal_data.redact(docs, model).orderBy("doc_id").collect()]
+    assert got == [*planted.values(), *clean]
+
+
 def test_redaction_covers_overlaps():
     assert personal_data.redacted_text("ab cd ef", [(0, 0, 4), (1, 3, 5), (3, 6, 8)]) == "[EMAIL] [PHONE]"
