@@ -114,9 +114,12 @@ def stop_if_invalid(tagged: DataFrame, options) -> None:
 
 
 def conforms(docs: DataFrame, declared: dict[str, str], text: str = "doc", strict: bool = True) -> DataFrame:
-    """docs with `unknown_fields` and `bad_fields`, by declared field -> Spark SQL type; JSON text in column `text`."""
+    """docs with `unknown_fields` and `bad_fields`, by declared field -> Spark SQL type; JSON text in column `text`.
+
+    Where the text is null or no JSON object, `unknown_fields` is null.
+    """
     keys = F.json_object_keys(text)
-    unknown = F.array_except(keys, F.array(*map(F.lit, declared))) if strict else F.array().cast("array<string>")
+    unknown = F.array_except(keys, F.array(*map(F.lit, declared))) if strict else F.when(keys.isNotNull(), F.array().cast("array<string>"))
     bad = F.filter(
         F.array(*(F.when(F.get_json_object(text, f"$.{f}").isNotNull() & F.get_json_object(text, f"$.{f}").try_cast(kind).isNull(), F.lit(f)) for f, kind in declared.items())),
         lambda x: x.isNotNull(),
@@ -125,6 +128,9 @@ def conforms(docs: DataFrame, declared: dict[str, str], text: str = "doc", stric
 
 
 def malformed(docs: DataFrame, policy: str) -> tuple[DataFrame, DataFrame]:
-    """(written, reported) of rows with unknown_fields and bad_fields; with `fail` any reported row must stop the job."""
-    wrong = (F.size("unknown_fields") > 0) | (F.size("bad_fields") > 0)
+    """(written, reported) of rows with unknown_fields and bad_fields; with `fail` any reported row must stop the job.
+
+    Every row is in one of them: a text that is no JSON object, whose unknown_fields are null, is reported.
+    """
+    wrong = F.col("unknown_fields").isNull() | (F.size("unknown_fields") > 0) | F.coalesce(F.size("bad_fields") > 0, F.lit(True))
     return docs.where(~wrong), docs.where(wrong).withColumn("processed", F.lit(policy != "fail")).withColumn("reported", F.lit(True)).withColumn("fatal", F.lit(policy == "fail"))

@@ -48,10 +48,10 @@ def merge_partial(actions: DataFrame, fields: Sequence[str], arrival: Sequence[s
 
 
 def merge_partial_json(actions: DataFrame, text: str = "doc", arrival: Sequence[str] = ARRIVAL) -> DataFrame:
-    """The same for free-form JSON objects: explicit nulls overwrite, absent fields do not."""
-    kept = _after_delete(actions, F.struct(*arrival)).select(*ID, "arrived", F.explode(F.expr(f"cast(parse_json({text}) as map<string, variant>)")).alias("field", "v"))
+    """The same for free-form JSON objects: explicit nulls overwrite, absent fields do not. An id that has only {} stays, as {}."""
+    kept = _after_delete(actions, F.struct(*arrival)).select(*ID, "arrived", F.explode_outer(F.expr(f"cast(parse_json({text}) as map<string, variant>)")).alias("field", "v"))
     last = kept.groupBy(*ID, "field").agg(F.max_by(F.to_json("v"), "arrived").alias("v"))
-    entries = F.sort_array(F.collect_list(F.struct("field", "v")))  # the fields of one document
+    entries = F.sort_array(F.collect_list(F.when(F.col("field").isNotNull(), F.struct("field", "v"))))  # the fields of one document
     return last.groupBy(*ID).agg(F.to_json(F.map_from_entries(F.transform(entries, lambda e: F.struct(e["field"], F.parse_json(e["v"]))))).alias(text))
 
 

@@ -179,6 +179,18 @@ def test_conformance(spark):
     assert ok.count() == 2 and bad.where("fatal and not processed").count() == 2
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_unreadable_documents_are_reported(spark, strict):
+    docs = spark.createDataFrame([(None,), ("[]",), ("not json",), ("{}",), ('{"k":1}',)], "doc string")
+    ok, bad = checks.malformed(checks.conforms(docs, {"k": "bigint"}, strict=strict), "warn")
+    assert {r["doc"] for r in ok.collect()} == {"{}", '{"k":1}'} and {r["doc"] for r in bad.collect()} == {None, "[]", "not json"}
+
+
+def test_merge_keeps_empty_objects(spark):
+    js = actions(spark, [("a", "update", None, "{}", 0, 1), ("b", "update", None, "{}", 0, 1), ("b", "update", None, '{"x":1}', 0, 2), ("c", "update", None, '{"x":1}', 0, 1), ("c", "delete", None, None, 0, 2), ("c", "update", None, "{}", 0, 3)])
+    assert {r["id"]: json.loads(r["doc"]) for r in resolve.merge_partial_json(js).collect()} == {"a": {}, "b": {"x": 1}, "c": {}}
+
+
 def test_mapping(spark):
     schema = T.StructType(
         [
