@@ -14,26 +14,44 @@ from docsink.llm.decontaminate import build_index, search
 from docsink.llm.near_duplicates import near_duplicates
 from docsink.llm.packing import pack_documents
 from docsink.llm.personal_data import redact, train
-from docsink.llm.quality_model import quality
+from docsink.llm.quality_model import THRESHOLD, measured, scorer
+from docsink.llm.quality_model import train as train_quality
+
+
+#: The column by which the stages tell rows apart; doc_id may be repeated or null.
+ROW = "pipeline_row"
+
+
+def _rows(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs, written with a number for each row; and (doc_id, text) of it, the number being the doc_id."""
+    rows = written(spark, docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    return rows, rows.select(F.col(ROW).alias("doc_id"), "text")
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
-    kept = quality(spark, docs, table(spark, sf_dir, "labels")).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """Rows that the quality classifier accepts, each by its own text; a null doc_id has no label, and is judged like any other."""
+    rows, numbered = _rows(spark, docs)
+    features = written(spark, measured(numbered), "statistics")
+    named = features.withColumnRenamed("doc_id", ROW).join(rows.select(ROW, "doc_id"), ROW)
+    scored = features.mapInArrow(scorer(train_quality(named, table(spark, sf_dir, "labels"), "quality")), "doc_id long, score double")
+    kept = scored.where(F.col("score") >= THRESHOLD).select(F.col("doc_id").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of each class of near duplicates."""
-    firsts = near_duplicates(spark, docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi")
+    """One row of each class of near duplicates: that of the least doc_id, a null one coming last; of equal ones, any one."""
+    rows, numbered = _rows(spark, docs)
+    classes = near_duplicates(spark, numbered).select(F.col("doc_id").alias(ROW), "class_id").join(rows.select(ROW, "doc_id"), ROW)
+    firsts = classes.groupBy("class_id").agg(F.min_by(ROW, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias(ROW))
+    return rows.join(firsts, ROW, "left_semi").select(*docs.columns)
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of a benchmark item."""
-    index = written(spark, build_index(docs), "index")
-    hit = search(index, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti")
+    """Rows without any passage of a benchmark item, each by its own text, whatever its doc_id."""
+    rows, numbered = _rows(spark, docs)
+    index = written(spark, build_index(numbered), "index")
+    hit = search(index, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias(ROW))
+    return rows.join(hit, ROW, "left_anti").select(*docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

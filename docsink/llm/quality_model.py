@@ -119,7 +119,7 @@ def train(features: DataFrame, labels: DataFrame, label: str) -> Discriminant:
     return Discriminant(found)
 
 
-def _scorer(model: Discriminant):
+def scorer(model: Discriminant):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.stack([batch.column(f).to_numpy() for f in FEATURES], axis=1)
@@ -135,7 +135,7 @@ def quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str
     with no labels of a class all get the share of the other; other columns stay out. A score at the threshold is 1.
     """
     features = written(spark, measured(docs), "statistics")
-    scored = features.mapInArrow(_scorer(train(features, labels, label)), "doc_id long, score double")
+    scored = features.mapInArrow(scorer(train(features, labels, label)), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

@@ -165,3 +165,23 @@ def test_stages_on_no_rows_and_nulls(spark, tables, name):
     odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (3, "a b", None, "s", 3), (3, "a b", None, "s", 3)], schema)
     rows = stage(spark, odd, sf_dir).collect()
     assert {r["doc_id"] for r in rows} <= {1, 2, 3}
+
+
+def test_stages_decide_by_row(spark, tables):
+    """Of rows that share a doc_id, or have none, each stands by its own text; repeated rows are near duplicates."""
+    sf_dir, docs, items = tables
+    stages = dict(corpus_pipeline.STAGES)
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+
+    def kept(name, rows, more=()):
+        frame = spark.createDataFrame([*more, *((i, t, "en", "s", len(t)) for i, t in rows)], schema)
+        out = [(r["doc_id"], r["text"]) for r in stages[name](spark, frame, sf_dir).collect()]
+        return sorted(((i, t) for i, t in out if i is None or i >= 5000), key=str)
+
+    a, b, c, d = (prose(5000 + k, 100) for k in range(4))
+    bad = " | ".join(a.split())
+    assert kept("quality", [(5000, a), (5000, bad), (None, b), (None, bad)], docs) == sorted([(5000, a), (None, b)], key=str)
+    rows = [(5007, a), (5007, a), (None, a), (None, b), (None, b), (5009, c), (5009, d)]
+    assert kept("near duplicates", rows) == sorted([(5007, a), (None, b), (5009, c), (5009, d)], key=str)
+    leak = f"{c} {items[0][1]}"
+    assert kept("decontamination", [(5001, a), (5001, leak), (None, b), (None, leak)]) == sorted([(5001, a), (None, b)], key=str)
