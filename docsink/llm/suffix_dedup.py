@@ -1,23 +1,24 @@
 """Removal of repeated byte strings, by a collection Burrows-Wheeler transform that is built column by column.
 
 Where a 100-byte string can start earlier at all is found by content: each 100-byte window is keyed by the
-least hash of its 24-byte grams, so equal windows have equal keys, and runs of windows with one key are one
-fragment of the text. Only fragments whose key comes twice go on, dealt out by key. There a collection of fragments gets
-its Burrows-Wheeler transform and longest common prefixes by inserting, round after round, one symbol of each
-fragment, from its last to its first; large columns lie in external files that each round reads and writes in sequence.
-Suffixes of 100 bytes or more are the windows; neighbours with a common prefix of 100 are equal, and all but the
-earliest of them are marked. Equal fragments are one string of the collection, whose later places are marked whole.
+least hash of its 24-byte grams, so equal windows have equal keys, and neighbouring windows with their leftmost such gram at
+one place are one fragment of the text. Only fragments whose key comes twice go on, dealt out by key. There a collection of
+fragments gets its Burrows-Wheeler transform and longest common prefixes by inserting, round after round, one symbol of each
+string, from its last to its first. A symbol is ten bytes, and a fragment's strings are its readings from its first ten bytes on, so
+that there are a tenth of the rounds. Suffixes of ten symbols or more are the windows; neighbours with a common prefix
+of ten are equal, and all but the earliest of them are marked. Equal fragments are one string of the collection, whose
+later places are marked whole. A collection is bounded, so its columns stay in memory and no external files are needed: the fragments
+of a key that comes more than HOT times are dealt out once more, window by window, under the windows' own 128-bit hashes, and read in a stream.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,16 +26,21 @@ from .common import SpanHash, blocks, splitmix, table, texts_of, utf8
 
 LENGTH = 100
 GRAM = 24
-#: Windows in a fragment at most; together they are LENGTH + MOST - 1 bytes, which fits a common prefix into a byte.
+#: Windows in a fragment at most; together they are LENGTH + MOST - 1 bytes.
 MOST = LENGTH - GRAM + 1
+#: Bytes of a symbol of the transform.
+WIDE = 10
+#: Bits of a place in the transform.
+PLACE, PLACES = 32, (1 << 32) - 1
 BLOCK_BYTES = 1 << 20
-#: Fragments that are transformed together, about; a key with more than GROUP is dealt out once more, by whole windows.
-COLLECTION, GROUP = 8_000, 40_000
-#: Columns of more bytes lie in files.
-EXTERNAL_BYTES = 8 << 20
-#: A fragment's byte for its number of windows says with this bit that its key's gram is in it twice.
-TWICE = 128
-RUN = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("n", "<i4")])
+#: Fragments that are transformed together, about; a key with more than HOT is dealt out by whole windows.
+COLLECTION, HOT = 1_000, 10_000
+#: A task goes through the runs of its keys in so many slices, one in memory at a time.
+SLICES = 16
+#: A run's byte for its number of windows says with this bit that its key is hot.
+SINGLY = 128
+#: `spot` is a document's tag, which tells rows of one doc_id apart, above the place in the text.
+RUN = np.dtype([("key", "<u8"), ("doc", "<i8"), ("spot", "<i8"), ("n", "<u1")])
 
 
 def sliding(x: np.ndarray, width: int, least=np.minimum) -> np.ndarray:
@@ -45,10 +51,10 @@ def sliding(x: np.ndarray, width: int, least=np.minimum) -> np.ndarray:
     return least(own[: len(x) - width + 1], own[width - have :]) if have < width else own
 
 
-def runs_of(data: np.ndarray, at: np.ndarray, ids: np.ndarray, hasher: SpanHash) -> np.ndarray:
-    """RUN records: neighbouring windows of a text (a row of data) that have one key.
+def runs_of(data: np.ndarray, at: np.ndarray, ids: np.ndarray, tags: np.ndarray, hasher: SpanHash) -> np.ndarray:
+    """RUN records: neighbouring windows of a text (a row of data) whose leftmost gram of least hash is at one place.
 
-    Equal windows within one run have its key's gram at two places: such runs get TWICE added to n.
+    Windows of one run are never equal: equal windows have that gram at equal places within them.
     """
     if len(data) < LENGTH:
         return np.zeros(0, RUN)
@@ -61,20 +67,10 @@ def runs_of(data: np.ndarray, at: np.ndarray, ids: np.ndarray, hasher: SpanHash)
     if not len(own):
         return np.zeros(0, RUN)
     key, row = least[own], row[own]
-    new = np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))
-    first = np.flatnonzero(new)
-    within = np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))
-    first = np.flatnonzero(within % MOST == 0)
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (hashed[own[1:] - 1] == key[1:])))
     out = np.zeros(len(first), RUN)
-    n = np.diff(np.append(first, len(own)))
-    # Grams that are the least of a window about them; of these, how many in a run's reach are its key's.
-    chosen = np.flatnonzero(sliding(np.pad(least, MOST - 1), MOST, np.maximum) == hashed)
-    low, high = np.searchsorted(chosen, own[first]), np.searchsorted(chosen, own[first] + n + MOST - 1)
-    times = np.zeros(len(first), np.int64)
-    for k in range(int((high - low).max())):
-        r = np.flatnonzero(low + k < high)
-        times[r] += hashed[chosen[low[r] + k]] == key[first[r]]
-    out["key"], out["doc"], out["at"], out["n"] = key[first], ids[row[first]], own[first] - at[row[first]], n + TWICE * (times > 1)
+    out["key"], out["doc"], out["n"] = key[first], ids[row[first]], np.diff(np.append(first, len(own)))
+    out["spot"] = (tags[row[first]] << 32) + own[first] - at[row[first]]
     return out
 
 
@@ -96,165 +92,170 @@ def even_numbers(spark: SparkSession, parts: int) -> np.ndarray:
 
 
 def _keyed(numbers: np.ndarray):
-    """For each part that keys are dealt to, the runs of a batch, sorted by key, as differences."""
+    """For each part and slice that keys are dealt to, the runs of a batch, sorted by key, as differences."""
     parts = len(numbers)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(2 * BLOCK_BYTES)
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "tag"))
             data, at = utf8(batch.column("text"))
-            runs = np.concatenate([np.zeros(0, RUN), *(runs_of(data[at[i] : at[j]], at[i : j + 1] - at[i], ids[i:j], hasher) for i, j in blocks(at, BLOCK_BYTES))])
-            part = (runs["key"] >> np.uint64(16)) % np.uint64(parts)
+            runs = np.concatenate([np.zeros(0, RUN), *(runs_of(data[at[i] : at[j]], at[i : j + 1] - at[i], ids[i:j], tags[i:j], hasher) for i, j in blocks(at, BLOCK_BYTES))])
+            part = ((runs["key"] >> np.uint64(16)) % np.uint64(parts * SLICES)).astype(np.int64)
             runs = runs[np.lexsort((runs["key"], part))]
             part = np.sort(part)
             first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
             cut = [runs[a:b] for a, b in zip(first, np.append(first[1:], len(runs)), strict=True)]
-            columns = [pa.array(numbers[part[first].astype(np.int64)])]
-            columns += [pa.array([planes(f(x)) for x in cut], pa.binary()) for f in (lambda x: np.diff(x["key"], prepend=np.uint64(0)), lambda x: x["doc"].copy(), lambda x: x["at"].copy(), lambda x: x["n"].astype(np.uint8))]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "keys", "docs", "at", "n"])
+            columns = [pa.array(numbers[part[first] // SLICES]), pa.array((part[first] % SLICES).astype(np.int32))]
+            columns += [pa.array([planes(f(x)) for x in cut], pa.binary()) for f in (lambda x: np.diff(x["key"], prepend=np.uint64(0)), lambda x: x["doc"].copy(), lambda x: x["spot"].copy(), lambda x: x["n"].copy())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "slice", "keys", "docs", "spots", "n"])
 
     return keyed
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All runs whose key comes in two runs or twice in one (all runs of a key are in one part)."""
-    got: list[list[np.ndarray]] = [[], [], [], []]
+    """All runs whose key comes in two runs (all runs of a key are in one slice); those of hot keys get SINGLY."""
+    got: tuple[list[np.ndarray], ...] = ([], [], [], [])
+
+    def close() -> Iterator[pa.RecordBatch]:
+        key, doc, spot, n = (np.concatenate(x) for x in got)
+        for x in got:
+            x.clear()
+        order = np.argsort(key, kind="stable")
+        ranked = key[order]
+        first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+        times = np.repeat(np.diff(np.append(first, len(ranked))), np.diff(np.append(first, len(ranked))))
+        n[order[times > HOT]] += SINGLY
+        order = order[times > 1]
+        order = order[np.argsort(doc[order], kind="stable")]
+        for k in range(0, len(order), 50_000):
+            o = order[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array((spot[o] >> 32).astype(np.int32)), pa.array(key[o].view(np.int64)), pa.array((spot[o] & 0xFFFFFFFF).astype(np.int32)), pa.array(n[o].astype(np.int32))], names=["doc_id", "tag", "key", "at", "n"])
+
+    now = None
     for batch in batches:
-        for name, kind, to in zip(("keys", "docs", "at", "n"), ("<u8", "<i8", "<i4", "<u1"), got, strict=True):
-            to += [x if name != "keys" else np.cumsum(x, dtype=np.uint64) for x in (unplaned(v.as_buffer(), kind) for v in batch.column(name))]
-    if not got[0]:
-        return
-    key, doc, at, n = (np.concatenate(x) for x in got)
-    del got
-    order = np.argsort(key, kind="stable")
-    ranked = key[order]
-    same = ranked[1:] == ranked[:-1]
-    order = order[np.append(same, False) | np.append(False, same) | (n[order] >= TWICE)]
-    n = n % TWICE
-    order = order[np.argsort(doc[order], kind="stable")]
-    for k in range(0, len(order), 50_000):
-        o = order[k : k + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array(key[o].view(np.int64)), pa.array(at[o]), pa.array(n[o].astype(np.int32))], names=["doc_id", "key", "at", "n"])
-
-
-FRAGMENTS = "key long, fragment binary, doc long, at int, places binary"
+        for slice_, *own in zip(batch.column("slice").to_pylist(), *(batch.column(c) for c in ("keys", "docs", "spots", "n")), strict=True):
+            if slice_ != now and got[0]:
+                yield from close()
+            now = slice_
+            for v, kind, to in zip(own, ("<u8", "<i8", "<i8", "<u1"), got, strict=True):
+                x = unplaned(v.as_buffer(), kind)
+                to.append(np.cumsum(x, dtype=np.uint64) if to is got[0] else x.copy())
+    if got[0]:
+        yield from close()
+
+
+FRAGMENTS = "key long, fragment binary, doc long, spot long, places binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fragments of the texts; equal ones of a batch are one row, with the earliest place and all places."""
+    """Fragments of the texts; equal ones of a batch are one row, with the earliest place and all places.
+
+    Of a hot key's fragments each window is a row of its own, by its hash.
+    """
     for batch in batches:
-        found: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
-        ids = batch.column("doc_id").to_pylist()
+        found: dict[tuple[int, bytes], set[tuple[int, int]]] = {}
+        ids, tags = batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist()
         data, begin = utf8(batch.column("text"))
         runs = batch.column("runs")
         flat = runs.flatten()
         ends = np.append(0, np.cumsum(runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
         keys, ats, ns = (flat.field(k).to_pylist() for k in ("key", "at", "n"))
         for r, doc in enumerate(ids):
-            own = data[begin[r] : begin[r + 1]].tobytes()
+            own, tag = data[begin[r] : begin[r + 1]].tobytes(), tags[r] << 32
             for k in range(ends[r], ends[r + 1]):
-                found.setdefault((keys[k], own[ats[k] : ats[k] + ns[k] + LENGTH - 1]), []).append((doc, ats[k]))
-        for places in found.values():
-            places.sort()
-        first = [p[0] for p in found.values()]
+                at, n = ats[k], ns[k]
+                if n < SINGLY:
+                    found.setdefault((keys[k], own[at : at + n + LENGTH - 1]), set()).add((doc, tag + at))
+                    continue
+                for o in range(at, at + n - SINGLY):
+                    digest = xxhash.xxh3_128_digest(own[o : o + LENGTH])
+                    found.setdefault((int.from_bytes(digest[:8], "little", signed=True), digest), set()).add((doc, tag + o))
+        placed = [sorted(x) for x in found.values()]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([k for k, _ in found], pa.int64()),
                 pa.array([f for _, f in found], pa.binary()),
-                pa.array([p[0] for p in first], pa.int64()),
-                pa.array([p[1] for p in first], pa.int32()),
-                pa.array([np.array(p, np.int64).tobytes() for p in found.values()], pa.binary()),
+                pa.array([p[0][0] for p in placed], pa.int64()),
+                pa.array([p[0][1] for p in placed], pa.int64()),
+                pa.array([np.array(p, np.int64).tobytes() for p in placed], pa.binary()),
             ],
-            names=["key", "fragment", "doc", "at", "places"],
+            names=["key", "fragment", "doc", "spot", "places"],
         )
 
 
-class Columns:
-    """Where the transform and the prefixes of one round are kept for the next: in memory, or in files if they are large."""
-
-    def __init__(self, folder: str):
-        self.folder, self.turn = folder, 0
-
-    def keep(self, name: str, x: np.ndarray) -> np.ndarray:
-        if x.nbytes <= EXTERNAL_BYTES:
-            return x
-        self.turn += 1
-        path = os.path.join(self.folder, f"{name}{self.turn}")
-        x.tofile(path)
-        kept = np.memmap(path, x.dtype, "r")
-        os.unlink(path)  # the mapping keeps it until the next round's is made
-        return kept
+def transform(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all suffixes of the strings in order: the string, the suffix's length, the common prefix with the one before.
 
-
-def transform(strings: list[bytes], folder: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all suffixes of the strings in lexicographic order: the string, the suffix's length, the common prefix with the one before.
-
-    An end is less than all symbols, and ends are in the strings' order. Round t inserts the suffixes of length t:
-    a symbol c of the transform that stands before suffix X is the place of cX, by the number of smaller symbols and
-    of c's before it; its common prefixes are 1 more than the least between the neighbouring c's.
+    text: the strings' symbols, from 1 on, one string after the other. An end is less than all symbols, and ends are in
+    the strings' order. Round t inserts the suffixes of length t: a symbol c of the transform that stands before suffix X is
+    the place of cX, by the number of smaller symbols and of c's before it; its common prefixes are 1 more than
+    those of the suffixes at the neighbouring c's.
     """
-    if folder is None:
-        with tempfile.TemporaryDirectory() as made:
-            return transform(strings, made)
-    files, m = Columns(folder), len(strings)
-    sizes = np.array([len(s) for s in strings])
-    text = np.frombuffer(b"".join(strings), np.uint8)
-    # Symbols are the bytes that occur, numbered from 1 in their order; 0 is a string's begin.
-    codes = np.cumsum(np.bincount(text, minlength=256) > 0)
-    text = codes.astype(np.uint8 if codes[-1] < 256 else np.uint16)[text]
-    ends = np.cumsum(sizes)
-    bwt, lcp = np.where(sizes > 0, text[np.maximum(ends - 1, 0)], 0).astype(text.dtype) if len(text) else np.zeros(m, np.uint8), np.zeros(m, np.uint8)
-    place, active = np.arange(m), np.flatnonzero(sizes > 0)
+    m, ends = len(sizes), np.cumsum(sizes)
+    active = np.flatnonzero(sizes > 0)
+    symbol, head = text[ends[active] - 1].astype(np.int64), np.zeros(len(active), np.int64)
+    # The transform: symbols with their places below them, sorted. `turn` is where an active string's last symbol is there.
+    fresh = np.zeros(m, np.int64)
+    fresh[active] = symbol
+    keys = np.sort((fresh << PLACE) + np.arange(m))
+    turn, at = np.searchsorted(keys, (symbol << PLACE) + active), active
+    prefixes, heads = np.zeros(m, np.uint8), np.zeros(int(text.max(initial=0)) + 1, np.int64)
     t = 0
     while len(active):
         t += 1
-        order = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(bwt))
-        begun = int((np.asarray(bwt) == 0).sum())
-        at = place[active]
-        new = m + rank[at] - begun
-        # The neighbours with the same symbol, in the order before this round.
-        padded = np.append(lcp, np.uint8(0))
-        before, after = order[np.maximum(rank[at] - 1, 0)], order[np.minimum(rank[at] + 1, len(bwt) - 1)]
-        symbol = bwt[at]
-        has_before, has_after = (rank[at] > 0) & (bwt[before] == symbol), (rank[at] + 1 < len(bwt)) & (bwt[after] == symbol)
-        low, high = np.zeros(len(at), np.uint8), np.zeros(len(at), np.uint8)
-        for has, a, b, out in ((has_before, before, at, low), (has_after, at, after, high)):
-            k = np.flatnonzero(has)
-            if len(k):
-                k = k[np.argsort(-a[k], kind="stable")]  # descending, so that what reduceat takes between two ranges is one number
-                ranges = np.stack((a[k] + 1, b[k] + 1), axis=1).ravel()
-                out[k] = np.minimum.reduceat(padded, ranges)[::2] + 1
-        old = np.ones(len(bwt) + len(at), bool)
+        n, k = len(keys), len(active)
+        new = m + turn - np.searchsorted(keys, 1 << PLACE)
+        # The suffixes at the neighbours with the same symbol have a common prefix where their first symbols are equal.
+        first = np.cumsum(heads)
+        both = []
+        for other, side in ((turn - 1, 0), (turn + 1, 1)):
+            near = keys[np.clip(other, 0, n - 1)]
+            has = (other >= 0) & (other < n) & (near >> PLACE == symbol)
+            near &= PLACES
+            common = has.astype(np.uint8)
+            own = np.flatnonzero(has & (head > 0) & (np.searchsorted(first, near - m, "right") == head))
+            if len(own):
+                low, high = (near[own], at[own]) if side == 0 else (at[own], near[own])
+                down = np.argsort(-low, kind="stable")  # descending, so that what reduceat takes between two ranges is one number
+                common[own[down]] += np.minimum.reduceat(np.append(prefixes, np.uint8(0)), np.stack((low[down] + 1, high[down] + 1), axis=1).ravel())[::2]
+            both.append((has, common))
+        heads += np.bincount(symbol, minlength=len(heads))
+        old = np.ones(n + k, bool)
         old[new] = False
-        grown = []
+        grown = np.empty(n + k, np.uint8)
+        grown[old], grown[new] = prefixes, both[0][1]
+        follows = np.flatnonzero(both[1][0])
+        follows = follows[old[np.minimum(new[follows] + 1, n + k - 1)]]
+        grown[new[follows] + 1] = both[1][1][follows]
+        prefixes = grown
+        # Places after an insertion move on; then the inserted symbols are put in.
+        ranked = np.sort(new)
+        keys += np.repeat(np.arange(k + 1), np.diff(np.concatenate(([0], ranked - np.arange(k), [n]))))[keys & PLACES]
         left = sizes[active] > t
-        symbols = np.where(left, text[np.maximum(ends[active] - t - 1, 0)], 0)
-        for x, own in ((bwt, symbols), (lcp, low)):
-            y = np.empty(len(old), x.dtype)
-            y[old] = x
-            y[new] = own
-            grown.append(y)
-        bwt, lcp = grown
-        follows = has_after & old[np.minimum(new + 1, len(old) - 1)]
-        lcp[new[follows] + 1] = high[follows]
-        bwt, lcp = files.keep("bwt", bwt), files.keep("lcp", lcp)
-        place[active] = new
-        active = active[left]
-    return *suffixes_of(bwt, sizes), lcp
-
-
-def suffixes_of(bwt: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fresh = np.where(left, text[np.maximum(ends[active] - t - 1, 0)], 0).astype(np.int64)
+        made = (fresh << PLACE) + new
+        rank = np.argsort(made)
+        turns = np.searchsorted(keys, made[rank]) + np.arange(k)
+        kept = np.ones(n + k, bool)
+        kept[turns] = False
+        merged = np.empty(n + k, np.int64)
+        merged[kept], merged[turns] = keys, made[rank]
+        keys, turn = merged, np.empty(k, np.int64)
+        turn[rank] = turns
+        active, at, turn, head, symbol = active[left], new[left], turn[left], symbol[left], fresh[left]
+    return *suffixes_of(keys, sizes), prefixes
+
+
+def suffixes_of(keys: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each place of a transform its suffix's string and length, by going through all strings at once from their ends."""
-    m, rank = len(sizes), np.empty(len(bwt), np.int64)
-    rank[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
-    begun = int((np.asarray(bwt) == 0).sum())
-    owner, length = np.empty(len(bwt), np.int32), np.zeros(len(bwt), np.uint8)
+    m, rank = len(sizes), np.empty(len(keys), np.int64)
+    rank[keys & PLACES] = np.arange(len(keys))
+    begun = np.searchsorted(keys, 1 << PLACE)
+    owner, length = np.empty(len(keys), np.int32), np.zeros(len(keys), np.uint8)
     owner[:m] = np.arange(m)
-    place, active, t = np.arange(m), np.flatnonzero(sizes > 0), 0
-    place = place[active]
+    place = active = np.flatnonzero(sizes > 0)
+    t = 0
     while len(active):
         t += 1
         place = m + rank[place] - begun
@@ -264,28 +265,45 @@ def suffixes_of(bwt: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return owner, length
 
 
-def marked(strings: list[bytes], docs: np.ndarray, ats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(string, offset) of each window that also starts earlier; strings[i]'s earliest place is docs[i], ats[i]."""
-    owner, length, lcp = transform(strings)
-    sizes = np.array([len(s) for s in strings])
-    window = np.flatnonzero(length >= LENGTH)
+def symbols_of(flat: np.ndarray) -> np.ndarray:
+    """A number from 1 on for the WIDE bytes from each place on, in their order; `flat` has WIDE bytes more at its end."""
+    n = len(flat) - WIDE
+    eight = np.empty(n + 8, np.uint64)
+    for k in range(8):
+        own = flat[k : k + (n + 8 - k) // 8 * 8].view(">u8")
+        eight[k : k + 8 * len(own) : 8] = own
+    two = flat[8 : n + 8].astype(np.int64) << 8 | flat[9 : n + 9]
+    return np.unique(np.unique(eight[:n], return_inverse=True)[1] << 16 | two, return_inverse=True)[1] + 1
+
+
+def marked(fragments: list[bytes], docs: np.ndarray, spots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(fragment, offset) of each window that also starts earlier; fragments[i]'s earliest place is docs[i], spots[i].
+
+    Symbols are WIDE bytes: a fragment is read in up to WIDE phases, each a string of the collection, so that every window is a
+    row of LENGTH / WIDE symbols of one of them.
+    """
+    lengths = np.array([len(x) for x in fragments])
+    begins = np.cumsum(lengths) - lengths
+    code = symbols_of(np.frombuffer(b"".join([*fragments, bytes(WIDE)]), np.uint8))
+    phases = np.clip(lengths - LENGTH + 1, 0, WIDE)
+    fragment = np.repeat(np.arange(len(fragments)), phases)
+    phase = np.arange(len(fragment)) - np.repeat(np.cumsum(phases) - phases, phases)
+    sizes = (lengths[fragment] - phase) // WIDE
+    within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    owner, length, lcp = transform(code[np.repeat(begins[fragment] + phase, sizes) + WIDE * within], sizes)
+    window = np.flatnonzero(length >= LENGTH // WIDE)
     # Between two windows there is no shorter suffix that begins with both if they are equal: the prefix of
     # a skipped suffix is the least of all up to the next window.
     least = np.minimum.reduceat(lcp[: window[-1] + 1], np.append(0, window[:-1] + 1)) if len(window) else np.zeros(0, np.uint8)
-    string, offset = owner[window], sizes[owner[window]] - length[window]
-    group = np.cumsum(np.append(0, least[1:] < LENGTH)) if len(window) else np.zeros(0, np.int64)
-    start = ats[string] + offset
+    own = owner[window]
+    string, offset = fragment[own], phase[own] + WIDE * (sizes[own] - length[window])
+    group = np.cumsum(np.append(0, least[1:] < LENGTH // WIDE)) if len(window) else np.zeros(0, np.int64)
+    start = spots[string] + offset
     order = np.lexsort((start, docs[string], group))
     later = np.append(False, group[order][1:] == group[order][:-1])
     return string[order][later], offset[order][later]
 
 
-def repeats_itself(fragment: bytes) -> bool:
-    """Whether two windows of a fragment may be equal: all contain its bytes from MOST - 1 to LENGTH."""
-    middle = fragment[MOST - 1 : LENGTH]
-    return fragment.find(middle) != MOST - 1 or fragment.find(middle, MOST) >= 0
-
-
 def _stretches(docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of neighbouring windows: document, first start, how many."""
     order = np.lexsort((starts, docs))
@@ -296,63 +314,51 @@ def _stretches(docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From fragments sorted by key, fragment and place: stretches of windows that also start earlier."""
-    whole: list[list[int]] = [[], [], []]
+    whole: list[np.ndarray] = []
     waiting: list[tuple[bytes, int, int]] = []
     group: list[tuple[bytes, int, int]] = []
-    key = None
+    key, held = None, 0
 
-    def out(docs, starts, ns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int32()), pa.array(ns, pa.int32())], names=["doc_id", "at", "n"])
+    def out(docs, spots, ns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array((spots >> 32).astype(np.int32)), pa.array((spots & 0xFFFFFFFF).astype(np.int32)), pa.array(ns, pa.int32())], names=["doc_id", "tag", "at", "n"])
 
-    def transformed(own: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
-        docs, ats = np.array([x[1] for x in own], np.int64), np.array([x[2] for x in own], np.int64)
-        string, offset = marked([x[0] for x in own], docs, ats)
-        return out(*_stretches(docs[string], ats[string] + offset))
+    def transformed() -> pa.RecordBatch:
+        docs, spots = np.array([x[1] for x in waiting], np.int64), np.array([x[2] for x in waiting], np.int64)
+        string, offset = marked([x[0] for x in waiting], docs, spots)
+        waiting.clear()
+        return out(*_stretches(docs[string], spots[string] + offset))
 
-    def close() -> Iterator[pa.RecordBatch]:
-        if len(group) > GROUP:  # whole windows, by their hash, so that no collection is much larger than the others
-            parts: list[dict[bytes, tuple[int, int]]] = [{} for _ in range(1 + sum(len(x[0]) - LENGTH + 1 for x in group) // COLLECTION)]
-            for fragment, doc, at in group:
-                for o in range(len(fragment) - LENGTH + 1):
-                    w = fragment[o : o + LENGTH]
-                    held = parts[hash(w) % len(parts)]
-                    first = held.setdefault(w, (doc, at + o))
-                    if first != (doc, at + o):
-                        held[w] = min(first, (doc, at + o))
-                        later = max(first, (doc, at + o))
-                        for to, x in zip(whole, (*later, 1), strict=True):
-                            to.append(x)
-            for held in parts:
-                yield transformed([(w, *p) for w, p in held.items()])
-        elif len(group) > 1 or group and repeats_itself(group[0][0]):
-            waiting.extend(group)
-        group.clear()
-        if len(waiting) >= COLLECTION:
-            yield transformed(waiting)
-            waiting.clear()
-        if len(whole[0]) > 100_000:
-            yield out(*whole)
-            for x in whole:
-                x.clear()
+    def flushed() -> pa.RecordBatch:
+        made = np.concatenate(whole)
+        whole.clear()
+        return out(*made.T)
 
     for batch in batches:
-        for k, fragment, doc, at, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for k, fragment, doc, spot, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if k != key:
-                yield from close()
+                if len(group) > 1:
+                    waiting += group
+                group.clear()
                 key = k
-            own = np.frombuffer(places, np.int64).reshape(-1, 2)
+                if len(waiting) >= COLLECTION:
+                    yield transformed()
             if not group or group[-1][0] != fragment:
-                group.append((fragment, doc, at))
-                own = own[1:]
-            if len(own):
-                n = len(fragment) - LENGTH + 1
-                for to, x in zip(whole, (own[:, 0].tolist(), own[:, 1].tolist(), [n] * len(own)), strict=True):
-                    to.extend(x)
-    yield from close()
+                group.append((fragment, doc, spot))
+            if len(places) > 16 or (doc, spot) != group[-1][1:]:
+                own = np.frombuffer(places, np.int64).reshape(-1, 2)
+                own = own[(own[:, 0] != group[-1][1]) | (own[:, 1] != group[-1][2])]
+                if len(own):
+                    whole.append(np.column_stack((own, np.full(len(own), max(1, len(fragment) - LENGTH + 1)))))
+                    held += len(own)
+            if held > 100_000:
+                yield flushed()
+                held = 0
+    if len(group) > 1:
+        waiting += group
     if waiting:
-        yield transformed(waiting)
-    if whole[0]:
-        yield out(*whole)
+        yield transformed()
+    if whole:
+        yield flushed()
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,27 +383,33 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(begin)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(hashes)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _tagged(docs: DataFrame) -> DataFrame:
+    """(doc_id, tag, text); the tag is of the text, so it tells rows of one doc_id apart."""
+    return texts_of(docs).withColumn("tag", F.hash("text")).select("doc_id", "tag", "text")
+
+
 def repeated_strings(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, at, n): n neighbouring 100-byte windows of a document, from byte `at`, that also start earlier."""
-    texts = texts_of(docs)
+    """(doc_id, tag, at, n): n neighbouring 100-byte windows of a text, from byte `at`, that also start earlier."""
+    texts = _tagged(docs)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_keyed(even_numbers(spark, parts)), "part int, keys binary, docs binary, at binary, n binary")
-    runs = keyed.repartition(parts, "part").mapInArrow(_repeated, "doc_id long, key long, at int, n int")
-    by_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n")).alias("runs"))  # a document's own runs
+    keyed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_keyed(even_numbers(spark, parts)), "part int, slice int, keys binary, docs binary, spots binary, n binary")
+    runs = keyed.repartition(parts, "part").sortWithinPartitions("slice").mapInArrow(_repeated, "doc_id long, tag int, key long, at int, n int")
+    by_doc = runs.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("key", "at", "n")).alias("runs"))  # a document's own runs
     # A left join, and a condition that keeps it one, so that dedup()'s join reuses the same exchange of the texts.
-    with_runs = texts.join(by_doc, "doc_id", "left").where("runs is not null or doc_id is null").select("doc_id", "text", "runs")
+    with_runs = texts.join(by_doc, ["doc_id", "tag"], "left").where("runs is not null or doc_id is null").select("doc_id", "tag", "text", "runs")
     fragments = with_runs.mapInArrow(_cut, FRAGMENTS)
-    return fragments.repartition(parts, "key").sortWithinPartitions("key", "fragment", "doc", "at").mapInArrow(_mark, "doc_id long, at int, n int")
+    return fragments.repartition(parts, "key").sortWithinPartitions("key", "fragment", "doc", "spot").mapInArrow(_mark, "doc_id long, tag int, at int, n int")
 
 
 def dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    A null or empty text and texts under 100 bytes lose nothing; no rows give none; other columns stay out. doc_id is
-    taken as unique: rows that repeat one have the same places, and of these none is earlier.
+    A null or empty text and texts under 100 bytes lose nothing; no rows give none; other columns stay out. Rows of one doc_id
+    with different texts are documents in the order of their texts' hashes; rows that repeat one wholly are one document, and all lose
+    the same. A null doc_id loses nothing, and what only it has is no earlier place.
     """
-    stretches = repeated_strings(spark, docs).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("stretches"))
-    return texts_of(docs).join(stretches, "doc_id", "left").select("doc_id", "text", "stretches").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    stretches = repeated_strings(spark, docs).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "n")).alias("stretches"))
+    return _tagged(docs).join(stretches, ["doc_id", "tag"], "left").select("doc_id", "text", "stretches").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

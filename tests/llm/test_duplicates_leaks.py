@@ -114,39 +114,71 @@ def test_suffix_dedup_by_brute_force(spark):
     assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute_removed(docs)
 
 
-def test_suffix_dedup_in_small_collections_and_files(monkeypatch):
-    """The reduce side alone, with bounds so small that groups are dealt out again and columns lie in files."""
+def chain(docs):
+    """The steps of suffix_dedup one after the other in this process, and the windows that they mark."""
     import pyarrow as pa
 
+    ids, texts = [d for d, _ in docs], [t for _, t in docs]
+    own = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([0] * len(ids), pa.int32()), pa.array(texts)], names=["doc_id", "tag", "text"])
+    keyed = sorted((x for b in suffix_dedup._keyed(np.arange(3, dtype=np.int32))(iter([own])) for x in b.to_pylist()), key=lambda x: (x["part"], x["slice"]))
+    runs = {}
+    for part in range(3):
+        rows = [x for x in keyed if x["part"] == part]
+        if rows:
+            batch = pa.RecordBatch.from_pylist(rows, schema=pa.schema([("part", pa.int32()), ("slice", pa.int32()), *((c, pa.binary()) for c in ("keys", "docs", "spots", "n"))]))
+            for b in suffix_dedup._repeated(iter([batch])):
+                for x in b.to_pylist():
+                    runs.setdefault(x["doc_id"], []).append({k: x[k] for k in ("key", "at", "n")})
+    run = pa.list_(pa.struct([("key", pa.int64()), ("at", pa.int32()), ("n", pa.int32())]))
+    cut = pa.RecordBatch.from_arrays([*own.columns, pa.array([runs.get(i, []) for i in ids], run)], names=["doc_id", "tag", "text", "runs"])
+    rows = pa.Table.from_batches(suffix_dedup._cut(iter([cut]))).to_pandas().sort_values(["key", "fragment", "doc", "spot"])
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    return {(d, a + k) for b in suffix_dedup._mark(iter([batch])) for d, _, a, n in zip(*(c.to_pylist() for c in b.columns), strict=True) for k in range(n)}
+
+
+def later_windows(docs):
+    seen, want = set(), set()
+    for d, text in sorted(docs):
+        b = text.encode()
+        for i in range(len(b) - 99):
+            w = b[i : i + 100]
+            if w in seen:
+                want.add((d, i))
+            seen.add(w)
+    return want
+
+
+def test_suffix_dedup_with_small_collections_and_hot_keys(monkeypatch):
     r = random.Random(4)
-    base = prose(1, 60).encode()
-    rows = []
-    for doc in range(80):
-        text = bytearray(base)
-        text[r.randrange(len(text))] = 65 + doc % 26
-        rows.append((7, bytes(text[20:190]), doc, 20, np.array([[doc, 20]], np.int64).tobytes()))
-    rows.sort(key=lambda x: (x[0], x[1], x[2]))
-    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["key", "fragment", "doc", "at", "places"])
-
-    def covered():
-        return {(d, a + k) for b in suffix_dedup._mark(iter([batch])) for d, a, n in zip(*(c.to_pylist() for c in b.columns), strict=True) for k in range(n)}
-
-    want, seen = set(), {}
-    for doc, at, w in sorted((d, 20 + o, f[o : o + 100]) for _, f, d, _, _ in rows for o in range(len(f) - 99)):
-        if w in seen:
-            want.add((doc, at))
-        seen.setdefault(w, doc)
-    assert covered() == want
-    monkeypatch.setattr(suffix_dedup, "GROUP", 10)
-    monkeypatch.setattr(suffix_dedup, "COLLECTION", 200)
-    monkeypatch.setattr(suffix_dedup, "EXTERNAL_BYTES", 100)
-    assert covered() == want
+    base = prose(1, 60)
+    docs = [(i, "".join(chr(97 + i % 26) if k == at else x for k, x in enumerate(base))) for i in range(80) for at in [r.randrange(len(base))]]
+    want = later_windows(docs)
+    assert chain(docs) == want
+    monkeypatch.setattr(suffix_dedup, "COLLECTION", 20)
+    assert chain(docs) == want
+    monkeypatch.setattr(suffix_dedup, "HOT", 10)
+    assert chain(docs) == want
+
+
+def test_many_variants_of_a_passage_never_meet_in_one_collection(monkeypatch):
+    """More texts than HOT end in one passage, each after words of its own."""
+    sizes, marked = [], suffix_dedup.marked
+
+    def counted(fragments, docs, spots):
+        sizes.append(len(fragments))
+        return marked(fragments, docs, spots)
+
+    monkeypatch.setattr(suffix_dedup, "marked", counted)
+    passage = prose(77, 30)
+    docs = [(i, f"{i * 7919:09d} {i * 104729:010d} " + passage[: 130 + i % 7]) for i in range(suffix_dedup.HOT + 2000)]
+    assert chain(docs) == later_windows(docs)
+    assert max(sizes, default=0) <= suffix_dedup.HOT + suffix_dedup.COLLECTION
 
 
 def test_transform_is_the_suffix_order():
     r = random.Random(2)
-    strings = ["".join(r.choice("ab") for _ in range(r.randint(0, 12))).encode() for _ in range(25)]
-    owner, length, lcp = suffix_dedup.transform(strings)
+    strings = [[r.randint(1, 3) for _ in range(r.randint(0, 12))] for _ in range(25)]
+    owner, length, lcp = suffix_dedup.transform(np.array(sum(strings, []), int), np.array([len(x) for x in strings]))
     want = sorted((strings[i][len(strings[i]) - n :], i, n) for i in range(25) for n in range(len(strings[i]) + 1))
     assert [(i, n) for _, i, n in want] == list(zip(owner.tolist(), length.tolist(), strict=True))
     for (a, _, _), (b, _, _), n in zip(want, want[1:], lcp[1:], strict=False):
@@ -156,6 +188,15 @@ def test_transform_is_the_suffix_order():
         assert n == k
 
 
+def test_suffix_dedup_of_repeated_ids(spark):
+    """Two texts of one doc_id are two documents; a row that repeats another wholly loses the same."""
+    one, two, three = prose(1, 60), prose(2, 40) + prose(1, 60)[:200], prose(3, 50)
+    rows = spark.createDataFrame([(1, one), (2, two), (2, three + prose(2, 40)), (3, three), (3, three)], "doc_id long, text string")
+    got = sorted(tuple(r)[:4] for r in suffix_dedup.dedup(spark, rows).collect())
+    assert [x[0] for x in got] == [1, 2, 2, 3, 3] and got[0][2] == 0 and got[3] == got[4] and got[3][2] == len(three)
+    assert sum(x[2] for x in got if x[0] == 2) >= 200 + len(prose(2, 40)) - 2
+
+
 def test_suffix_dedup_odd_documents(spark, odd_docs, no_docs):
     got = {r["doc_id"]: r for r in suffix_dedup.dedup(spark, odd_docs).collect()}
     assert got[4]["n_removed"] == got[4]["n_bytes"] and got[3]["n_removed"] == 0 and got[0]["n_bytes"] == 0
