@@ -149,7 +149,7 @@ FRAGMENTS = "key long, fragment binary, doc long, spot long, places binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fragments of the texts; equal ones of a batch are one row, with the earliest place and all places.
+    """Fragments of the texts; equal ones of a batch are one row, with the earliest place and the others.
 
     Of a hot key's fragments each window is a row of its own, by its hash.
     """
@@ -178,7 +178,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([f for _, f in found], pa.binary()),
                 pa.array([p[0][0] for p in placed], pa.int64()),
                 pa.array([p[0][1] for p in placed], pa.int64()),
-                pa.array([np.array(p, np.int64).tobytes() for p in placed], pa.binary()),
+                pa.array([np.array(p[1:], np.int64).tobytes() for p in placed], pa.binary()),
             ],
             names=["key", "fragment", "doc", "spot", "places"],
         )
@@ -344,8 +344,8 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield transformed()
             if not group or group[-1][0] != fragment:
                 group.append((fragment, doc, spot))
-            if len(places) > 16 or (doc, spot) != group[-1][1:]:
-                own = np.frombuffer(places, np.int64).reshape(-1, 2)
+            if places or (doc, spot) != group[-1][1:]:
+                own = np.append(np.array([doc, spot]), np.frombuffer(places, np.int64)).reshape(-1, 2)
                 own = own[(own[:, 0] != group[-1][1]) | (own[:, 1] != group[-1][2])]
                 if len(own):
                     whole.append(np.column_stack((own, np.full(len(own), max(1, len(fragment) - LENGTH + 1)))))
@@ -383,14 +383,15 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(begin)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(hashes)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _tagged(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, text); the tag is of the text, so it tells rows of one doc_id apart."""
-    return texts_of(docs).withColumn("tag", F.hash("text")).select("doc_id", "tag", "text")
+def tagged(docs: DataFrame) -> DataFrame:
+    """(doc_id, tag, text); where any doc_id is repeated the tag is of the text, so it tells rows of one doc_id apart, else 0."""
+    texts = texts_of(docs)
+    again = texts.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return texts.withColumn("tag", F.hash("text") if again else F.lit(0)).select("doc_id", "tag", "text")
 
 
-def repeated_strings(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, at, n): n neighbouring 100-byte windows of a text, from byte `at`, that also start earlier."""
-    texts = _tagged(docs)
+def repeated_strings(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """(doc_id, tag, at, n): n neighbouring 100-byte windows of a text (doc_id, tag, text), from byte `at`, that also start earlier."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_keyed(even_numbers(spark, parts)), "part int, slice int, keys binary, docs binary, spots binary, n binary")
     runs = keyed.repartition(parts, "part").sortWithinPartitions("slice").mapInArrow(_repeated, "doc_id long, tag int, key long, at int, n int")
@@ -408,8 +409,9 @@ def dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
     with different texts are documents in the order of their texts' hashes; rows that repeat one wholly are one document, and all lose
     the same. A null doc_id loses nothing, and what only it has is no earlier place.
     """
-    stretches = repeated_strings(spark, docs).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "n")).alias("stretches"))
-    return _tagged(docs).join(stretches, ["doc_id", "tag"], "left").select("doc_id", "text", "stretches").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    texts = tagged(docs)
+    stretches = repeated_strings(spark, texts).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "n")).alias("stretches"))
+    return texts.join(stretches, ["doc_id", "tag"], "left").select("doc_id", "text", "stretches").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
