@@ -17,9 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new temporary one where it is unset (tests, one machine)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on one machine (tests) a new temporary one where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", "")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -77,11 +79,11 @@ def splitmix(x: np.ndarray) -> np.ndarray:
 class SpanHash:
     """64-bit hashes of byte spans from prefix sums of byte values times powers of an odd base (modulo 2^64).
 
-    The byte values are mixed first and the sums after, so that equal hashes mean equal spans but for one
-    pair in about 2^64.
+    The byte values are mixed first and the sums after, so that equal hashes mean equal spans but for one pair in about 2^64. That
+    holds for spans of up to SHORT bytes; some constructed longer ones have equal sums under any odd base.
     """
 
-    BASE = 0x9E3779B97F4A7C15 | 1
+    BASE, SHORT = 0x9E3779B97F4A7C15 | 1, 256
     VALUES = splitmix(np.arange(256, dtype=np.uint64) + np.uint64(0xA5A5))
 
     def __init__(self, most: int = 1 << 16):

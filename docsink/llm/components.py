@@ -24,7 +24,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(spark: SparkSession, links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root) of every node in `links` (a, b); a component's root is its least node."""
+    """(node, root) of every node in `links` (a, b); a component's root is its least node.
+
+    Raises if `rounds`, far more than the logarithm of the longest chain, were not enough.
+    """
     edges = written(spark, links.select("a", "b").where("a <> b").distinct(), "links")
     mark = None
     for _ in range(rounds):
@@ -33,4 +36,6 @@ def components(spark: SparkSession, links: DataFrame, rounds: int = 60) -> DataF
             break
         mark = new
         edges = written(spark, _star(_star(edges, True), False), "links")
+    else:
+        raise RuntimeError(f"the components still change after {rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

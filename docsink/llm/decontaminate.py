@@ -3,7 +3,8 @@
 The training documents are indexed in segments of a bounded number of bytes: for each segment one row with
 its sorted term hashes and, for each term, the positions of its occurrences (delta-coded). Documents lie whole
 in a segment, so intersecting position lists needs no shuffle: each segment answers all phrases on its own,
-beginning with the phrase's rarest term there, and the index is read once for each block of test items.
+beginning with the phrase's rarest term there. The windows of the test items are a written table of blocks of a bounded
+number of windows; each block is broadcast, and the index is read once for each.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,10 @@ from .common import SpanHash, blocks, table, texts_of, utf8, written
 
 #: Bytes of text in a segment, about; a longer document is a segment by itself.
 SEGMENT_BYTES = 2 << 20
-#: Bytes of test items that are sent to the executors at a time; more items are more passes over the index.
-ITEM_BLOCK_BYTES = 4 << 20
+#: Windows of test items that are broadcast at a time, a few MB; more windows are more passes over the index.
+BLOCK_WINDOWS = 1 << 17
+#: Bytes of test items whose windows are made in one task, about; of a longer item all windows are made there, block by block.
+ITEM_BYTES = 4 << 20
 WINDOW = 10
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -29,7 +33,8 @@ IS_WORD = np.zeros(256, bool)
 IS_WORD[48:58] = IS_WORD[65:91] = IS_WORD[97:123] = IS_WORD[128:] = True
 
 INDEX = "doc_ids binary, word_at binary, terms binary, term_at binary, places binary"
-FOUND = "doc_id long, n_words long, spans array<int>, items array<string>"
+WINDOWS = "terms binary, numbers binary, lengths binary, item_at binary, item_of binary, ids array<string>"
+FOUND = "segment long, place int, doc_id long, n_words long, spans array<int>, items array<string>"
 
 
 def word_hashes(data: np.ndarray, at: np.ndarray, hasher: SpanHash) -> tuple[np.ndarray, np.ndarray]:
@@ -41,8 +46,11 @@ def word_hashes(data: np.ndarray, at: np.ndarray, hasher: SpanHash) -> tuple[np.
     first[1:] &= ~is_word[:-1] | edge[1:-1]
     last[:-1] &= ~is_word[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums = hasher.prefix(LOWER[data])
-    return hasher.spans(sums, starts, ends), np.searchsorted(starts, at)
+    lowered = LOWER[data]
+    hashes = hasher.spans(hasher.prefix(lowered), starts, ends)
+    for k in np.flatnonzero(ends - starts > hasher.SHORT).tolist():
+        hashes[k] = xxhash.xxh3_64_intdigest(lowered[starts[k] : ends[k]].tobytes())
+    return hashes, np.searchsorted(starts, at)
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +69,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame) -> DataFrame:
     """One row for each segment of `docs` (doc_id, text): its documents and its posting lists."""
-    return texts_of(docs).mapInArrow(_build, INDEX)
+    return texts_of(docs).mapInArrow(_build, INDEX).withColumn("segment", F.monotonically_increasing_id())
 
 
 class Segment:
@@ -117,31 +125,55 @@ class Segment:
         return starts
 
 
-def windows_of(items: list[tuple[str, str]], window: int) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, list[str]]]]:
-    """Distinct terms; and each distinct window as numbers of terms, with the ids of the items that have it."""
-    words, word_at = word_hashes(*utf8(pa.array([t for _, t in items], pa.string())), SpanHash())
-    terms, numbers = np.unique(words, return_inverse=True)
-    found: dict[bytes, tuple[np.ndarray, list[str]]] = {}
-    for (item, _), a, b in zip(items, word_at[:-1], word_at[1:], strict=True):
-        for i in range(a, max(a + 1, b - window + 1) if b > a else a):
-            w = numbers[i : min(b, i + window)]
-            held = found.setdefault(w.tobytes(), (w, []))[1]
-            if not held or held[-1] != item:
-                held.append(item)
-    return terms, numbers, list(found.values())
+def _block(found: dict[bytes, tuple[np.ndarray, list[str]]]) -> pa.RecordBatch:
+    """A row of WINDOWS: distinct terms, each window as numbers of them, and the items that have it."""
+    windows, held = [w for w, _ in found.values()], [x for _, x in found.values()]
+    terms, numbers = np.unique(np.concatenate([np.zeros(0, np.uint64), *windows]), return_inverse=True)
+    ids = sorted({x for own in held for x in own})
+    at = {x: k for k, x in enumerate(ids)}
+    columns = (terms, numbers.astype(np.int32), np.array([len(w) for w in windows], np.int32), np.cumsum([0, *map(len, held)]).astype(np.int32), np.array([at[x] for own in held for x in own], np.int32))
+    return pa.RecordBatch.from_arrays([*(pa.array([x.tobytes()], pa.binary()) for x in columns), pa.array([ids], pa.list_(pa.string()))], names=[x.split()[0] for x in WINDOWS.split(", ")])
 
 
-def _finder(items: list[tuple[str, str]], window: int, slop: int | None):
-    terms, _, found = windows_of(items, window)
-    by_length: dict[int, list[int]] = {}
-    for n, (w, _) in enumerate(found):
-        by_length.setdefault(len(w), []).append(n)
-    grids = {k: (np.stack([found[n][0] for n in v]), v) for k, v in by_length.items()}
+def _windows(window: int, most: int):
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, found = SpanHash(), {}
+        for batch in batches:
+            words, word_at = word_hashes(*utf8(batch.column("text")), hasher)
+            for item, a, b in zip(batch.column("item_id").to_pylist(), word_at[:-1].tolist(), word_at[1:].tolist(), strict=True):
+                for i in range(a, max(a + 1, b - window + 1) if b > a else a):
+                    w = words[i : min(b, i + window)]
+                    held = found.setdefault(xxhash.xxh3_128_digest(w.tobytes()), (w.copy(), []))[1]
+                    if not held or held[-1] != item:
+                        held.append(item)
+                    if len(found) >= most:
+                        yield _block(found)
+                        found.clear()
+        if found:
+            yield _block(found)
+
+    return made
+
+
+def item_windows(spark: SparkSession, items: DataFrame, window: int = WINDOW, most: int = BLOCK_WINDOWS) -> DataFrame:
+    """The distinct windows of items (item_id, text) in blocks of at most `most`; a window that is in two blocks is found by both."""
+    texts = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return written(spark, texts.repartition(1 + size // ITEM_BYTES, "item_id").mapInArrow(_windows(window, most), WINDOWS), "windows")
+
+
+def _finder(block, slop: int | None):
+    """block: a broadcast row of WINDOWS, or None where there are no windows."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = block.value if block else {"terms": b"", "numbers": b"", "lengths": b"", "item_at": b"", "item_of": b"", "ids": []}
+        terms, ids = np.frombuffer(row["terms"], np.uint64), row["ids"]
+        numbers, lengths, item_at, item_of = (np.frombuffer(row[c], np.int32) for c in ("numbers", "lengths", "item_at", "item_of"))
+        begins = np.cumsum(lengths) - lengths
+        grids = {n: (numbers[begins[own][:, None] + np.arange(n)], own) for n in np.unique(lengths).tolist() for own in [np.flatnonzero(lengths == n)]}
         for batch in batches:
-            for row in zip(*(c for c in batch.columns), strict=True):
-                s = Segment(*(x.as_buffer() for x in row))
+            for segment, *packed in zip(batch.column("segment").to_pylist(), *(batch.column(c.split()[0]) for c in INDEX.split(", ")), strict=True):
+                s = Segment(*(x.as_buffer() for x in packed))
                 here = s.look_up(terms)
                 counts = np.where(here >= 0, s.term_at[np.maximum(here, 0) + 1] - s.term_at[np.maximum(here, 0)], 0) if len(s.terms) else np.zeros(len(terms), np.int64)
                 spans: dict[int, list[int]] = {}
@@ -151,18 +183,21 @@ def _finder(items: list[tuple[str, str]], window: int, slop: int | None):
                     for k in np.flatnonzero((counts[grid] > 0).all(axis=1)):
                         w = here[grid[k]]
                         starts = s.phrase(w, counts[grid[k]]) if slop is None else s.near(w, counts[grid[k]], width)
+                        own = [ids[x] for x in item_of[item_at[which[k]] : item_at[which[k] + 1]]] if len(starts) else []
                         for d, p in zip((np.searchsorted(s.word_at, starts, "right") - 1).tolist(), starts.tolist(), strict=True):
                             spans.setdefault(d, []).extend((p - int(s.word_at[d]), p - int(s.word_at[d]) + width))
-                            held.setdefault(d, set()).update(found[which[k]][1])
+                            held.setdefault(d, set()).update(own)
                 n = len(s.doc_ids)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(np.full(n, segment)),
+                        pa.array(np.arange(n, dtype=np.int32)),
                         pa.array(s.doc_ids),
                         pa.array(np.diff(s.word_at)),
                         pa.array([spans.get(d, []) for d in range(n)], pa.list_(pa.int32())),
                         pa.array([sorted(held.get(d, ())) for d in range(n)], pa.list_(pa.string())),
                     ],
-                    names=["doc_id", "n_words", "spans", "items"],
+                    names=[x.split()[0] for x in FOUND.split(", ")],
                 )
 
     return find
@@ -181,29 +216,23 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(hits, pa.int64()), batch.column("items")], names=["doc_id", "n_words", "n_hit", "items"])
 
 
-def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int | None = None, block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
+def search(spark: SparkSession, index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int | None = None, most: int = BLOCK_WINDOWS) -> DataFrame:
     """Per indexed document: doc_id, n_words, n_hit, items (ids with an occurring window, sorted).
 
-    items: (item_id, text). They come to the driver a block at a time, and each block is one pass over the index.
+    index: a written table. items: (item_id, text); each `most` windows of them, a bounded broadcast, are one pass over the index.
     slop None: exact phrases; else windows whose words all stand, in any order, within window + slop words.
     Repeated items and windows count once; null, empty and wordless items have no window; no items: no hits.
-    Each row of a repeated doc_id is a document of its own if there is one block of items.
+    Each row of a repeated doc_id is a document of its own.
     """
-    passes, block, held = [], [], 0
-    rows = items.select(F.col("item_id").cast("string"), F.col("text").cast("string")).where("text is not null").toLocalIterator()
-    for item, text in rows:
-        if block and held + len(text) > block_bytes:
-            passes.append(index.mapInArrow(_finder(block, window, slop), FOUND))
-            block, held = [], 0
-        block.append((item, text))
-        held += len(text)
-    passes.append(index.mapInArrow(_finder(block, window, slop), FOUND))
+    blocks_made = [spark.sparkContext.broadcast(r.asDict()) for r in item_windows(spark, items, window, most).toLocalIterator()] or [None]
+    passes = [index.mapInArrow(_finder(block, slop), FOUND) for block in blocks_made]
     found = passes[0]
-    for other in passes[1:]:
-        found = found.unionByName(other)
     if passes[1:]:
-        found = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return found.mapInArrow(_covered, "doc_id long, n_words long, n_hit long, items array<string>")
+        for other in passes[1:]:
+            found = found.unionByName(other)
+        ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
+        found = found.groupBy("segment", "place").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), ids.alias("items"))
+    return found.select("doc_id", "n_words", "spans", "items").mapInArrow(_covered, "doc_id long, n_words long, n_hit long, items array<string>")
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -215,7 +244,7 @@ def report(found: DataFrame) -> DataFrame:
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = written(spark, build_index(table(spark, sf_dir, "documents")), "index")
-    return report(search(index, table(spark, sf_dir, "benchmark")))
+    return report(search(spark, index, table(spark, sf_dir, "benchmark")))
 
 
 OP5_SQL = r"""
