@@ -50,7 +50,7 @@ def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without any passage of a benchmark item, each by its own text, whatever its doc_id."""
     rows, numbered = _rows(spark, docs)
     index = written(spark, build_index(numbered), "index")
-    hit = search(index, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias(ROW))
+    hit = search(spark, index, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias(ROW))
     return rows.join(hit, ROW, "left_anti").select(*docs.columns)
 
 
