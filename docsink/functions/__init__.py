@@ -1,41 +1,19 @@
-"""The column functions of the operators, for use in expressions."""
+"""Column functions on documents as JSON text."""
 
-from ..operators.checks import key_reason, missing_required, object_reason
-from ..operators.outcome import error_class
-from ..operators.project import (
-    doc_id_from_key,
-    doc_id_from_position,
-    doc_id_generated,
-    event_time_from_field,
-    event_time_from_record,
-    event_time_of_json,
-    normalise,
-    record_position,
-    to_document,
-    version_from_header,
-    version_from_offset,
-    write_op,
-)
-from ..operators.route import route_by_time, route_index, route_stream
+from __future__ import annotations
 
-__all__ = [
-    "doc_id_from_key",
-    "doc_id_from_position",
-    "doc_id_generated",
-    "error_class",
-    "event_time_from_field",
-    "event_time_from_record",
-    "event_time_of_json",
-    "key_reason",
-    "missing_required",
-    "normalise",
-    "object_reason",
-    "record_position",
-    "route_by_time",
-    "route_index",
-    "route_stream",
-    "to_document",
-    "version_from_header",
-    "version_from_offset",
-    "write_op",
-]
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+OBJECT = "map<string, variant>"
+
+
+def json_fields(text: Column) -> Column:
+    """The top-level fields of a JSON object; null where the text is none."""
+    return F.when(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.try_parse_json(text)).cast(OBJECT)
+
+
+def json_put(text: Column, name: str, value: Column) -> Column:
+    """The JSON object with one field set, other fields as they are. Where value is null, or the text is no object, the text as it is."""
+    others = F.map_filter(json_fields(text), lambda k, _: k != name)
+    return F.coalesce(F.when(value.isNotNull(), F.to_json(F.map_concat(others, F.create_map(F.lit(name), value.cast("variant"))))), text)

@@ -10,6 +10,7 @@ from .project import record_position
 
 KEY_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
 NULL_VALUE, NULL_KEY, EMPTY_KEY, NO_OBJECT, MISSING, NO_RESOURCE, BAD_VERSION = "null value", "null key", "empty key", "not an object", "null in a required field", "topic without resource", "bad version"
+MALFORMED = "malformed document"
 
 
 class InvalidRecords(ValueError):
@@ -89,7 +90,10 @@ def tag(changes: DataFrame, options) -> DataFrame:
     elif options.is_stream:
         require_object(kind, options.compact_map_entries)
     if isinstance(kind, T.StructType) and not options.schema_ignore:
-        reason = F.coalesce(reason, F.when(missing_required(F.col("value"), kind), MISSING))
+        missing = missing_required(F.col("value"), kind)
+        if options.topic_schema_ignore:
+            missing = missing & ~F.col("topic").isin(*options.topic_schema_ignore)
+        reason = F.coalesce(reason, F.when(missing, MISSING))
     return changes.withColumn("reason", reason)
 
 
@@ -113,6 +117,13 @@ def stop_if_invalid(tagged: DataFrame, options) -> None:
         raise InvalidRecords(f"{first['reason']}: {first['position']}")
 
 
+def stop_if_malformed(bad: DataFrame, options) -> None:
+    """Raises on the first malformed document if the policy is to fail. Call it after they are written."""
+    first = bad.select(record_position().alias("position")).first() if options.malformed_policy == "fail" else None
+    if first:
+        raise InvalidRecords(f"{MALFORMED}: {first['position']}")
+
+
 def conforms(docs: DataFrame, declared: dict[str, str], text: str = "doc", strict: bool = True) -> DataFrame:
     """docs with `unknown_fields` and `bad_fields`, by declared field -> Spark SQL type; JSON text in column `text`.
 

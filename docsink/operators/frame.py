@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,24 +34,42 @@ def bulk_lines(actions: DataFrame, doc: str = "doc_json", version: str | None =
     return actions.select("topic", "partition", "offset", F.posexplode(lines).alias("line_no", "line"))
 
 
+def _numbers(sizes: np.ndarray, most_bytes: int, most_rows: int | None, held: int, rows: int) -> tuple[np.ndarray, int, int]:
+    """Of rows in order, how many batches were closed before each; and what the open one holds then. Jumps from end to end."""
+    total, closed, at = np.cumsum(sizes), [], 0
+    while at < len(sizes):
+        before = total[at - 1] if at else 0
+        by_bytes = int(np.searchsorted(total, before + most_bytes - held)) if most_bytes != -1 else len(sizes)
+        end = min(max(by_bytes, at), at + most_rows - rows - 1 if most_rows else len(sizes))
+        if end >= len(sizes):
+            held, rows = held + int(total[-1] - before), rows + len(sizes) - at
+            break
+        closed.append(end)
+        at, held, rows = end + 1, 0, 0
+    return np.searchsorted(np.array(closed, np.int64), np.arange(len(sizes))), held, rows
+
+
 def frame_by_bytes(actions: DataFrame, size: str, most_bytes: int, most_rows: int | None = None) -> DataFrame:
     """actions with `batch`: a batch closes once its sizes reach most_bytes (-1: never) or it has most_rows.
 
-    Each log partition is read in order by one task, a batch of rows at a time; only the running sum is kept.
+    Each log partition is read in order by one task, as its batches depend on all before; only a running sum is kept.
     """
     schema = T.StructType([*actions.schema.fields, T.StructField("batch", T.LongType())])
 
-    def framed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, batch, held, rows = None, 0, 0, 0
-        for frame in frames:
-            out = np.empty(len(frame), np.int64)
-            for k, (topic, partition, n) in enumerate(zip(frame["topic"], frame["partition"], frame[size], strict=True)):
-                if (topic, partition) != key:
-                    key, batch, held, rows = (topic, partition), 0, 0, 0
-                out[k] = batch
-                held, rows = held + n, rows + 1
-                if (most_bytes != -1 and held >= most_bytes) or (most_rows and rows >= most_rows):
-                    batch, held, rows = batch + 1, 0, 0
-            yield frame.assign(batch=out)
-
-    return actions.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset").mapInPandas(framed, schema)
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, number, held, rows = None, 0, 0, 0
+        for own in batches:
+            topics, partitions = own.column("topic").to_pylist(), own.column("partition").to_pylist()
+            sizes = own.column(size).to_numpy(zero_copy_only=False).astype(np.int64)
+            cuts = [0, *(k for k in range(1, len(topics)) if (topics[k], partitions[k]) != (topics[k - 1], partitions[k - 1])), len(topics)]
+            out = np.empty(len(topics), np.int64)
+            for i, j in zip(cuts, cuts[1:]):
+                if i < j and (topics[i], partitions[i]) != key:
+                    key, number, held, rows = (topics[i], partitions[i]), 0, 0, 0
+                before, now = held, rows
+                closed, held, rows = _numbers(sizes[i:j], most_bytes, most_rows, before, now)
+                out[i:j] = number + closed
+                number += int(closed[-1] + (rows == 0)) if i < j else 0
+            yield own.append_column("batch", pa.array(out))
+
+    return actions.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset").mapInArrow(framed, schema)

@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import json_put
+
 
 def doc_id_from_key(key: Column) -> Column:
     return key.cast("string")
@@ -77,9 +79,9 @@ def event_time_from_record(doc: Column, timestamp: Column) -> Column:
 
 
 def event_time_from_field(doc: Column, kind: T.StructType, fields: Sequence[str]) -> Column:
-    """The document with @timestamp as the text of the first listed field that it has; without one it stays as it is."""
-    name = next((f for f in fields if f in kind.fieldNames()), None)
-    return doc if name is None else doc.withField("`@timestamp`", doc[name].cast("string"))
+    """The document with @timestamp as the text of the first listed field that it has and that is not null; without any listed field it stays as it is."""
+    names = [f for f in fields if f in kind.fieldNames()]
+    return doc.withField("`@timestamp`", F.coalesce(*(doc[f].cast("string") for f in names))) if names else doc
 
 
 def event_time_of_json(text: Column, fields: Sequence[str]) -> Column:
@@ -87,6 +89,11 @@ def event_time_of_json(text: Column, fields: Sequence[str]) -> Column:
     return F.coalesce(*(F.get_json_object(text, f"$.{f}") for f in fields))
 
 
+def event_time_in_json(text: Column, timestamp: Column, fields: Sequence[str]) -> Column:
+    """The JSON object with @timestamp from the listed fields, or if none are listed from the record's time."""
+    return json_put(text, "@timestamp", event_time_of_json(text, fields) if fields else F.unix_millis(timestamp.cast("timestamp")))
+
+
 def version_from_offset(keyed: Column, offset: Column | str = "offset") -> Column:
     return F.when(keyed, F.col(offset) if isinstance(offset, str) else offset)
 
@@ -102,6 +109,10 @@ def write_op(value: Column, options) -> Column:
     return F.when(value.isNull(), "delete").otherwise(other)
 
 
+# Fixed value: how messages name a record.
+POSITION = "record from topic=%s partition=%s offset=%s"
+
+
 def record_position() -> Column:
     """What messages name a record by: never its contents."""
-    return F.format_string("record from topic=%s partition=%s offset=%s", "topic", "partition", "offset")
+    return F.format_string(POSITION, "topic", "partition", "offset")

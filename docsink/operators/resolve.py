@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import json_fields
 
 ID = ["resource", "id"]
 ARRIVAL = ("topic", "partition", "offset")
@@ -31,28 +34,46 @@ def live(state: DataFrame) -> DataFrame:
     return state.where("op <> 'delete'")
 
 
-def _after_delete(actions: DataFrame, arrival: Column) -> DataFrame:
-    deleted = actions.where("op = 'delete'").groupBy(*ID).agg(F.max(arrival).alias("deleted"))
-    kept = actions.where("op <> 'delete'").withColumn("arrived", arrival).join(deleted, ID, "left")
-    return kept.where("deleted is null or arrived > deleted").drop("deleted")
-
-
 def merge_partial(actions: DataFrame, fields: Sequence[str], arrival: Sequence[str] = ARRIVAL, present: dict[str, Column] | None = None) -> DataFrame:
     """For each id the last value of each field after its last delete. A field counts where `present` says so (else always).
 
-    The columns named in `fields` are top-level; nested ones are to be flattened before.
+    The columns named in `fields` are top-level; nested ones are to be flattened before. All is one aggregate, so an id with
+    very many writes is one row from each task.
     """
-    kept = _after_delete(actions, F.struct(*arrival))
-    found = [F.max_by(f, F.when((present or {}).get(f, F.lit(True)), F.col("arrived"))).alias(f) for f in fields]
-    return kept.groupBy(*ID).agg(*found)
+    at, write = F.struct(*arrival), F.col("op") != "delete"
+    last = [F.max_by(F.struct(at.alias("at"), F.col(f).alias("v")), F.when(write & (present or {}).get(f, F.lit(True)), at)).alias(f) for f in fields]
+    found = actions.groupBy(*ID).agg(F.max(F.when(~write, at)).alias("deleted"), F.max(F.when(write, at)).alias("written"), *last)
+    after = lambda x: F.col("deleted").isNull() | (x > F.col("deleted"))
+    return found.where(F.col("written").isNotNull() & after(F.col("written"))).select(*ID, *(F.when(after(F.col(f)["at"]), F.col(f)["v"]).alias(f) for f in fields))
+
+
+def _merged_json(actions: DataFrame, text: str, arrival: Sequence[str]) -> DataFrame:
+    """By id: written and deleted (its last write and delete), last (the row of the last of both), merged JSON text."""
+    at = F.struct(*arrival)
+    fields = F.when(F.col("op") != "delete", json_fields(F.col(text)))
+    rows = actions.select(*ID, "op", at.alias("at"), F.struct(*_rest(actions)).alias("row"), F.explode_outer(fields).alias("field", "v"))
+    write = F.col("op") != "delete"
+    by_field = rows.groupBy(*ID, "field").agg(F.max(F.when(~write, F.col("at"))).alias("deleted"), F.max(F.when(write, F.col("at"))).alias("written"), F.max_by("row", "at").alias("row"), F.max("at").alias("at"), F.max_by(F.to_json("v"), F.when(write, F.col("at"))).alias("v"))
+    entry = F.when(F.col("field").isNotNull(), F.struct("field", "v", "written"))
+    found = by_field.groupBy(*ID).agg(F.max("deleted").alias("deleted"), F.max("written").alias("written"), F.max_by("row", "at").alias("row"), F.sort_array(F.collect_list(entry)).alias("entries"))  # the fields of one document
+    alive = F.filter("entries", lambda e: F.col("deleted").isNull() | (e["written"] > F.col("deleted")))
+    return found.withColumn("merged", F.to_json(F.map_from_entries(F.transform(alive, lambda e: F.struct(e["field"], F.parse_json(e["v"]))))))
 
 
 def merge_partial_json(actions: DataFrame, text: str = "doc", arrival: Sequence[str] = ARRIVAL) -> DataFrame:
     """The same for free-form JSON objects: explicit nulls overwrite, absent fields do not. An id that has only {} stays, as {}."""
-    kept = _after_delete(actions, F.struct(*arrival)).select(*ID, "arrived", F.explode_outer(F.expr(f"cast(parse_json({text}) as map<string, variant>)")).alias("field", "v"))
-    last = kept.groupBy(*ID, "field").agg(F.max_by(F.to_json("v"), "arrived").alias("v"))
-    entries = F.sort_array(F.collect_list(F.when(F.col("field").isNotNull(), F.struct("field", "v"))))  # the fields of one document
-    return last.groupBy(*ID).agg(F.to_json(F.map_from_entries(F.transform(entries, lambda e: F.struct(e["field"], F.parse_json(e["v"]))))).alias(text))
+    found = _merged_json(actions, text, arrival).where("written is not null and (deleted is null or written > deleted)")
+    return found.select(*ID, F.col("merged").alias(text))
+
+
+def upserts(actions: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+    """State of partial writes: the actions' columns, doc_json being merged and doc read from it. A last delete stays as a tombstone."""
+    found = _merged_json(actions, "doc_json", arrival)
+    alive = F.col("written").isNotNull() & (F.col("deleted").isNull() | (F.col("written") > F.col("deleted")))
+    kind = actions.schema["doc"].dataType
+    doc = F.col("merged") if isinstance(kind, T.StringType) else F.from_json("merged", kind)
+    own = {"doc_json": F.when(alive, F.col("merged")), "doc": F.when(alive, doc)}
+    return found.select(*ID, *(own.get(c, F.col("row")[c]).alias(c) for c in _rest(actions) if c not in arrival or c in ARRIVAL))
 
 
 def first_create_wins(actions: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
@@ -60,6 +81,11 @@ def first_create_wins(actions: DataFrame, arrival: Sequence[str] = ARRIVAL) -> D
     return actions.groupBy(*ID).agg(won).select(*ID, "won.*")
 
 
+def keep_one(actions: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+    """Ids that name a position: what comes again is the same."""
+    return actions.dropDuplicates(ID)
+
+
 def append(state: DataFrame | None, actions: DataFrame) -> DataFrame:
     """Each write its own document; positional ids make replays harmless."""
     return (actions if state is None else state.unionByName(actions)).dropDuplicates(ID)
@@ -78,7 +104,11 @@ def refused(actions: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
 
 
 def apply_batch(state: DataFrame, actions: DataFrame, resolve=latest_wins) -> DataFrame:
-    """state and new actions to the new state; documents that the batch does not touch are not resolved again."""
-    touched = actions.select(*ID).distinct()
-    again = resolve(state.join(touched, ID, "left_semi").unionByName(actions))
-    return state.join(touched, ID, "left_anti").unionByName(again)
+    """state and new actions to the new state; documents that the batch does not touch are not resolved again.
+
+    What is in the state arrived before what is new.
+    """
+    touched = actions.select(*ID).distinct().withColumn("touched", F.lit(True))
+    marked = state.join(touched, ID, "left")
+    again = marked.where("touched").drop("touched").withColumn("turn", F.lit(0)).unionByName(actions.withColumn("turn", F.lit(1)))
+    return marked.where("touched is null").drop("touched").unionByName(resolve(again, ("turn", *ARRIVAL)).select(state.columns))

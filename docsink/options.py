@@ -28,6 +28,9 @@ class Options:
     malformed_policy: str = "fail"
     version_header: str = ""
     write_method: str = "insert"
+    #: The target's fields and their Spark SQL types; with them documents are checked before they are written.
+    declared_fields: dict[str, str] = field(default_factory=dict)
+    declared_strict: bool = True
     stream_type: str = ""
     stream_dataset: str = ""
     stream_namespace: str = "${topic}"

@@ -37,8 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared(spark: SparkSession, tag: str) -> str:
-    """A new folder's path under the cluster's shared one, or a temporary one where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="spark-")
+    """A new folder's path under the cluster's shared one, or on one machine a temporary one where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    root = root or tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
@@ -187,9 +190,56 @@ def ids_from_position(spark, sf_dir):
     return event_changes(table(spark, sf_dir, "events")).select(project.doc_id(Options(key_ignore=True)).alias("id"), F.col("key").alias("user_id"))
 
 
-@query()
+@query("SELECT count(*) AS n, count(*) AS n_ids, 36 AS longest FROM events")
 def ids_generated(spark, sf_dir):
-    return event_changes(table(spark, sf_dir, "events")).select(project.doc_id_generated().alias("id"), "offset")
+    ids = event_changes(table(spark, sf_dir, "events")).select(project.doc_id_generated().alias("id"))
+    return ids.agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"), F.max(F.length("id")).alias("longest"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_type = 'error' THEN 'failed' ELSE event_type END AS event_type FROM (SELECT * FROM events WHERE event_type <> 'view')""")
+def nulls_allowed_to_stop_a_job(spark, sf_dir):
+    """Values that may not be null: the job would end at the first null; here all are filled before."""
+    events = table(spark, sf_dir, "events").where("event_type <> 'view'").withColumn("value", F.coalesce(F.nullif("event_type", F.lit("error")), F.lit("failed")))
+    rows = source.as_changes(events, topic=F.lit("events"), partition=F.lit(0), offset="event_id", key="user_id", value="value")
+    return rows.select(F.col("offset").alias("event_id"), checks.fail_on_nulls(F.col("value")).alias("event_type"))
+
+
+@query("""SELECT o_orderkey, '{"prices":[' || CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) || ',null],"days":[' || epoch_ms(CAST(o_orderdate AS DATE)) || '],"at":' || epoch_ms(CAST(o_orderdate AS TIMESTAMP)) || '}' AS doc
+FROM orders WHERE o_totalprice < 10000000 AND o_totalprice >= 1000""")
+def arrays_and_times(spark, sf_dir):
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    value = F.struct(F.array(price, F.lit(None).cast("decimal(12,2)")).alias("prices"), F.array(F.col("o_orderdate").cast("date")).alias("days"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
+    orders = table(spark, sf_dir, "orders").where("o_totalprice < 10000000 and o_totalprice >= 1000").select("o_orderkey", value.alias("value"))
+    return orders.select("o_orderkey", project.to_document(project.normalise(F.col("value"), orders.schema["value"].dataType)).alias("doc"))
+
+
+@query("SELECT event_type, n FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)")
+def decoded_text(spark, sf_dir):
+    """Plain text values: what a data stream would reject, an index of texts takes."""
+    rows = source.as_changes(table(spark, sf_dir, "events"), topic=F.lit("events"), partition=F.lit(0), offset="event_id", key="user_id", value="event_type")
+    return source.decode_text(rows).groupBy(F.col("value").alias("event_type")).agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(epoch_us(ts) // 1000 AS BIGINT) AS at FROM events""")
+def timestamped_json(spark, sf_dir):
+    """JSON text in a data stream gets @timestamp from its record."""
+    options = Options(stream_type="logs", stream_dataset="app", null_policy="ignore")
+    rows = source.as_changes(table(spark, sf_dir, "events"), topic=F.lit("events"), partition=F.lit(0), offset="event_id", timestamp="ts", key="user_id", value="props")
+    made = job.actions(checks.accepted(job.tagged(rows, options)), options)
+    return made.select(F.col("offset").alias("event_id"), F.get_json_object("doc_json", "$.k").alias("k"), F.get_json_object("doc_json", "$['@timestamp']").cast("long").alias("at"))
+
+
+@query("SELECT p_partkey, p_partkey % 2 = 0 AS ignored, p_partkey % 2 = 0 AS null_kept FROM part")
+def topic_schema_ignored(spark, sf_dir):
+    """Of a topic whose schema is ignored the value is written as it came: defaults aren't filled in."""
+    options = Options(topic_schema_ignore=("raw",))
+    size = F.lit(None).cast("int").alias("size", metadata={"default": 5})
+    part = table(spark, sf_dir, "part")
+    rows = source.as_changes(part, topic=F.when(F.col("p_partkey") % 2 == 0, "raw").otherwise("typed"), partition=F.lit(0), offset="p_partkey", key="p_partkey", value=F.struct(size, "p_name"))
+    made = job.actions(checks.accepted(job.tagged(rows, options)), options)
+    return made.select(F.col("offset").alias("p_partkey"), (F.col("topic") == "raw").alias("ignored"), F.get_json_object("doc_json", "$.size").isNull().alias("null_kept"))
 
 
 @query("SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(12, 2)) AS DOUBLE) AS price, p_size AS size FROM part")
@@ -355,10 +405,9 @@ def refused_writes(spark, sf_dir):
 @query(LATEST)
 def incremental_state(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    half = events.agg((F.max("event_id") / 2).alias("half"))
-    split = event_changes(events.join(F.broadcast(half)).where("event_id <= half")), event_changes(events.join(F.broadcast(half)).where("event_id > half"))
-    before = resolve.latest_wins(event_actions(split[0]))
-    return _documents(resolve.live(resolve.apply_batch(before, event_actions(split[1]).select(before.columns))))
+    odd = F.col("event_id") % 2 == 1
+    before = resolve.latest_wins(event_actions(event_changes(events.where(odd))))
+    return _documents(resolve.live(resolve.apply_batch(before, event_actions(event_changes(events.where(~odd))).select(before.columns))))
 
 
 @query("SELECT 'events' AS resource, count(*) AS n_docs FROM (SELECT user_id, arg_max(event_type, event_id) AS t FROM events GROUP BY 1) WHERE t <> 'error'")
@@ -369,6 +418,22 @@ def doc_counts(spark, sf_dir):
 # Mapping
 
 
+@query("""
+SELECT path, type, keyword_ignore_above, null_value FROM (VALUES
+  ('key', 'long', NULL, NULL), ('at', 'date', NULL, NULL), ('lines', 'object', NULL, NULL), ('lines.price', 'double', NULL, '1.5'), ('lines.flag', 'boolean', NULL, NULL),
+  ('lines.note', 'text', 256, NULL), ('tags', 'object', NULL, NULL), ('size', 'integer', NULL, '7'), ('day', 'date', NULL, '0'), ('raw', 'binary', NULL, NULL), ('small', 'short', NULL, NULL), ('tiny', 'byte', NULL, NULL), ('ratio', 'float', NULL, NULL)
+) m(path, type, keyword_ignore_above, null_value) WHERE (SELECT count(*) FROM orders) > 0""")
+def mapping_of_nested_orders(spark, sf_dir):
+    """All kinds of fields, with defaults, made of the orders and mapped once for the one resource that they go to."""
+    line = F.struct(F.col("o_totalprice").cast("decimal(12,2)").alias("price", metadata={"default": "1.5"}), F.lit(True).alias("flag"), F.col("o_orderpriority").alias("note", metadata={"default": "none"}))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("long").alias("key"), F.col("o_orderdate").cast("timestamp").alias("at"), F.array(line).alias("lines"), F.create_map(F.lit("status"), "o_orderstatus").alias("tags"),
+        F.lit(1).alias("size", metadata={"default": 7}),
+        F.col("o_orderdate").cast("date").alias("day", metadata={"default": "1970-01-01"}), F.col("o_orderstatus").cast("binary").alias("raw"), F.lit(1).cast("smallint").alias("small"), F.lit(1).cast("tinyint").alias("tiny"), F.lit(1).cast("float").alias("ratio"),
+    )
+    return mapping.mappings_of(route.targets(orders.select(F.lit("orders").alias("resource"))), orders.schema).drop("resource")
+
+
 @query("""SELECT resource, m.* FROM (SELECT DISTINCT lower(source) AS resource FROM documents), (VALUES ('doc_id', 'long', NULL, NULL), ('text', 'text', 256, NULL), ('lang', 'text', 256, NULL), ('source', 'text', 256, NULL), ('n_chars', 'long', NULL, NULL))
 m(path, type, keyword_ignore_above, null_value)""")
 def mapping_rows(spark, sf_dir):
@@ -383,9 +448,9 @@ def unmapped_resources(spark, sf_dir):
     return mapping.unmapped(docs, docs.where("n_chars > 16000").select("resource").distinct())
 
 
-@query("SELECT event_type AS resource, 'k' AS field, count(*) AS n FROM events WHERE json_type(props, '$.k') IS NOT NULL GROUP BY 1")
+@query("SELECT event_type AS resource, 'k' AS field, 'BIGINT' AS type, count(*) AS n FROM events WHERE json_type(props, '$.k') IS NOT NULL GROUP BY 1")
 def inferred_fields(spark, sf_dir):
-    return mapping.infer_fields(table(spark, sf_dir, "events").select(F.col("event_type").alias("resource"), F.col("props").alias("doc"))).drop("type")
+    return mapping.infer_fields(table(spark, sf_dir, "events").select(F.col("event_type").alias("resource"), F.col("props").alias("doc")))
 
 
 # Batches
@@ -397,15 +462,15 @@ def bulk_batches_by_count(spark, sf_dir):
 
 
 @query("""
-WITH RECURSIVE d AS (SELECT doc_id, strlen(text) AS n, row_number() OVER (ORDER BY doc_id) AS rn FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, CAST(doc_id % 64 AS INTEGER) AS p, strlen(text) AS n, row_number() OVER (PARTITION BY doc_id % 64 ORDER BY doc_id) AS rn FROM documents),
 f AS (
-  SELECT rn, doc_id, 0 AS batch, n AS held FROM d WHERE rn = 1
-  UNION ALL SELECT d.rn, d.doc_id, CASE WHEN f.held >= 200000 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.held >= 200000 THEN d.n ELSE f.held + d.n END FROM f JOIN d ON d.rn = f.rn + 1
+  SELECT p, rn, doc_id, 0 AS batch, n AS held FROM d WHERE rn = 1
+  UNION ALL SELECT d.p, d.rn, d.doc_id, CASE WHEN f.held >= 50000 THEN f.batch + 1 ELSE f.batch END, CASE WHEN f.held >= 50000 THEN d.n ELSE f.held + d.n END FROM f JOIN d ON d.p = f.p AND d.rn = f.rn + 1
 )
-SELECT doc_id AS offset, CAST(batch AS BIGINT) AS batch FROM f""")
+SELECT p AS partition, doc_id AS offset, CAST(batch AS BIGINT) AS batch FROM f""")
 def bulk_batches_by_bytes(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.lit("documents").alias("topic"), F.lit(0).alias("partition"), F.col("doc_id").alias("offset"), F.octet_length("text").cast("long").alias("n"))
-    return frame.frame_by_bytes(docs, "n", 200_000).select("offset", "batch")
+    docs = table(spark, sf_dir, "documents").select(F.lit("documents").alias("topic"), F.pmod("doc_id", F.lit(64)).cast("int").alias("partition"), F.col("doc_id").alias("offset"), F.octet_length("text").cast("long").alias("n"))
+    return frame.frame_by_bytes(docs, "n", 50_000).select("partition", "offset", "batch")
 
 
 @query("""
@@ -428,7 +493,7 @@ def response_classes(spark, sf_dir):
     """Answers to writes, as a target gives them, are made of the events; their items are then paired and classified."""
     error = F.expr("case event_type when 'error' then 'document_parsing_exception' when 'click' then 'version_conflict_engine_exception' when 'signup' then 'es_rejected_execution_exception' end")
     item = F.concat(F.lit('{"index":{"_id":"'), F.col("event_id"), F.lit('","status":200'), F.coalesce(F.concat(F.lit(',"error":{"type":"'), error, F.lit('","reason":"r"}')), F.lit("")), F.lit("}}"))
-    events = table(spark, sf_dir, "events").select((F.col("event_id") % 100).alias("batch_id"), "event_id", item.alias("item"))
+    events = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 2000).alias("batch_id"), "event_id", item.alias("item"))
     answers = events.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("event_id", "item"))).alias("rows"))
     responses = answers.select("batch_id", F.concat(F.lit('{"items":['), F.array_join("rows.item", ","), F.lit("]}")).alias("response"))
     batches = answers.select("batch_id", F.posexplode("rows.event_id").alias("pos", "event_id")).withColumn("external", F.col("event_id") % 2 == 0)
@@ -501,23 +566,64 @@ def first_create_stream(spark, sf_dir):
     root = shared(spark, "state")
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        before = state.read_state(batch.sparkSession, root + "/out", before=batch_id)
-        fresh = _conversation_actions(batch)
-        state.write_state(resolve.first_create_wins(fresh) if before is None else resolve.apply_batch(before, fresh.select(before.columns), resolve.first_create_wins), root + "/out", batch_id)
+        state.update_state(_conversation_actions(batch), root + "/out", batch_id, resolve.first_create_wins)
 
     _stream(spark, sf_dir, "conversations").writeStream.foreachBatch(one).option("checkpointLocation", root + "/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return state.read_state(spark, root + "/out").select("id", "doc.*")
 
 
-@query("SELECT CAST(user_id AS VARCHAR) AS id, max(event_id) AS version FROM events GROUP BY 1")
+@query("SELECT CAST(user_id AS VARCHAR) AS id, event_id AS version, CASE WHEN event_type = 'error' THEN 'delete' ELSE 'index' END AS op FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1")
 def stream_latest_versions(spark, sf_dir):
     """Keyed state: each micro-batch emits the writes that became an id's state; the last of these per id is its state."""
     root = shared(spark, "latest")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    emitted = latest.stream_latest(event_actions(event_changes(_stream(spark, sf_dir, "events"))))
+    own = spark.newSession()  # the state store is a setting of the session; the caller's stays as it is
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    emitted = latest.stream_latest(event_actions(event_changes(_stream(own, sf_dir, "events"))))
 
     def one(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
     emitted.writeStream.outputMode("update").foreachBatch(one).option("checkpointLocation", root + "/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out").groupBy("id").agg(F.max("version").alias("version"))
+    return spark.read.parquet(f"{root}/out").groupBy("id").agg(F.max("version").alias("version"), F.max_by("op", "version").alias("op"))
+
+
+@query(MERGED.format(open="max(o_orderkey) FILTER (WHERE o_orderstatus = 'O')", done="max(o_orderkey) FILTER (WHERE o_orderstatus = 'F')", a="open_key", b="done_key"))
+def merged_orders_stream(spark, sf_dir):
+    """A stream of partial documents, upserted: what is absent in one stays, and a delete clears all."""
+    root = shared(spark, "upserts")
+    options = Options(write_method="upsert", null_policy="delete")
+    orders = _stream(spark, sf_dir, "orders")
+    part = F.when(F.col("o_orderstatus") == "O", F.to_json(F.struct(F.col("o_orderkey").alias("open_key")))).when(F.col("o_orderstatus") == "F", F.to_json(F.struct(F.col("o_orderkey").alias("done_key"))))
+    rows = source.as_changes(orders, topic=F.lit("orders"), partition=F.pmod("o_custkey", F.lit(4)), offset="o_orderkey", key="o_custkey", value=part)
+    state_sink.keep_state(rows, f"{root}/out", options, f"{root}/checkpoint").awaitTermination()
+    kept = resolve.live(state.read_state(spark, f"{root}/out"))
+    return kept.select("id", *(F.get_json_object("doc_json", f"$.{f}").cast("long").alias(f) for f in ("open_key", "done_key")))
+
+
+@query("""
+SELECT kind, n FROM (
+  SELECT 'written' AS kind, count(*) AS n FROM (SELECT DISTINCT user_id FROM events WHERE event_type NOT IN ('error', 'view'))
+  UNION ALL SELECT 'malformed', count(*) FROM events WHERE event_type IN ('error', 'view')
+  UNION ALL SELECT 'mapped', 0)""")
+def malformed_in_a_job(spark, sf_dir):
+    """A job that checks documents against the target's fields: malformed ones are rejects of the write, the others become state."""
+    root = shared(spark, "checked")
+    options = Options(malformed_policy="warn", declared_fields={"k": "bigint"})
+    doc = F.when(F.col("event_type") == "error", '{"k":"text"}').when(F.col("event_type") == "view", '{"other":1}').otherwise(F.col("props"))
+    rows = source.as_changes(table(spark, sf_dir, "events"), topic=F.lit("events"), partition=F.lit(0), offset="event_id", key="user_id", value=doc)
+    state_sink.apply_changes(rows, root, 0, options)
+    rejected = state.read_rejects(spark, root).where("stage = 'write'")
+    counts = [state.read_state(spark, root).select(F.lit("written").alias("kind")), rejected.select(F.lit("malformed").alias("kind"))]
+    counted = counts[0].unionByName(counts[1]).groupBy("kind").agg(F.count("*").alias("n"))
+    mapped = state.mapped(spark, root, 1).agg(F.count("*").alias("n")).select(F.lit("mapped").alias("kind"), "n")
+    return counted.unionByName(mapped)
+
+
+@query("SELECT 'events' AS resource, path, type FROM (VALUES ('event_type', 'text'), ('value', 'double'), ('props', 'text')) m(path, type) WHERE (SELECT count(*) FROM events) > 0")
+def mappings_of_a_job(spark, sf_dir):
+    """Two batches of a job map their resource once, from the values' schema."""
+    root, options = shared(spark, "mapped"), Options(null_policy="delete")
+    events = table(spark, sf_dir, "events")
+    for batch in (0, 1):
+        state_sink.apply_changes(event_changes(events.where(F.col("event_id") % 2 == batch)), root, batch, options)
+    return spark.read.parquet(f"{root}/mappings").select("resource", "path", "type")

@@ -29,25 +29,51 @@ def tagged(changes: DataFrame, options: Options) -> DataFrame:
 
 
 def actions(accepted: DataFrame, options: Options) -> DataFrame:
-    """One action for each accepted change: resource, id, op, version, doc, doc_json and the position."""
+    """One action for each accepted change: resource, id, op, version, doc, doc_json and the position.
+
+    doc_json is what is written: of a topic whose schema is ignored the value as it came, else its normalised form, and for
+    data streams with @timestamp, also where the value is JSON text.
+    """
     kind = accepted.schema["value"].dataType
-    doc = F.col("value")
-    if not options.schema_ignore and not isinstance(kind, T.StringType):
-        doc = project.normalise(doc, kind, options.compact_map_entries)
-    if options.is_stream and isinstance(kind, T.StructType):
-        doc = project.event_time_from_field(doc, kind, options.timestamp_fields) if options.timestamp_fields else project.event_time_from_record(doc, F.col("timestamp"))
-    text = F.col("doc") if isinstance(kind, T.StringType) else project.to_document(F.col("doc"))
+    text_kind = isinstance(kind, T.StringType)
+    timed = options.is_stream and isinstance(kind, T.StructType)
+
+    def with_time(doc: Column) -> Column:
+        if not timed:
+            return doc
+        return project.event_time_from_field(doc, kind, options.timestamp_fields) if options.timestamp_fields else project.event_time_from_record(doc, F.col("timestamp"))
+
+    raw = F.col("value")
+    if options.is_stream and text_kind:
+        raw = project.event_time_in_json(raw, F.col("timestamp"), options.timestamp_fields)
+    doc = with_time(raw if options.schema_ignore or text_kind else project.normalise(raw, kind, options.compact_map_entries))
+    text = F.col("doc") if text_kind else project.to_document(F.col("doc"))
+    if options.topic_schema_ignore and not text_kind:
+        text = F.when(F.col("topic").isin(*options.topic_schema_ignore), project.to_document(with_time(F.col("value")))).otherwise(text)
+    own = ["resource", project.doc_id(options).alias("id"), project.write_op(F.col("value"), options).alias("op"), _version(options).alias("version"), doc.alias("doc"), "topic", "partition", "offset", "timestamp"]
     return (
-        accepted.select("resource", project.doc_id(options).alias("id"), project.write_op(F.col("value"), options).alias("op"), _version(options).alias("version"), doc.alias("doc"), "topic", "partition", "offset", "timestamp")
+        accepted.select(*own, "value")
         .withColumn("version_type", F.when(F.col("version").isNotNull(), "external").otherwise("internal"))
         .withColumn("doc_json", F.when(F.col("op") != "delete", text))
+        .drop("value")
     )
 
 
 def resolver(options: Options):
-    """How actions become state under these options."""
+    """How actions become state under these options: a function of the actions and the columns of their arrival."""
     if options.is_stream:
         return resolve.first_create_wins
+    if options.write_method == "upsert":
+        return resolve.upserts
     if options.key_ignore:
-        return lambda df: df.dropDuplicates(resolve.ID)
+        return resolve.keep_one
     return resolve.latest_wins
+
+
+def split_malformed(fresh: DataFrame, options: Options) -> tuple[DataFrame, DataFrame | None]:
+    """(to write, malformed) by the declared fields of the target, as it would answer; deletes carry no document."""
+    if not options.declared_fields:
+        return fresh, None
+    checked = checks.conforms(fresh, options.declared_fields, "doc_json", strict=options.declared_strict)
+    written, reported = checks.malformed(checked.where("op <> 'delete'"), options.malformed_policy)
+    return written.select(fresh.columns).unionByName(fresh.where("op = 'delete'")), reported

@@ -1,4 +1,4 @@
-"""A bulk HTTP sink, for batches and streams: spark_df.write.format("docsink_bulk").
+"""A bulk HTTP sink, for batches and streams: spark_df.write.format("docsink_bulk"), or `sent`, which gives each row's outcome.
 
 Rows: action string, body string (null for deletes), as frame.action_line and the document make them. Each task sends
 its rows in batches by count and bytes; a whole call is tried again on any failure. Rows are sent in the partition's order.
@@ -14,10 +14,14 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
 
-from ..operators.outcome import CONFLICT, MALFORMED
+from ..operators import frame
+from ..operators.outcome import CONFLICT, MALFORMED, classify
+from ..options import Options
 
 LONGEST_WAIT_MS = 24 * 3600 * 1000
 
@@ -114,5 +118,38 @@ class BulkSink(DataSource):
         return _Stream(dict(self.options))
 
 
+def sink_options(options: Options, url: str, **more: str) -> dict[str, str]:
+    """A job's options as those of this sink."""
+    own = {"batch_size": options.batch_size, "bulk_bytes": options.bulk_bytes, "max_retries": options.max_retries, "backoff_ms": options.backoff_ms, "malformed_policy": options.malformed_policy}
+    return {"url": url, **{k: str(v) for k, v in own.items()}, **more}
+
+
+def sent(actions: DataFrame, options: Options, url: str, **more: str) -> DataFrame:
+    """Sends actions (topic, partition, offset, op, version, doc_json, ...) and gives each one's position and outcome, as outcome.classify has it.
+
+    Write the result, once: each run sends. Its `reported` rows are the rejects; the job is to stop if any is `fatal`.
+    Rows go in the order of their log partition; a task that is tried again sends again, which versions and ids make harmless.
+    """
+    settings = sink_options(options, url, **more)
+    lines = frame.action_line(version="version")
+    body = F.when(F.col("op") == "update", F.concat(F.lit('{"doc":'), "doc_json", F.lit(',"doc_as_upsert":true}'))).when(F.col("op") != "delete", F.col("doc_json"))
+    rows = actions.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset").select("topic", "partition", "offset", F.col("version").isNotNull().alias("external"), lines.alias("action"), body.alias("body"))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer = _Writer(settings)
+        for own in batches:
+            pairs = zip(own.column("action").to_pylist(), own.column("body").to_pylist(), strict=True)
+            errors: list[str] = []
+            for batch in frames(pairs, writer.rows, writer.bytes):
+                items = with_retries(lambda b=batch: writer.send(b), writer.retries, writer.backoff).get("items", [])
+                found = [next(iter(x.values())).get("error") or {} for x in items]
+                errors += [": ".join(filter(None, (e.get("type"), e.get("reason")))) for e in found] + ["no answer"] * (len(batch) - len(found))
+            kept = [own.column(c) for c in ("topic", "partition", "offset", "external")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array([e != "" for e in errors]), pa.array(errors, pa.string())], names=["topic", "partition", "offset", "external", "failed", "message"])
+
+    items = rows.mapInArrow(send, "topic string, partition int, offset long, external boolean, failed boolean, message string")
+    return classify(items, options.malformed_policy, F.col("external"), options.is_stream)
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(BulkSink)

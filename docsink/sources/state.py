@@ -1,49 +1,127 @@
-"""Stored state and rejects: parquet folders by batch, in a folder that all executors share.
+"""Stored state, mappings and rejects: parquet folders in a folder that all executors share.
 
-A batch's folder is written whole before a pointer file names it, and a batch that comes again overwrites its own folder,
-so a replay after a failure changes nothing.
+State lies in buckets by the hash of (resource, id). A batch reads and writes only the buckets that it touches; a manifest
+names each bucket's current folder. A batch's folders and its manifest are written whole before a pointer file names the
+manifest, and a batch that comes again overwrites its own, so a replay after a failure changes nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import resolve
 
-def _latest(spark: SparkSession, root: str) -> int | None:
-    """The last batch that was finished, by the pointer rows (one for each batch)."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/pointers")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+#: Buckets of a state; of a large one more, so that a bucket fits a task.
+BUCKETS = 64
+
+
+def _files(spark: SparkSession, where: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _finished(spark: SparkSession, root: str) -> list[int]:
+    """The batches that were finished, by the pointer files (one for each)."""
+    path, fs = _files(spark, f"{root}/pointers")
+    names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
+def _manifest(spark: SparkSession, root: str, before: int | None = None) -> tuple[int, dict[int, int]] | None:
+    """Of the last finished batch (below `before`): how many buckets there are, and for each that has rows the batch that wrote it."""
+    found = [b for b in _finished(spark, root) if before is None or b < before]
+    if not found:
         return None
-    names = [x.getPath().getName() for x in fs.listStatus(path)]
-    return max((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), default=None)
+    rows = spark.read.schema("buckets int, bucket int, batch long").parquet(f"{root}/manifests/batch={found[-1]}").collect()  # a row for each bucket
+    return rows[0]["buckets"], {r["bucket"]: r["batch"] for r in rows if r["bucket"] is not None}
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64(*resolve.ID), F.lit(buckets)).cast("int")
+
+
+def _read(spark: SparkSession, root: str, at: dict[int, int]) -> DataFrame | None:
+    return spark.read.parquet(*(f"{root}/data/batch={b}/bucket={k}" for k, b in sorted(at.items()))) if at else None
 
 
-def _point(spark: SparkSession, root: str, batch: int) -> None:
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/pointers/batch={batch}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
+def _schema(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    return spark.read.parquet(f"{root}/schemas/batch={batch}")
 
 
 def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The last finished snapshot (of a batch below `before`), or None."""
-    latest = _latest(spark, root)
-    if before is not None and latest is not None and latest >= before:
-        latest = before - 1
-    return None if latest is None or latest < 0 else spark.read.parquet(f"{root}/snapshots/batch={latest}")
+    """The state after the last finished batch (below `before`), or None."""
+    found = _manifest(spark, root, before)
+    if found is None:
+        return None
+    last = [b for b in _finished(spark, root) if before is None or b < before][-1]
+    own = _read(spark, root, found[1])
+    return _schema(spark, root, last) if own is None else own
+
+
+def _finish(state: DataFrame, root: str, batch: int, buckets: int, at: dict[int, int], touched: set[int]) -> None:
+    spark = state.sparkSession
+    state.limit(0).write.mode("overwrite").parquet(f"{root}/schemas/batch={batch}")
+    state.withColumn("bucket", _bucket(buckets)).repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/batch={batch}")
+    path, fs = _files(spark, f"{root}/data/batch={batch}")
+    names = {x.getPath().getName() for x in fs.listStatus(path)}
+    now = {k: b for k, b in at.items() if k not in touched} | {k: batch for k in range(buckets) if f"bucket={k}" in names}
+    spark.createDataFrame([(buckets, k, b) for k, b in now.items()] or [(buckets, None, None)], "buckets int, bucket int, batch long").coalesce(1).write.mode("overwrite").parquet(f"{root}/manifests/batch={batch}")
+    path, fs = _files(spark, f"{root}/pointers/batch={batch}")
+    fs.create(path, True).close()
+
+
+def write_state(state: DataFrame, root: str, batch: int, buckets: int = BUCKETS) -> None:
+    """The whole state anew."""
+    _finish(state, root, batch, buckets, {}, set(range(buckets)))
+
 
+def update_state(fresh: DataFrame, root: str, batch: int, settle: Callable = resolve.latest_wins, buckets: int = BUCKETS) -> None:
+    """The state with a batch of actions settled into it: only the buckets that the batch touches are read and written."""
+    spark = fresh.sparkSession
+    found = _manifest(spark, root, before=batch)
+    if found is None:
+        return write_state(settle(fresh), root, batch, buckets)
+    buckets, at = found
+    touched = {r[0] for r in fresh.select(_bucket(buckets)).distinct().collect()}  # at most `buckets` numbers
+    before = _read(spark, root, {k: b for k, b in at.items() if k in touched})
+    after = settle(fresh) if before is None else resolve.apply_batch(before, fresh.select(before.columns), settle)
+    _finish(after, root, batch, buckets, at, touched)
 
-def write_state(state: DataFrame, root: str, batch: int) -> None:
-    state.write.mode("overwrite").parquet(f"{root}/snapshots/batch={batch}")
-    _point(state.sparkSession, root, batch)
 
+def remove_old(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Deletes data folders that none of the last `keep` finished batches needs; how many. A batch that may be replayed needs the one before."""
+    done = _finished(spark, root)
+    needed = {(b, k) for batch in done[-keep:] for k, b in _manifest(spark, root, before=batch + 1)[1].items()}
+    gone = 0
+    for batch in done:
+        path, fs = _files(spark, f"{root}/data/batch={batch}")
+        for x in fs.listStatus(path) if fs.exists(path) else []:
+            name = x.getPath().getName()
+            if name.startswith("bucket=") and (batch, int(name.removeprefix("bucket="))) not in needed:
+                fs.delete(x.getPath(), True)
+                gone += 1
+    return gone
 
-def write_rejects(rejected: DataFrame, root: str, batch: int) -> None:
+
+def write_rejects(rejected: DataFrame, root: str, batch: int, stage: str = "convert") -> None:
     """Position, key, value as text and reason; the values are for whoever may read them, messages have positions only."""
     text = lambda c: F.to_json(c) if dict(rejected.dtypes)[c].startswith(("struct", "map", "array")) else F.col(c).cast("string")
-    rejected.select("topic", "partition", "offset", text("key").alias("key"), text("value").alias("value"), F.lit("convert").alias("stage"), "reason").write.mode("overwrite").parquet(f"{root}/rejects/batch={batch}")
+    rejected.select("topic", "partition", "offset", text("key").alias("key"), text("value").alias("value"), "reason").write.mode("overwrite").parquet(f"{root}/rejects/stage={stage}/batch={batch}")
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/rejects")
+
+
+def mapped(spark: SparkSession, root: str, before: int) -> DataFrame:
+    """(resource): those that got a mapping in a batch below `before`."""
+    path, fs = _files(spark, f"{root}/mappings")
+    if not fs.exists(path):
+        return spark.createDataFrame([], "resource string")
+    return spark.read.parquet(f"{root}/mappings").where(F.col("batch") < before).select("resource").distinct()
 
 
 def doc_counts(state: DataFrame) -> DataFrame:

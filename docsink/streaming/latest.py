@@ -8,23 +8,27 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-ACCEPTED = "resource string, id string, version long, op string, doc_json string"
+ACCEPTED = "resource string, id string, version long, op string, doc_json string, topic string, partition int, offset long"
 
 
 class _Latest(StatefulProcessor):
+    """Of equal versions the first to arrive (topic, partition, offset) stays, as a batch has it; an earlier one that comes later replaces it."""
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.version = handle.getValueState("version", "version long")
+        self.held = handle.getValueState("held", "version long, topic string, partition int, offset long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
+        best, order = None, None
         for frame in rows:
-            own = frame.sort_values(["version", "offset"], ascending=[False, True], kind="stable").head(1)
-            if best is None or own["version"].iloc[0] > best["version"].iloc[0]:
-                best = own
-        held = self.version.get()[0] if self.version.exists() else None
-        if best is not None and (held is None or best["version"].iloc[0] > held):
-            self.version.update((int(best["version"].iloc[0]),))
-            yield best[["resource", "id", "version", "op", "doc_json"]]
+            own = frame.sort_values(["version", "topic", "partition", "offset"], ascending=[False, True, True, True], kind="stable").head(1)
+            first = own.iloc[0]
+            now = (-int(first["version"]), str(first["topic"]), int(first["partition"]), int(first["offset"]))
+            if order is None or now < order:
+                best, order = own, now
+        held = self.held.get() if self.held.exists() else None
+        if best is not None and (held is None or order < (-held[0], *held[1:])):
+            self.held.update((-order[0], *order[1:]))
+            yield best[["resource", "id", "version", "op", "doc_json", "topic", "partition", "offset"]]
 
     def close(self) -> None:
         pass
@@ -35,4 +39,4 @@ def stream_latest(actions: DataFrame) -> DataFrame:
 
     An id's rows of one micro-batch come in frames, of which only the best row is held.
     """
-    return actions.select("resource", "id", "version", "op", "doc_json", "offset").groupBy("resource", "id").transformWithStateInPandas(statefulProcessor=_Latest(), outputStructType=ACCEPTED, outputMode="Update", timeMode="None")
+    return actions.select("resource", "id", "version", "op", "doc_json", "topic", "partition", "offset").groupBy("resource", "id").transformWithStateInPandas(statefulProcessor=_Latest(), outputStructType=ACCEPTED, outputMode="Update", timeMode="None")

@@ -61,6 +61,15 @@ def test_bulk_writes_and_retries(spark, target):
         send(lines(spark, 1), url)
 
 
+def test_outcomes_of_sent_rows_have_positions(spark, target):
+    url, seen, answers = target
+    answers += [(429, None), (200, None), (200, bulk.CONFLICT), (200, "mapper_parsing_exception"), (200, bulk.CONFLICT)]
+    rows = spark.range(4).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit("r").alias("resource"), F.col("id").cast("string").alias("id"), F.lit("index").alias("op"), F.when(F.col("id") == 3, F.col("id")).alias("version"), F.lit('{"x":1}').alias("doc_json"))
+    found = bulk.sent(rows, Options(batch_size=1, max_retries=1, backoff_ms=1, malformed_policy="warn"), url).orderBy("offset").collect()
+    assert [(r["offset"], r["error_class"], r["processed"], r["reported"], r["fatal"]) for r in found] == [(0, "ok", True, False, False), (1, "conflict", True, True, False), (2, "malformed", True, True, False), (3, "conflict", True, False, False)]
+    assert [s for s, _ in seen] == [429, 200, 200, 200, 200]
+
+
 def test_retry_waits():
     waits, calls = [], []
 
@@ -123,12 +132,55 @@ def test_rejects_are_written_before_the_job_stops(spark, tmp_path):
     rows = envelope(spark.createDataFrame([(0, 1, "x"), (1, None, "y"), (2, 2, None)], SCHEMA))
     with pytest.raises(checks.InvalidRecords):
         state_sink.apply_changes(rows, str(tmp_path), 0, Options(null_policy="ignore"))
-    assert {r["reason"] for r in spark.read.parquet(f"{tmp_path}/rejects/batch=0").collect()} == {"null key", "null value"}
+    assert {r["reason"] for r in state.read_rejects(spark, str(tmp_path)).collect()} == {"null key", "null value"}
     assert state.read_state(spark, str(tmp_path)) is None
     state_sink.apply_changes(rows, str(tmp_path), 0, Options(null_policy="ignore", drop_invalid=True))
     assert state.read_state(spark, str(tmp_path)).count() == 1
 
 
+def test_untouched_buckets_stay(spark, tmp_path):
+    root, options = str(tmp_path), Options(null_policy="delete")
+    state_sink.apply_changes(envelope(spark.createDataFrame([(i, i, "a") for i in range(40)], SCHEMA)), root, 0, options)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("data/batch=0/bucket=*/*.parquet")}
+    state_sink.apply_changes(envelope(spark.createDataFrame([(90, 3, "b")], SCHEMA)), root, 1, options)
+    assert len(list(tmp_path.glob("data/batch=1/bucket=*"))) == 1
+    assert before == {p: p.stat().st_mtime_ns for p in tmp_path.glob("data/batch=0/bucket=*/*.parquet")}
+    kept = {r["id"]: r["doc"]["v"] for r in state.read_state(spark, root).collect()}
+    assert len(kept) == 40 and kept["3"] == "b" and kept["4"] == "a"
+    state_sink.apply_changes(envelope(spark.createDataFrame([(91, 3, "c")], SCHEMA)), root, 2, options)
+    assert state.remove_old(spark, root, keep=1) >= 1
+    assert {r["id"]: r["doc"]["v"] for r in state.read_state(spark, root).collect()} == kept | {"3": "c"}
+
+
+@pytest.mark.parametrize("cuts", [1, 2, 4])
+def test_upserts_merge_across_batches(spark, tmp_path, cuts):
+    options = Options(write_method="upsert", null_policy="delete")
+    rows = [("k", '{"a":1}'), ("k", '{"b":2}'), ("q", '{"x":1}'), ("q", None), ("q", '{"y":null}'), ("k", '{"a":null}'), ("z", '{"v":1}'), ("z", None)]
+    data = [(i, k, v) for i, (k, v) in enumerate(rows)]
+    for batch in range(cuts):
+        own = data[batch * len(data) // cuts : (batch + 1) * len(data) // cuts]
+        made = source.as_changes(spark.createDataFrame(own, "o long, k string, v string"), topic=F.lit("t"), partition=F.lit(0), offset="o", key="k", value="v")
+        state_sink.apply_changes(made, str(tmp_path), batch, options)
+    kept = {r["id"]: json.loads(r["doc_json"]) for r in resolve.live(state.read_state(spark, str(tmp_path))).collect()}
+    assert kept == {"k": {"a": None, "b": 2}, "q": {"y": None}}
+
+
+def test_malformed_documents_stop_a_job(spark, tmp_path):
+    rows = source.as_changes(spark.createDataFrame([(0, '{"a":1}'), (1, '{"a":"x"}')], "o long, v string"), topic=F.lit("t"), partition=F.lit(0), offset="o", key="o", value="v")
+    with pytest.raises(checks.InvalidRecords, match="offset=1"):
+        state_sink.apply_changes(rows, str(tmp_path / "fail"), 0, Options(declared_fields={"a": "int"}))
+    assert state.read_rejects(spark, str(tmp_path / "fail")).where("stage = 'write'").count() == 1
+    state_sink.apply_changes(rows, str(tmp_path / "ignore"), 0, Options(declared_fields={"a": "int"}, malformed_policy="ignore"))
+    assert state.read_state(spark, str(tmp_path / "ignore")).count() == 1 and state.read_rejects(spark, str(tmp_path / "ignore")).count() == 0
+
+
+def test_json_in_data_streams_is_timed(spark):
+    rows = source.as_changes(spark.createDataFrame([(1, '{"a":1,"@timestamp":5}'), (2, '{"t":"x","u":"y"}')], "o long, v string").withColumn("at", F.timestamp_millis(F.lit(7000))), topic=F.lit("t"), partition=F.lit(0), offset="o", timestamp="at", key="o", value="v")
+    for fields, want in (((), [{"a": 1, "@timestamp": 7000}, {"t": "x", "u": "y", "@timestamp": 7000}]), (("s", "u"), [{"a": 1, "@timestamp": 5}, {"t": "x", "u": "y", "@timestamp": "y"}])):
+        options = Options(stream_type="logs", stream_dataset="app", timestamp_fields=fields)
+        assert [json.loads(r["doc_json"]) for r in job.actions(checks.accepted(job.tagged(rows, options)), options).orderBy("offset").collect()] == want
+
+
 def test_decoding(spark):
     rows = source.as_changes(spark.createDataFrame([(1, '{"a":1}'), (2, "no json")], "o long, v string"), topic=F.lit("t"), partition=F.lit(0), offset="o", key="o", value="v")
     assert [r["value"]["a"] for r in source.decode_json(rows, "a int").orderBy("offset").collect()] == [1, None]
