@@ -1,9 +1,10 @@
 """Best-fit packing of documents into sequences by patterns of lengths.
 
 Only the histogram of piece lengths (at most `capacity` rows, whatever the corpus) comes to the driver. There,
-patterns of up to three documents that fill a sequence exactly get repeat counts by non-negative least squares
-against the histogram; the counts are rounded, and what is left over is packed best-fit-decreasing by length.
-The pieces then find their places by their rank among the pieces of their length.
+patterns of up to three lengths that fill a sequence exactly, of which one may be repeated, get repeat counts by non-negative
+least squares against the histogram; the counts are rounded, and what is left over is packed best-fit-decreasing by length. Of
+several shares of the counts the largest that needs the fewest sequences is taken: patterns may use up the short pieces that single
+long ones need. Full pieces are sequences by themselves; the others find their places by their rank among the pieces of their length.
 """
 
 from __future__ import annotations
@@ -19,20 +20,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import table, texts_of, written
-from .tokens import Pieces, _text_blocks, ids_of, vocabulary_path
+from .tokens import _text_blocks, ids_of, pieces_of_worker, vocabulary_path
 
 CAPACITY = 2048
-#: A length's ranks are made in this many parts, so that a very common length is no single task.
-SALTS = 64
-#: Steps of the least-squares fit.
-STEPS = 150
+#: A length's ranks are made in parts of about SALTED pieces, so that a very common length is no single task; of at most MOST_SALTS parts, which bounds what is broadcast.
+SALTED, MOST_SALTS = 20_000, 1024
+#: Steps of the least-squares fit, and the shares of its counts that are tried.
+STEPS, SHARES = 150, (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)
 END_OF_DOCUMENT = b"\0\0\0\0"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _piecer(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path, ids=True)
+        pieces = pieces_of_worker(path, ids=True)
         for doc_ids, texts, _ in _text_blocks(batches):
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, ids in zip(doc_ids.to_pylist(), ids_of(texts, pieces), strict=True):
@@ -51,34 +52,38 @@ def pieces_of(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
     return texts_of(docs).mapInArrow(_piecer(path or vocabulary_path(), capacity), PIECES)
 
 
-def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Rows of up to three of these lengths, descending and 0-filled, that fill `capacity` exactly."""
+def patterns(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, times), each of three columns and 0-filled: patterns that fill `capacity` exactly.
+
+    Either up to three pieces, or one length as often as it fits, three times at least, and one other.
+    """
     there = np.zeros(capacity + 1, bool)
     there[lengths] = True
     a, b = np.meshgrid(lengths, np.append(lengths, 0), indexing="ij")
     c = capacity - a - b
-    fits = (a >= b) & (b >= c) & (c >= 0)
-    a, b, c = a[fits], b[fits], c[fits]
-    own = (c == 0) | there[c]
-    return np.stack((a[own], b[own], c[own]), axis=1)
+    own = (a >= b) & (b >= c) & (c >= 0) & ((c == 0) | there[np.maximum(c, 0)])
+    few = np.stack((a[own], b[own], c[own]), axis=1)
+    times = (capacity - b) // a
+    own = (a != b) & (times >= 3) & (times * a + b == capacity)
+    many = np.stack((a[own], b[own], np.zeros(int(own.sum()), np.int64)), axis=1)
+    return np.concatenate((few, many)), np.concatenate(((few > 0).astype(np.int64), np.stack((times[own], b[own] > 0, 0 * a[own]), axis=1)))
 
 
-def fit(rows: np.ndarray, histogram: np.ndarray, steps: int = STEPS) -> np.ndarray:
+def fit(rows: np.ndarray, times: np.ndarray, histogram: np.ndarray, steps: int = STEPS) -> np.ndarray:
     """Repeat counts x >= 0 of the patterns that least-squares fit the histogram, by accelerated projected gradient."""
     size = len(histogram)
-    used = (rows > 0).astype(float)
 
     def covered(x: np.ndarray) -> np.ndarray:
-        return sum(np.bincount(rows[:, j], x * used[:, j], size) for j in range(3))
+        return sum(np.bincount(rows[:, j], x * times[:, j], size) for j in range(3))
 
-    # Each pattern's own step: its curvature is at most the sum over its lengths of 3 times their patterns.
-    degree = covered(np.ones(len(rows)))
-    step = 1 / np.maximum(1, sum(used[:, j] * degree[rows[:, j]] for j in range(3)))
+    # Each pattern's own step: its curvature is at most the sum over its lengths of all pieces that patterns have of them.
+    degree = covered(times.sum(axis=1).astype(float))
+    step = 1 / np.maximum(1, sum(times[:, j] * degree[rows[:, j]] for j in range(3)))
     x = y = np.zeros(len(rows))
     t = 1.0
     for _ in range(steps):
         off = covered(y) - histogram
-        new = np.maximum(0, y - step * sum(off[rows[:, j]] * used[:, j] for j in range(3)))
+        new = np.maximum(0, y - step * sum(off[rows[:, j]] * times[:, j] for j in range(3)))
         t, before = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
         y = new + (before - 1) / t * (new - x)
         x = new
@@ -116,36 +121,32 @@ def best_fit(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...]
     return [x for found in by_space.values() for x in found]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of lengths and how many sequences are made of each; together they hold every piece once.
+def _with_share(rows: np.ndarray, times: np.ndarray, counts: np.ndarray, histogram: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
+    """Patterns by these counts as far as there are pieces, and best-fit of what is left."""
+    left = histogram.copy()
+    out: dict[tuple[int, ...], int] = defaultdict(int)
+    for k in np.argsort(-counts, kind="stable")[: int((counts > 0).sum())].tolist():
+        pattern = tuple(x for x, n in zip(rows[k].tolist(), times[k].tolist(), strict=True) for _ in range(n))
+        n = min(int(counts[k]), *(int(left[x]) // pattern.count(x) for x in set(pattern)))
+        if n > 0:
+            out[pattern] += n
+            for x in pattern:
+                left[x] -= n
+    for pattern, n in best_fit(left, capacity):
+        out[pattern] += n
+    return out
 
-    Where patterns use up the short pieces that single long ones need, best-fit alone can take fewer sequences and is taken.
-    """
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, shares: tuple[float, ...] = SHARES) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of lengths and how many sequences are made of each; together they hold every piece once. Full pieces stay out."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
-    out: dict[tuple[int, ...], int] = defaultdict(int)
-    if left[capacity]:
-        out[(capacity,)] = int(left[capacity])
-        left[capacity] = 0
-    whole, alone = dict(out), best_fit(left, capacity)
-    rows = patterns(np.flatnonzero(left), capacity)
-    if len(rows):
-        counts = rounded(fit(rows, left.astype(float)), rows[:, 0])
-        for k in np.argsort(-counts, kind="stable")[: int((counts > 0).sum())].tolist():
-            pattern = tuple(x for x in rows[k].tolist() if x)
-            n = min(int(counts[k]), *(int(left[x]) // pattern.count(x) for x in pattern))
-            if n > 0:
-                out[pattern] += n
-                for x in pattern:
-                    left[x] -= n
-    for pattern, n in best_fit(left, capacity):
-        out[pattern] += n
-    if sum(whole.values()) + sum(n for _, n in alone) < sum(out.values()):
-        out = defaultdict(int, whole)
-        for pattern, n in alone:
-            out[pattern] += n
-    return sorted(out.items())
+    left[capacity] = 0
+    rows, times = patterns(np.flatnonzero(left), capacity)
+    found = fit(rows, times, left.astype(float)) if len(rows) else np.zeros(0)
+    made = [_with_share(rows, times, rounded(share * found, rows[:, 0]), left, capacity) for share in (shares if len(rows) else shares[:1])]
+    return sorted(min(made, key=lambda x: sum(x.values())).items())
 
 
 def _placer(made: list[tuple[tuple[int, ...], int]]):
@@ -175,16 +176,21 @@ def _placer(made: list[tuple[tuple[int, ...], int]]):
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """pieces with sequence_id and offset. `pieces` is read three times: give a written table."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-    counts = salted.groupBy("length", "salt").count()  # at most capacity x SALTS rows
+    """pieces with sequence_id and offset; a full piece's sequence has a number below 0. `pieces` is read four times: give a written table."""
+    columns = [f.split()[0] for f in PIECES.split(", ")]
+    full = pieces.where(F.col("length") == capacity).select(*columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    part = pieces.where(F.col("length") < capacity)
+    histogram = {r["length"]: r["n"] for r in part.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    if not histogram:
+        return full
+    salts = min(MOST_SALTS, 1 + max(histogram.values()) // SALTED)
+    salted = part.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    counts = salted.groupBy("length", "salt").count()  # at most capacity x MOST_SALTS rows
     before = counts.withColumn("base", F.sum("count").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)))
-    made = plan({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}, capacity)
-    if not made:
-        return pieces.select("*", F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
     local = F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32"))
     ranked = salted.withColumn("local", local).join(F.broadcast(before), ["length", "salt"]).withColumn("rank", F.coalesce("base", F.lit(0)) + F.col("local") - 1)
-    return ranked.select(*(f.split()[0] for f in PIECES.split(", ")), "rank").mapInArrow(_placer(made), f"{PIECES}, sequence_id long, offset long")
+    placed = ranked.select(*columns, "rank").mapInArrow(_placer(plan(histogram, capacity)), f"{PIECES}, sequence_id long, offset long")
+    return placed.unionByName(full)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:

@@ -1,7 +1,7 @@
 """Tokens of the public word-piece vocabulary: counts by distinct pre-token, and ids.
 
 A text is lower-cased and cut into pre-tokens (letters, single digits, runs of other signs); the pieces of a
-pre-token do not depend on what stands around it. So each distinct pre-token of a task goes through the
+pre-token do not depend on what stands around it. So each distinct pre-token of a Python worker goes through the
 tokenizer once, and documents only join their pre-token frequencies to that table. A text with characters
 for which this module's cutting could differ from the tokenizer's (outside printable Latin-1, or with
 a special token's begin) goes through the tokenizer whole.
@@ -13,6 +13,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from .common import blocks, table, texts_of, utf8
 VOCABULARY = "word_bpe_49k.json"
 #: A document of more tokens is over the limit.
 LIMIT = 2048
-#: Pre-tokens that a task remembers; beyond it begins anew (the counts are the same).
-REMEMBERED = 300_000
+#: Pre-tokens that a Python worker remembers, about 150 bytes each; beyond it begins anew (the counts are the same).
+REMEMBERED = 500_000
 #: Bytes of text whose pre-tokens are counted together.
 BLOCK_BYTES = 1 << 20
 
@@ -80,6 +81,12 @@ class Pieces:
         return ids.tobytes() if self.ids else len(ids)
 
 
+@lru_cache(maxsize=2)
+def pieces_of_worker(path: str, ids: bool = False) -> Pieces:
+    """One for a Python worker, whose later tasks know what its earlier ones met."""
+    return Pieces(path, ids)
+
+
 def _text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str], np.ndarray]]:
     for batch in batches:
         at = utf8(batch.column("text"))[1]
@@ -89,7 +96,7 @@ def _text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array,
 
 def _counter(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path)
+        pieces = pieces_of_worker(path)
         for ids, texts, sizes in _text_blocks(batches):
             frequencies = [None if (x := pre_tokens(t)) is None else Counter(x) for t in texts]
             pieces.learn(set().union(*filter(None, frequencies)))
@@ -113,8 +120,8 @@ def ids_of(texts: list[str], pieces: Pieces) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit numbers, by pieces with `ids`."""
     cut = [pre_tokens(t) for t in texts]
     pieces.learn(set().union(*filter(None, cut)))
-    known = pieces.known
-    return [pieces.whole(t) if c is None else b"".join([known[x] for x in c]) for t, c in zip(texts, cut, strict=True)]
+    of = pieces.known.__getitem__
+    return [pieces.whole(t) if c is None else b"".join(map(of, c)) for t, c in zip(texts, cut, strict=True)]
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
