@@ -61,17 +61,26 @@ def test_models_on_odd_documents(spark, labelled, odd_docs, no_docs, model):
     assert {r["predicted"] for r in model(spark, docs, no_labels).collect()} <= {0, 1}
 
 
-def test_held_out_is_never_learnt_from(spark, labelled):
+@pytest.mark.parametrize("model, label", [(toxicity.toxicity, "toxic"), (quality_model.quality, "quality")])
+def test_held_out_is_never_learnt_from(spark, labelled, model, label):
     import zlib
 
     docs, labels = labelled
     rows = docs.select("doc_id", held_out(docs["doc_id"]).alias("out")).collect()
     assert all(r["out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
-    flipped = labels.withColumn("toxic", (1 - labels["toxic"])).where(held_out(labels["doc_id"])).unionByName(labels.where(~held_out(labels["doc_id"])))
-    a, b = (toxicity.toxicity(spark, docs, x).orderBy("doc_id").toPandas() for x in (labels, flipped))
+    flipped = labels.withColumn(label, (1 - labels[label])).where(held_out(labels["doc_id"])).unionByName(labels.where(~held_out(labels["doc_id"])))
+    a, b = (model(spark, docs, x).orderBy("doc_id").toPandas() for x in (labels, flipped))
     assert np.allclose(a["score"], b["score"])
 
 
+def test_n_grams_are_of_code_points():
+    """A gram is the same wherever it stands, ends within its text, and tells letters apart that share bytes."""
+    at = lambda t, n: [int(h) for k, (h, _) in enumerate(toxicity.grams(*toxicity.code_points([t]))) if k == n - 3 for h in h]
+    assert at("xéöü", 3)[1] == at("ÉÖÜ", 3)[0] and at("éöü", 3) != at("éöū", 3)
+    data, starts = toxicity.code_points(["ab", "cde"])
+    assert [len(p) for _, p in toxicity.grams(data, starts)][:1] == [1]
+
+
 def brute_base(text):
     import re
 
