@@ -33,7 +33,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, numbered = _rows(spark, docs)
     features = written(spark, measured(numbered), "statistics")
     named = features.withColumnRenamed("doc_id", ROW).join(rows.select(ROW, "doc_id"), ROW)
-    scored = features.mapInArrow(scorer(train_quality(named, table(spark, sf_dir, "labels"), "quality")), "doc_id long, score double")
+    scored = features.mapInArrow(scorer(train_quality(spark, named, table(spark, sf_dir, "labels"), "quality")), "doc_id long, score double")
     kept = scored.where(F.col("score") >= THRESHOLD).select(F.col("doc_id").alias(ROW))
     return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
