@@ -14,14 +14,17 @@ from .common import table, texts_of, written
 
 SPACE = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
+LETTER = r"[\p{L}\p{N}]"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Rule: (measure, good from, good to, bad under, bad over). Between the two it abstains; so do rules without a measure.
+#: Rule: (measure, good from, good to, bad under, bad over). Between the two it abstains; so do rules without a measure. All can
+#: vote bad on documents that pass the base checks, and one that is bad mostly shows it to several.
 RULES = {
-    "length": ("n_words", 80, 1e12, 50, 1e12),
-    "word_length": ("word_chars / n_words", 2.5, 9, 2, 14),
+    "length": ("n_words", 100, 1e12, 60, 1e12),
+    "word_length": ("word_chars / n_words", 3, 6.5, 2.5, 7.2),
     "symbols": ("n_symbols / n_words", -1, 0.02, -1, 0.1),
-    "repeats": ("n_repeat_words / n_words", -1, 0.3, -1, 0.6),
+    "marks": ("n_marks / n_words", -1, 0.1, -1, 0.25),
+    "repeats": ("n_repeat_words / n_words", -1, 0.15, -1, 0.3),
     "dup_lines": ("n_dup_lines / n_lines", -1, 0.1, -1, 0.3),
     "capitals": ("n_capitals / word_chars", -1, 0.12, -1, 0.3),
     "exclamations": ("n_exclaims / n_words", -1, 0.05, -1, 0.15),
@@ -78,7 +81,7 @@ def measures(docs: DataFrame) -> DataFrame:
     with_word = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, SPACE, "")) > 0)
     return texts_of(docs).select(
         "doc_id",
-        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"))).alias("w"),
+        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"), F.size(F.filter(w, lambda x: ~x.rlike(LETTER))).cast("long").alias("n_marks"))).alias("w"),
         F.length(F.translate(text, SPACE, "")).cast("long").alias("word_chars"),
         count_of(text, SYMBOLS).alias("n_symbols"),
         let(with_word, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))).alias("l"),
@@ -165,6 +168,15 @@ def judge(measured: DataFrame, rules: dict = RULES, keep_from: float = KEEP_FROM
     return voted.join(F.broadcast(scored), "votes").withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_from))
 
 
+def accuracies(spark: SparkSession, docs: DataFrame, rules: dict = RULES) -> DataFrame:
+    """(rule, prior, good_said_bad, bad_said_bad): what the estimate holds of each rule's bad votes on good and on bad documents."""
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    patterns = measures(docs).where(~failed).groupBy(votes(rules).alias("votes")).agg(F.count("*").alias("n"))
+    names = F.array(*map(F.lit, rules))
+    rows = F.explode(F.arrays_zip(names.alias("rule"), F.col("model.good").alias("good"), F.col("model.bad").alias("bad")))
+    return estimate(patterns, len(rules)).select("model", rows.alias("r")).select("r.rule", "model.prior", F.get("r.good", F.lit(0)).alias("good_said_bad"), F.get("r.bad", F.lit(0)).alias("bad_said_bad"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document: doc_id, its counts, base_failed, kept, posterior.
 
@@ -209,7 +221,7 @@ rep AS (
   ) GROUP BY doc_id
 ),
 f AS MATERIALIZED (
-  SELECT doc_id, len(w) AS n_words, coalesce(n_repeat_words, 0) AS n_repeat_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  SELECT doc_id, len(w) AS n_words, coalesce(n_repeat_words, 0) AS n_repeat_words, CAST(len(list_filter(w, lambda x: NOT regexp_matches(x, '{LETTER}'))) AS BIGINT) AS n_marks, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(l) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
     CAST(length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS BIGINT) AS n_capitals, CAST(length(text) - length(replace(text, '!', '')) AS BIGINT) AS n_exclaims
   FROM w LEFT JOIN rep USING (doc_id)
