@@ -33,6 +33,10 @@ SKETCHES, ORDERED = 24, 4
 BLOCK_BYTES = 1 << 20
 #: Texts of a bucket that meet in one task, about, and as many again from another part; a larger bucket is dealt out in pairs of parts.
 TOGETHER = 2000
+#: Texts of a star that are compared with its lead in one task, about.
+SALTED = 4096
+#: Copies of one text are broadcast as common where they are one in so many rows, or more.
+HOT_KEYS = 1000
 #: Numbers in one table of orders by shingles, about.
 TABLE = 1 << 21
 SEEDS = splitmix(np.arange(SKETCHES, dtype=np.uint64) + np.uint64(77))[:, None]
@@ -130,20 +134,20 @@ def similar(x: np.ndarray, y: np.ndarray, least: float = SIMILARITY) -> bool:
 
 
 def _verifier(least: float):
+    """From texts sorted by lead, salt and side, the lead (side 0) before the others: links (a, b) of the lead and similar ones."""
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, own = None, None
         for batch in batches:
-            known: dict[int, np.ndarray] = {}
-
-            def of(column: str, r: int, doc: int) -> np.ndarray:
-                if doc not in known:
-                    if len(known) > 256:
-                        known.clear()
-                    known[doc] = shingles(np.frombuffer(batch.column(column)[r].as_buffer(), np.uint32))
-                return known[doc]
-
-            pairs = list(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True))
-            ok = [similar(of("a_words", r, a), of("b_words", r, b), least) for r, (a, b) in enumerate(pairs)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
+            found: list[tuple[int, int]] = []
+            words = batch.column("words")
+            for r, (a, side, doc) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "side", "doc")), strict=True)):
+                x = shingles(np.frombuffer(words[r].as_buffer(), np.uint32))
+                if side == 0:
+                    lead, own = a, x
+                elif a == lead and similar(own, x, least):
+                    found.append((a, doc))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     return verify
 
@@ -204,10 +208,28 @@ def _linker(least: float):
     return linked
 
 
-def verified(pairs: DataFrame, words: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """pairs (a, b) with ok. words: (doc_id, words)."""
-    both = pairs.join(words.select(F.col("doc_id").alias("a"), F.col("words").alias("a_words")), "a").join(words.select(F.col("doc_id").alias("b"), F.col("words").alias("b_words")), "b")
-    return both.select("a", "b", "a_words", "b_words").mapInArrow(_verifier(least), "a long, b long, ok boolean")
+def verified(stars: DataFrame, words: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The similar ones of stars (a, b), each text b with its lead a. words: (doc_id, words).
+
+    A lead's words go once to each SALTED of its star, so that a lead of very many texts is no single task.
+    """
+    parts = int(stars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = stars.groupBy("a").agg((F.floor(F.count("*") / SALTED) + 1).cast("int").alias("salts"))
+    dealt = stars.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("side"), F.col("b").alias("doc"))
+    leads = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("a").alias("doc"))
+    both = dealt.unionByName(leads).join(words.select(F.col("doc_id").alias("doc"), "words"), "doc")
+    return both.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "side", "doc").select("a", "side", "doc", "words").mapInArrow(_verifier(least), "a long, b long")
+
+
+def _texts_of_rows(signed: DataFrame, copies: DataFrame) -> DataFrame:
+    """signed (doc_id, copy_key) with the text_id of its copies.
+
+    Keys of a thousandth of all rows or more, of which there are a thousand at most, are broadcast: their rows stay where they are.
+    """
+    rows = signed.count()
+    hot = F.broadcast(copies.where(F.col("n") * HOT_KEYS >= rows).select("copy_key", "text_id"))
+    common = signed.join(hot, "copy_key").select("doc_id", "text_id")
+    return common.unionByName(signed.join(hot, "copy_key", "left_anti").join(copies, "copy_key").select("doc_id", "text_id"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -220,7 +242,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     """
     texts = texts_of(docs)
     signed = written(spark, texts.mapInArrow(_sign, "doc_id long, copy_key binary, sketches array<long>"), "signed")
-    copies = signed.groupBy("copy_key").agg(F.min("doc_id").alias("text_id"))
+    copies = written(spark, signed.groupBy("copy_key").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("n")), "copies")
     # One row for each distinct text with sketches.
     own = signed.where("sketches is not null").join(copies.select(F.col("copy_key").alias("k"), "text_id"), (F.col("doc_id") == F.col("text_id")) & (F.col("copy_key") == F.col("k")), "left_semi")
     bucketed = own.select(F.col("doc_id").alias("doc"), F.posexplode("sketches")).select(F.xxhash64("pos", "col").alias("bucket"), "doc").distinct()
@@ -230,7 +252,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     stars = written(spark, members.where("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "stars")
     met = members.select(F.col("doc").alias("doc_id")).distinct()
     words = written(spark, texts.join(met, "doc_id", "left_semi").mapInArrow(_words, "doc_id long, words binary").dropDuplicates(["doc_id"]), "words")
-    linked = written(spark, verified(stars, words, least).where("ok").select("a", "b"), "linked")
+    linked = written(spark, verified(stars, words, least), "linked")
     roots = written(spark, components(spark, linked), "roots")
 
     # Buckets whose texts are in several components, each set of texts once: there all of them meet, in the tasks.
@@ -244,7 +266,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     more = written(spark, linking, "linked")
     if more.limit(1).count():
         roots = components(spark, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-    return signed.select("doc_id", "copy_key").join(copies, "copy_key").join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left").select("doc_id", F.coalesce("root", "text_id").alias("class_id"))
+    # A text with very many copies has a root for each of its rows: the roots go to texts first, then texts to rows.
+    classes = copies.join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left").select("copy_key", "n", F.coalesce("root", "text_id").alias("text_id"))
+    return _texts_of_rows(signed.select("doc_id", "copy_key"), written(spark, classes, "classes")).withColumnRenamed("text_id", "class_id")
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
