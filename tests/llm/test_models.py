@@ -135,5 +135,34 @@ def test_planted_loose_data_is_found_and_redacted(spark):
     assert got == [*planted.values(), *clean]
 
 
+def test_spelled_addresses_by_brute_force():
+    """Against the plain pattern, whose time is not linear, leftmost and without overlaps."""
+    import random
+    import re
+
+    whole = re.compile(r"[A-Za-z0-9._%+-]+ ?[\[(]at[\])] ?[A-Za-z0-9-]+(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]+)+")
+    r = random.Random(6)
+    parts = ["a", "b-c", " ", "[at]", "(at)", ".", "[dot]", "(dot)", "é", "x", "\n", ","]
+    for _ in range(4000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 14)))
+        longest = {}
+        for a, b in personal_data.spelled_emails(text):
+            longest[a] = max(b, longest.get(a, 0))
+        assert sorted(longest.items()) == [m.span() for m in whole.finditer(text)], text
+
+
+def test_many_candidates_in_a_long_text():
+    """Time is about linear in the candidates of one text."""
+    import time
+
+    model = personal_data.Model(np.zeros((0, personal_data.WIDTH)), np.zeros(0))
+    model.thresholds = [0.0] * 4
+    text = "tel 555 010 4477, 4.10.2.7.1 a [at] b.de; " * 8000
+    begun = time.time()
+    base, spans = model.spans(text)
+    assert len(spans) > 20_000 and time.time() - begun < 30
+    assert all(a[2] <= b[1] for a, b in zip(sorted(spans, key=lambda x: x[1]), sorted(spans, key=lambda x: x[1])[1:], strict=False))
+
+
 def test_redaction_covers_overlaps():
     assert personal_data.redacted_text("ab cd ef", [(0, 0, 4), (1, 3, 5), (3, 6, 8)]) == "[EMAIL] [PHONE]"
