@@ -387,13 +387,14 @@ def tagged(docs: DataFrame) -> DataFrame:
     """(doc_id, tag, text); where any doc_id is repeated the tag is of the text, so it tells rows of one doc_id apart, else 0."""
     texts = texts_of(docs)
     again = texts.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return texts.withColumn("tag", F.hash("text") if again else F.lit(0)).select("doc_id", "tag", "text")
+    none = F.coalesce(F.pmod("doc_id", F.lit(1)), F.lit(0))  # no literal, which would part the tag from the keys of the joins
+    return texts.withColumn("tag", (F.hash("text") if again else none).cast("int")).select("doc_id", "tag", "text")
 
 
 def repeated_strings(spark: SparkSession, texts: DataFrame) -> DataFrame:
     """(doc_id, tag, at, n): n neighbouring 100-byte windows of a text (doc_id, tag, text), from byte `at`, that also start earlier."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_keyed(even_numbers(spark, parts)), "part int, slice int, keys binary, docs binary, spots binary, n binary")
+    keyed = texts.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull()).mapInArrow(_keyed(even_numbers(spark, parts)), "part int, slice int, keys binary, docs binary, spots binary, n binary")
     runs = keyed.repartition(parts, "part").sortWithinPartitions("slice").mapInArrow(_repeated, "doc_id long, tag int, key long, at int, n int")
     by_doc = runs.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("key", "at", "n")).alias("runs"))  # a document's own runs
     # A left join, and a condition that keeps it one, so that dedup()'s join reuses the same exchange of the texts.

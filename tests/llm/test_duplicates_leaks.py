@@ -206,8 +206,10 @@ def test_transform_is_the_suffix_order():
 def test_suffix_dedup_of_repeated_ids(spark):
     """Two texts of one doc_id are two documents; a row that repeats another wholly loses the same."""
     one, two, three = prose(1, 60), prose(2, 40) + prose(1, 60)[:200], prose(3, 50)
-    rows = spark.createDataFrame([(1, one), (2, two), (2, three + prose(2, 40)), (3, three), (3, three)], "doc_id long, text string")
-    got = sorted(tuple(r)[:4] for r in suffix_dedup.dedup(spark, rows).collect())
+    rows = spark.createDataFrame([(1, one), (2, two), (2, three + prose(2, 40)), (3, three), (3, three), (None, one)], "doc_id long, text string")
+    found = [tuple(r)[:4] for r in suffix_dedup.dedup(spark, rows).collect()]
+    assert [x[1:] for x in found if x[0] is None] == [(len(one), 0, 0)]
+    got = sorted(x for x in found if x[0] is not None)
     assert [x[0] for x in got] == [1, 2, 2, 3, 3] and got[0][2] == 0 and got[3] == got[4] and got[3][2] == len(three)
     assert sum(x[2] for x in got if x[0] == 2) >= 200 + len(prose(2, 40)) - 2
 
