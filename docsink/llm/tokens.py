@@ -26,7 +26,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: A document of more tokens is over the limit.
 LIMIT = 2048
 #: Pre-tokens that a Python worker remembers, about 150 bytes each; beyond it begins anew (the counts are the same).
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: Bytes of text whose pre-tokens are counted together.
 BLOCK_BYTES = 1 << 20
 
