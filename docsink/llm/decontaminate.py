@@ -25,6 +25,8 @@ SEGMENT_BYTES = 2 << 20
 BLOCK_WINDOWS = 1 << 17
 #: Bytes of test items whose windows are made in one task, about; of a longer item all windows are made there, block by block.
 ITEM_BYTES = 4 << 20
+#: Windows in a batch of rows.
+ROWS = 1 << 14
 WINDOW = 10
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -135,20 +137,31 @@ def _block(found: dict[bytes, tuple[np.ndarray, list[str]]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(pa.array([x.tobytes()], pa.binary()) for x in columns), pa.array([ids], pa.list_(pa.string()))], names=[x.split()[0] for x in WINDOWS.split(", ")])
 
 
-def _windows(window: int, most: int):
+def _windows(window: int):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, found = SpanHash(), {}
+        hasher = SpanHash()
         for batch in batches:
             words, word_at = word_hashes(*utf8(batch.column("text")), hasher)
             for item, a, b in zip(batch.column("item_id").to_pylist(), word_at[:-1].tolist(), word_at[1:].tolist(), strict=True):
-                for i in range(a, max(a + 1, b - window + 1) if b > a else a):
-                    w = words[i : min(b, i + window)]
-                    held = found.setdefault(xxhash.xxh3_128_digest(w.tobytes()), (w.copy(), []))[1]
-                    if not held or held[-1] != item:
-                        held.append(item)
-                    if len(found) >= most:
-                        yield _block(found)
-                        found.clear()
+                starts = range(a, max(a + 1, b - window + 1) if b > a else a)
+                for k in range(0, len(starts), ROWS):
+                    own = [words[i : min(b, i + window)].tobytes() for i in starts[k : k + ROWS]]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(own), pa.string()), pa.array(own, pa.binary())], names=["item_id", "words"])
+
+    return made
+
+
+def _blocks_of_windows(most: int):
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[bytes, tuple[np.ndarray, list[str]]] = {}
+        for batch in batches:
+            for item, words in zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                held = found.setdefault(xxhash.xxh3_128_digest(words), (np.frombuffer(words, np.uint64), []))[1]
+                if not held or held[-1] != item:
+                    held.append(item)
+                if len(found) >= most:
+                    yield _block(found)
+                    found.clear()
         if found:
             yield _block(found)
 
@@ -156,10 +169,14 @@ def _windows(window: int, most: int):
 
 
 def item_windows(spark: SparkSession, items: DataFrame, window: int = WINDOW, most: int = BLOCK_WINDOWS) -> DataFrame:
-    """The distinct windows of items (item_id, text) in blocks of at most `most`; a window that is in two blocks is found by both."""
+    """The distinct windows of items (item_id, text) in blocks of at most `most`; a window that is in two blocks is found by both.
+
+    How many blocks there are depends on the windows alone, not on how the items lie in partitions: each is a pass over the index.
+    """
     texts = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return written(spark, texts.repartition(1 + size // ITEM_BYTES, "item_id").mapInArrow(_windows(window, most), WINDOWS), "windows")
+    windows = written(spark, texts.repartition(1 + size // ITEM_BYTES, "item_id").mapInArrow(_windows(window), "item_id string, words binary"), "windows")
+    return written(spark, windows.coalesce(1 + windows.count() // most).mapInArrow(_blocks_of_windows(most), WINDOWS), "blocks")
 
 
 def _finder(block, slop: int | None):

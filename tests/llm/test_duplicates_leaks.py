@@ -65,6 +65,14 @@ def test_decontamination_odd_documents(spark, odd_docs, no_docs):
     assert decontaminate.search(spark, decontaminate.build_index(odd_docs), items.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_window_blocks_do_not_depend_on_partitions(spark):
+    items = spark.createDataFrame([(i, prose(900 + i, 40)) for i in range(60)], "item_id long, text string")
+    for parts in (1, 40):
+        blocks = decontaminate.item_windows(spark, items.repartition(parts, "item_id"), most=1000).collect()
+        assert len(blocks) <= 4 and sum(len(r["lengths"]) // 4 for r in blocks) == 60 * 31
+        assert {x for r in blocks for x in r["ids"]} == {str(i) for i in range(60)}
+
+
 def test_long_words_are_told_apart():
     """Two words whose prefix sums are equal under any odd base."""
     signs = [bin(k).count("1") % 2 for k in range(2048)]
