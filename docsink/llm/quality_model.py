@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import blocks, held_out, table, texts_of, utf8, written
@@ -83,6 +84,19 @@ def measured(docs: DataFrame) -> DataFrame:
     return texts_of(docs).mapInArrow(_measure, "doc_id long, " + ", ".join(f"{x} double" for x in FEATURES))
 
 
+def with_statistics(docs: DataFrame, column: str) -> DataFrame:
+    """docs with a struct of FEATURES of its text; the other columns stay in the JVM."""
+
+    @F.pandas_udf(", ".join(f"{x} double" for x in FEATURES))
+    def of_text(texts: pd.Series) -> pd.DataFrame:
+        own = pa.array(texts, pa.large_string())
+        data, at = utf8(own)
+        made = [statistics(texts[i:j].tolist(), data[at[i] : at[j]], at[i : j + 1] - at[i]) for i, j in blocks(at, BLOCK_BYTES)]
+        return pd.DataFrame(np.concatenate([np.zeros((0, len(FEATURES))), *made]), columns=list(FEATURES))
+
+    return docs.withColumn(column, of_text(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
 class Discriminant:
     """Two normal classes. With a class unseen, the score is the smoothed share of the other."""
 
@@ -153,6 +167,16 @@ def scorer(model: Discriminant):
     return score
 
 
+def score_of(model: Discriminant, column: str) -> Column:
+    """The score of a struct of FEATURES."""
+
+    @F.pandas_udf("double")
+    def score(x: pd.DataFrame) -> pd.Series:
+        return pd.Series(model.score(x[list(FEATURES)].to_numpy()))
+
+    return score(F.col(column))
+
+
 def quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
