@@ -14,12 +14,14 @@ from docsink.llm.decontaminate import build_index, search
 from docsink.llm.near_duplicates import near_duplicates
 from docsink.llm.packing import pack_documents
 from docsink.llm.personal_data import redact, train
-from docsink.llm.quality_model import THRESHOLD, measured, scorer
+from docsink.llm.quality_model import THRESHOLD, score_of, with_statistics
 from docsink.llm.quality_model import train as train_quality
 
 
 #: The column by which the stages tell rows apart; doc_id may be repeated or null.
 ROW = "pipeline_row"
+#: The column of a text's statistics.
+STATISTICS = "pipeline_statistics"
 
 
 def _rows(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -30,12 +32,9 @@ def _rows(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier accepts, each by its own text; a null doc_id has no label, and is judged like any other."""
-    rows, numbered = _rows(spark, docs)
-    features = written(spark, measured(numbered), "statistics")
-    named = features.withColumnRenamed("doc_id", ROW).join(rows.select(ROW, "doc_id"), ROW)
-    scored = features.mapInArrow(scorer(train_quality(spark, named, table(spark, sf_dir, "labels"), "quality")), "doc_id long, score double")
-    kept = scored.where(F.col("score") >= THRESHOLD).select(F.col("doc_id").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    rows = written(spark, with_statistics(docs, STATISTICS), "statistics")
+    model = train_quality(spark, rows.select("doc_id", f"{STATISTICS}.*"), table(spark, sf_dir, "labels"), "quality")
+    return rows.where(score_of(model, STATISTICS) >= THRESHOLD).select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
