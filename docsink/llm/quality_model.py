@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,12 +86,11 @@ def measured(docs: DataFrame) -> DataFrame:
 def with_statistics(docs: DataFrame, column: str) -> DataFrame:
     """docs with a struct of FEATURES of its text; the other columns stay in the JVM."""
 
-    @F.pandas_udf(", ".join(f"{x} double" for x in FEATURES))
-    def of_text(texts: pd.Series) -> pd.DataFrame:
-        own = pa.array(texts, pa.large_string())
-        data, at = utf8(own)
-        made = [statistics(texts[i:j].tolist(), data[at[i] : at[j]], at[i : j + 1] - at[i]) for i, j in blocks(at, BLOCK_BYTES)]
-        return pd.DataFrame(np.concatenate([np.zeros((0, len(FEATURES))), *made]), columns=list(FEATURES))
+    @F.arrow_udf(", ".join(f"{x} double" for x in FEATURES))
+    def of_text(texts: pa.Array) -> pa.Array:
+        data, at = utf8(texts)
+        made = [statistics(texts.slice(i, j - i).to_pylist(), data[at[i] : at[j]], at[i : j + 1] - at[i]) for i, j in blocks(at, BLOCK_BYTES)]
+        return pa.StructArray.from_arrays([pa.array(x) for x in np.concatenate([np.zeros((0, len(FEATURES))), *made]).T], names=list(FEATURES))
 
     return docs.withColumn(column, of_text(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
@@ -170,9 +168,9 @@ def scorer(model: Discriminant):
 def score_of(model: Discriminant, column: str) -> Column:
     """The score of a struct of FEATURES."""
 
-    @F.pandas_udf("double")
-    def score(x: pd.DataFrame) -> pd.Series:
-        return pd.Series(model.score(x[list(FEATURES)].to_numpy()))
+    @F.arrow_udf("double")
+    def score(x: pa.Array) -> pa.Array:
+        return pa.array(model.score(np.stack([x.field(f).to_numpy(zero_copy_only=False) for f in FEATURES], axis=1)))
 
     return score(F.col(column))
 
