@@ -30,7 +30,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: At 0.8, two texts miss each of SKETCHES sketches with probability 1 - 0.8^ORDERED: all with under 1e-5.
 SKETCHES, ORDERED = 24, 4
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Texts of a bucket that meet in one task, about, and as many again from another part; a larger bucket is dealt out in pairs of parts.
 TOGETHER = 2000
 #: Texts of a star that are compared with its lead in one task, about.
@@ -38,7 +38,7 @@ SALTED = 4096
 #: Copies of one text are broadcast as common where they are one in so many rows, or more.
 HOT_KEYS = 1000
 #: Numbers in one table of orders by shingles, about.
-TABLE = 1 << 21
+TABLE = 1 << 18
 SEEDS = splitmix(np.arange(SKETCHES, dtype=np.uint64) + np.uint64(77))[:, None]
 
 
