@@ -34,7 +34,7 @@ LOWER[65:91] += 32
 IS_WORD = np.zeros(256, bool)
 IS_WORD[48:58] = IS_WORD[65:91] = IS_WORD[97:123] = IS_WORD[128:] = True
 
-INDEX = "doc_ids binary, word_at binary, terms binary, term_at binary, places binary"
+INDEX = "doc_ids binary, no_ids binary, word_at binary, terms binary, term_at binary, places binary"
 WINDOWS = "terms binary, numbers binary, lengths binary, item_at binary, item_of binary, ids array<string>"
 FOUND = "segment long, place int, doc_id long, n_words long, spans array<int>, items array<string>"
 
@@ -58,15 +58,16 @@ def word_hashes(data: np.ndarray, at: np.ndarray, hasher: SpanHash) -> tuple[np.
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = SpanHash(SEGMENT_BYTES)
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        no_ids = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+        ids = batch.column("doc_id").fill_null(0).to_numpy()
         data, at = utf8(batch.column("text"))
         for i, j in blocks(at, SEGMENT_BYTES):
             words, word_at = word_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i], hasher)
             order = np.argsort(words, kind="stable").astype(np.uint32)
             ranked = words[order]
             new = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))) if len(ranked) else np.zeros(0, np.int64)
-            row = (ids[i:j], word_at.astype(np.uint32), ranked[new], np.append(new, len(ranked)).astype(np.uint32), np.diff(order, prepend=np.uint32(0)))
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], names=["doc_ids", "word_at", "terms", "term_at", "places"])
+            row = (ids[i:j], no_ids[i:j], word_at.astype(np.uint32), ranked[new], np.append(new, len(ranked)).astype(np.uint32), np.diff(order, prepend=np.uint32(0)))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], names=["doc_ids", "no_ids", "word_at", "terms", "term_at", "places"])
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -77,8 +78,9 @@ def build_index(docs: DataFrame) -> DataFrame:
 class Segment:
     """A row of the index, opened."""
 
-    def __init__(self, doc_ids: bytes, word_at: bytes, terms: bytes, term_at: bytes, places: bytes):
-        self.doc_ids, self.word_at = np.frombuffer(doc_ids, np.int64), np.frombuffer(word_at, np.uint32).astype(np.int64)
+    def __init__(self, doc_ids: bytes, no_ids: bytes, word_at: bytes, terms: bytes, term_at: bytes, places: bytes):
+        self.doc_ids, self.no_ids = np.frombuffer(doc_ids, np.int64), np.frombuffer(no_ids, bool)
+        self.word_at = np.frombuffer(word_at, np.uint32).astype(np.int64)
         self.terms, self.term_at = np.frombuffer(terms, np.uint64), np.frombuffer(term_at, np.uint32).astype(np.int64)
         self.order = np.cumsum(np.frombuffer(places, np.uint32), dtype=np.uint32)
         self.opened: dict[int, np.ndarray] = {}
@@ -209,7 +211,7 @@ def _finder(block, slop: int | None):
                     [
                         pa.array(np.full(n, segment)),
                         pa.array(np.arange(n, dtype=np.int32)),
-                        pa.array(s.doc_ids),
+                        pa.array(s.doc_ids, mask=s.no_ids),
                         pa.array(np.diff(s.word_at)),
                         pa.array([spans.get(d, []) for d in range(n)], pa.list_(pa.int32())),
                         pa.array([sorted(held.get(d, ())) for d in range(n)], pa.list_(pa.string())),
@@ -239,7 +241,7 @@ def search(spark: SparkSession, index: DataFrame, items: DataFrame, window: int
     index: a written table. items: (item_id, text); each `most` windows of them, a bounded broadcast, are one pass over the index.
     slop None: exact phrases; else windows whose words all stand, in any order, within window + slop words.
     Repeated items and windows count once; null, empty and wordless items have no window; no items: no hits.
-    Each row of a repeated doc_id is a document of its own.
+    Each row of a repeated doc_id, or without one, is a document of its own.
     """
     blocks_made = [spark.sparkContext.broadcast(r.asDict()) for r in item_windows(spark, items, window, most).toLocalIterator()] or [None]
     passes = [index.mapInArrow(_finder(block, slop), FOUND) for block in blocks_made]
