@@ -39,6 +39,14 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or with as many _ behind it as make it a name that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the quarter of the ids that no model may learn from."""
     return F.crc32(doc_id.cast("string")) % 4 == 2

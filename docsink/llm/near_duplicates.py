@@ -78,6 +78,11 @@ def sketches(x: np.ndarray) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
+def copy_key(words: np.ndarray, data: np.ndarray) -> bytes:
+    """Copies have the same words in order; wordless texts the same bytes."""
+    return xxhash.xxh3_128_digest(words.tobytes() if len(words) else b"-" + data.tobytes())
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = SpanHash(2 * BLOCK_BYTES)
     for batch in batches:
@@ -87,10 +92,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, made = [], []
             for r in range(j - i):
                 own = words[word_at[r] : word_at[r + 1]]
-                keys.append(xxhash.xxh3_128_digest(own.tobytes() if len(own) else b"-" + data[at[i + r] : at[i + r + 1]].tobytes()))
+                keys.append(copy_key(own, data[at[i + r] : at[i + r + 1]]))
                 x = shingles(own.astype(np.uint32))
                 made.append(sketches(x) if len(x) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(keys, pa.binary()), pa.array(made, pa.list_(pa.int64()))], names=["doc_id", "copy_key", "sketches"])
+            yield pa.RecordBatch.from_arrays([batch.column("row").slice(i, j - i), batch.column("doc_id").slice(i, j - i), pa.array(keys, pa.binary()), pa.array(made, pa.list_(pa.int64()))], names=["row", "doc_id", "copy_key", "sketches"])
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,8 +104,9 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, at = utf8(batch.column("text"))
         for i, j in blocks(at, BLOCK_BYTES):
             words, word_at = word_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i], hasher)
-            words = words.astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array([words[a:b].tobytes() for a, b in zip(word_at[:-1], word_at[1:], strict=True)], pa.binary())], names=["doc_id", "words"])
+            own = [words[a:b] for a, b in zip(word_at[:-1], word_at[1:], strict=True)]
+            keys = [copy_key(x, data[at[i + r] : at[i + r + 1]]) for r, x in enumerate(own)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([x.astype(np.uint32).tobytes() for x in own], pa.binary())], names=["copy_key", "words"])
 
 
 def aligned(x: np.ndarray, y: np.ndarray, band: int) -> int:
@@ -209,7 +215,7 @@ def _linker(least: float):
 
 
 def verified(stars: DataFrame, words: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The similar ones of stars (a, b), each text b with its lead a. words: (doc_id, words).
+    """The similar ones of stars (a, b), each text b with its lead a. words: (doc, words).
 
     A lead's words go once to each SALTED of its star, so that a lead of very many texts is no single task.
     """
@@ -217,19 +223,19 @@ def verified(stars: DataFrame, words: DataFrame, least: float = SIMILARITY) -> D
     salts = stars.groupBy("a").agg((F.floor(F.count("*") / SALTED) + 1).cast("int").alias("salts"))
     dealt = stars.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("side"), F.col("b").alias("doc"))
     leads = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("a").alias("doc"))
-    both = dealt.unionByName(leads).join(words.select(F.col("doc_id").alias("doc"), "words"), "doc")
+    both = dealt.unionByName(leads).join(words, "doc")
     return both.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "side", "doc").select("a", "side", "doc", "words").mapInArrow(_verifier(least), "a long, b long")
 
 
 def _texts_of_rows(signed: DataFrame, copies: DataFrame) -> DataFrame:
-    """signed (doc_id, copy_key) with the text_id of its copies.
+    """signed (doc_id, copy_key) with the class_id of its copies.
 
     Keys of a thousandth of all rows or more, of which there are a thousand at most, are broadcast: their rows stay where they are.
     """
     rows = signed.count()
-    hot = F.broadcast(copies.where(F.col("n") * HOT_KEYS >= rows).select("copy_key", "text_id"))
-    common = signed.join(hot, "copy_key").select("doc_id", "text_id")
-    return common.unionByName(signed.join(hot, "copy_key", "left_anti").join(copies, "copy_key").select("doc_id", "text_id"))
+    hot = F.broadcast(copies.where(F.col("n") * HOT_KEYS >= rows).select("copy_key", "class_id"))
+    common = signed.join(hot, "copy_key").select("doc_id", "class_id")
+    return common.unionByName(signed.join(hot, "copy_key", "left_anti").join(copies, "copy_key").select("doc_id", "class_id"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -237,21 +243,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
 
     Classes are the connected components of links between texts of similarity `least` or more, and of copies. Texts
     under five words, and wordless ones by their bytes, only have copies; null and empty texts are copies of each
-    other. Rows that repeat a doc_id each have a row, and their texts are of one class; no rows give none; other
-    columns stay out.
+    other. Rows that repeat a doc_id, or have none, each are a text of their own; a class without any doc_id has the class_id null; no rows
+    give none; other columns stay out. docs is read twice, and must give the same rows, as a table does.
     """
-    texts = texts_of(docs)
-    signed = written(spark, texts.mapInArrow(_sign, "doc_id long, copy_key binary, sketches array<long>"), "signed")
-    copies = written(spark, signed.groupBy("copy_key").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("n")), "copies")
+    texts = texts_of(docs).withColumn("row", F.monotonically_increasing_id())
+    signed = written(spark, texts.mapInArrow(_sign, "row long, doc_id long, copy_key binary, sketches array<long>"), "signed")
+    copies = written(spark, signed.groupBy("copy_key").agg(F.min("row").alias("text_id"), F.min_by("doc_id", "row").alias("of"), F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "copies")
     # One row for each distinct text with sketches.
-    own = signed.where("sketches is not null").join(copies.select(F.col("copy_key").alias("k"), "text_id"), (F.col("doc_id") == F.col("text_id")) & (F.col("copy_key") == F.col("k")), "left_semi")
-    bucketed = own.select(F.col("doc_id").alias("doc"), F.posexplode("sketches")).select(F.xxhash64("pos", "col").alias("bucket"), "doc").distinct()
+    own = signed.where("sketches is not null").join(copies.select("text_id"), F.col("row") == F.col("text_id"), "left_semi")
+    bucketed = own.select(F.col("row").alias("doc"), F.posexplode("sketches")).select(F.xxhash64("pos", "col").alias("bucket"), "doc").distinct()
     leads = bucketed.groupBy("bucket").agg(F.min("doc").alias("lead"), F.count("*").alias("n")).where("n > 1").select("bucket", "lead")
     members = written(spark, bucketed.join(leads, "bucket"), "members")
 
     stars = written(spark, members.where("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "stars")
-    met = members.select(F.col("doc").alias("doc_id")).distinct()
-    words = written(spark, texts.join(met, "doc_id", "left_semi").mapInArrow(_words, "doc_id long, words binary").dropDuplicates(["doc_id"]), "words")
+    met = written(spark, members.select(F.col("doc").alias("text_id")).distinct().join(copies.select("text_id", "copy_key", "of"), "text_id"), "met")
+    # Rows of the doc_ids of the texts that meet; of those that share one, or have none, the key tells which are such a text.
+    named = texts.where("doc_id is not null").join(met.select(F.col("of").alias("doc_id")), "doc_id", "left_semi")
+    those = named.unionByName(texts.where("doc_id is null")) if met.where("of is null").limit(1).count() else named
+    found = those.select("text").mapInArrow(_words, "copy_key binary, words binary").dropDuplicates(["copy_key"])
+    words = written(spark, found.join(met.select("copy_key", F.col("text_id").alias("doc")), "copy_key").select("doc", "words"), "words")
     linked = written(spark, verified(stars, words, least), "linked")
     roots = written(spark, components(spark, linked), "roots")
 
@@ -260,15 +270,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     mixed = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), F.bit_xor(F.xxhash64("doc")).alias("texts")).where("least <> most")
     mixed = mixed.groupBy("n", "texts").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / TOGETHER).cast("int").alias("parts"))
     dealt = placed.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("doc"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc", "root").join(words.select(F.col("doc_id").alias("doc"), "words"), "doc")
+    dealt = dealt.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc", "root").join(words, "doc")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     linking = dealt.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "doc").select("bucket", "low", "high", "doc", "root", "words").mapInArrow(_linker(least), "a long, b long")
     more = written(spark, linking, "linked")
     if more.limit(1).count():
         roots = components(spark, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     # A text with very many copies has a root for each of its rows: the roots go to texts first, then texts to rows.
-    classes = copies.join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left").select("copy_key", "n", F.coalesce("root", "text_id").alias("text_id"))
-    return _texts_of_rows(signed.select("doc_id", "copy_key"), written(spark, classes, "classes")).withColumnRenamed("text_id", "class_id")
+    rooted = copies.join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left").select("copy_key", "doc_id", "n", F.coalesce("root", "text_id").alias("root"))
+    least_of = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    classes = written(spark, rooted.join(least_of, "root").select("copy_key", "n", "class_id"), "classes")
+    return _texts_of_rows(signed.select("doc_id", "copy_key"), classes)
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docsink.llm import decontaminate, near_duplicates, suffix_dedup
 from docsink.llm.components import components
@@ -298,6 +299,21 @@ def test_near_duplicates_odd_documents(spark, odd_docs, no_docs):
     assert near_duplicates.near_duplicates(spark, no_docs).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Each row is a text of its own, whatever its doc_id; a class is named by its least doc_id."""
+    a, b, c = (prose(600 + k, 60) for k in range(3))
+    rows = [(3, a), (5, a), (4, b), (5, b), (None, b), (None, c), (None, c + " end")]
+    got = near_duplicates.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("clash"))).collect()
+    assert sorted(((r["doc_id"], r["class_id"]) for r in got), key=str) == sorted([(3, 3), (5, 3), (4, 4), (5, 4), (None, 4), (None, None), (None, None)], key=str)
+
+
+def test_decontamination_keeps_large_and_null_ids(spark):
+    text = prose(800, 12)
+    docs = spark.createDataFrame([(2**53 + 1, text), (None, text), (3, "none"), (-(2**63), text)], "doc_id long, text string").coalesce(1)
+    got = decontaminate.search(spark, decontaminate.build_index(docs), spark.createDataFrame([(1, text)], "item_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["n_hit"]) for r in got), key=str) == sorted([(2**53 + 1, 12), (None, 12), (3, 0), (-(2**63), 12)], key=str)
+
+
 def test_components(spark):
     r = random.Random(1)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)]

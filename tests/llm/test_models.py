@@ -95,6 +95,11 @@ def brute_base(text):
     return sorted(found)
 
 
+def test_very_long_numbers():
+    text = "0" * 5000 + "1.2.3.4 " + "9" * 5000 + ".1.2.3"
+    assert personal_data.base_spans(text)[0] == (personal_data.IP, 0, 5007)
+
+
 def test_base_spans_by_brute_force():
     import random
 

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +102,16 @@ def test_odd_pages(spark):
     assert html_text.extract(spark, pages.limit(0)).count() == 0
 
 
+def test_deep_pages_take_linear_time():
+    began = time.time()
+    deep = "".join(f"<div>{k} " for k in range(5000))
+    assert html_text.main_text(deep, (), frozenset()).endswith("4998 4999")  # the innermost element with most of the text
+    lists = "<ul><li><ul>" + "<div>" * 5000 + "<li>x</li>" * 5000
+    assert html_text.main_text(lists, (), frozenset()) == " ".join(["x"] * 5000)
+    assert time.time() - began < 2
+    assert html_text.infer([deep, deep])["paths"] != []
+
+
 @pytest.fixture
 def tables(spark, tmp_path):
     docs, labels, items = [], [], [(i, prose(700 + i, 15)) for i in range(5)]
@@ -183,5 +195,10 @@ def test_stages_decide_by_row(spark, tables):
     assert kept("quality", [(5000, a), (5000, bad), (None, b), (None, bad)], docs) == sorted([(5000, a), (None, b)], key=str)
     rows = [(5007, a), (5007, a), (None, a), (None, b), (None, b), (5009, c), (5009, d)]
     assert kept("near duplicates", rows) == sorted([(5007, a), (None, b), (5009, c), (5009, d)], key=str)
+    clash = spark.createDataFrame([(5000, a, "en", "s", 1)], schema).withColumn("pipeline_row", F.lit("own")).withColumn("pipeline_statistics", F.lit("own"))
+    for name in ("near duplicates", "decontamination", "quality"):
+        more = spark.createDataFrame(docs, schema).withColumn("pipeline_row", F.lit("own")).withColumn("pipeline_statistics", F.lit("own"))
+        got = stages[name](spark, clash.unionByName(more), sf_dir)
+        assert got.columns == clash.columns and {(r["pipeline_row"], r["pipeline_statistics"]) for r in got.collect()} == {("own", "own")}
     leak = f"{c} {items[0][1]}"
     assert kept("decontamination", [(5001, a), (5001, leak), (None, b), (None, leak)]) == sorted([(5001, a), (None, b)], key=str)
