@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsink.llm.common import table, written
+from docsink.llm.common import free_name, table, written
 from docsink.llm.decontaminate import build_index, search
 from docsink.llm.near_duplicates import near_duplicates
 from docsink.llm.packing import pack_documents
@@ -18,39 +18,35 @@ from docsink.llm.quality_model import THRESHOLD, score_of, with_statistics
 from docsink.llm.quality_model import train as train_quality
 
 
-#: The column by which the stages tell rows apart; doc_id may be repeated or null.
-ROW = "pipeline_row"
-#: The column of a text's statistics.
-STATISTICS = "pipeline_statistics"
-
-
-def _rows(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """docs, written with a number for each row; and (doc_id, text) of it, the number being the doc_id."""
-    rows = written(spark, docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    return rows, rows.select(F.col(ROW).alias("doc_id"), "text")
+def _rows(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """docs, written with a number for each row, by which the stages tell rows apart; (doc_id, text) of it, the number being the doc_id; and the number's column."""
+    row = free_name(docs, "pipeline_row")
+    rows = written(spark, docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    return rows, rows.select(F.col(row).alias("doc_id"), "text"), row
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier accepts, each by its own text; a null doc_id has no label, and is judged like any other."""
-    rows = written(spark, with_statistics(docs, STATISTICS), "statistics")
-    model = train_quality(spark, rows.select("doc_id", f"{STATISTICS}.*"), table(spark, sf_dir, "labels"), "quality")
-    return rows.where(score_of(model, STATISTICS) >= THRESHOLD).select(*docs.columns)
+    statistics = free_name(docs, "pipeline_statistics")
+    rows = written(spark, with_statistics(docs, statistics), "statistics")
+    model = train_quality(spark, rows.select("doc_id", f"{statistics}.*"), table(spark, sf_dir, "labels"), "quality")
+    return rows.where(score_of(model, statistics) >= THRESHOLD).select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near duplicates: that of the least doc_id, a null one coming last; of equal ones, any one."""
-    rows, numbered = _rows(spark, docs)
-    classes = near_duplicates(spark, numbered).select(F.col("doc_id").alias(ROW), "class_id").join(rows.select(ROW, "doc_id"), ROW)
-    firsts = classes.groupBy("class_id").agg(F.min_by(ROW, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias(ROW))
-    return rows.join(firsts, ROW, "left_semi").select(*docs.columns)
+    rows, numbered, row = _rows(spark, docs)
+    classes = near_duplicates(spark, numbered).select(F.col("doc_id").alias(row), "class_id").join(rows.select(row, F.col("doc_id").alias("id")), row)
+    firsts = classes.groupBy("class_id").agg(F.min_by(row, F.struct(F.col("id").isNull().alias("none"), "id", row)).alias(row))
+    return rows.join(firsts, row, "left_semi").select(*docs.columns)
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without any passage of a benchmark item, each by its own text, whatever its doc_id."""
-    rows, numbered = _rows(spark, docs)
+    rows, numbered, row = _rows(spark, docs)
     index = written(spark, build_index(numbered), "index")
-    hit = search(spark, index, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias(ROW))
-    return rows.join(hit, ROW, "left_anti").select(*docs.columns)
+    hit = search(spark, index, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias(row))
+    return rows.join(hit, row, "left_anti").select(*docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
