@@ -1,7 +1,7 @@
 """A stream of changes kept as state.
 
-Each micro-batch is tagged, its rejects are written, it is turned to actions and settled into the buckets of the state that
-it touches. The checkpoint commits after that, and a batch that is replayed overwrites what it wrote: the effect is exactly once.
+Each micro-batch is tagged, its rejects are written, it is turned to actions and added to the state. The checkpoint
+commits after that, and a batch that is replayed overwrites what it wrote: the effect is exactly once.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from ..options import Options
 from ..plans import job
 from ..sources import state
 
+#: Micro-batches after which state that is no longer needed is deleted.
+CLEAN_EVERY = 10
+
 
 def _map_new(fresh: DataFrame, root: str, batch: int, options: Options) -> None:
     """Each resource gets its field mapping once, from the values' schema; not where schemas are ignored, nor for free-form text."""
@@ -36,8 +39,7 @@ def apply_changes(changes: DataFrame, root: str, batch: int, options: Options) -
         fresh, malformed = job.split_malformed(job.actions(checks.accepted(tagged), options), options)
         if malformed is not None:
             bad = malformed.select("topic", "partition", "offset", F.col("id").alias("key"), F.col("doc_json").alias("value"), F.lit(checks.MALFORMED).alias("reason"))
-            if options.malformed_policy != "ignore":
-                state.write_rejects(bad, root, batch, "write")
+            state.write_rejects(bad, root, batch, "write")  # whatever the policy: it says whether the job goes on
             checks.stop_if_malformed(bad, options)
         _map_new(fresh, root, batch, options)
         state.update_state(fresh, root, batch, job.resolver(options))
@@ -52,5 +54,7 @@ def keep_state(changes: DataFrame, root: str, options: Options, checkpoint: str,
 
     def one(batch: DataFrame, batch_id: int) -> None:
         apply_changes(batch, root, batch_id, options)
+        if batch_id % CLEAN_EVERY == CLEAN_EVERY - 1:
+            state.remove_old(batch.sparkSession, root)
 
     return changes.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
