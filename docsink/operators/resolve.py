@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import json_fields
+from . import tree
 
 ID = ["resource", "id"]
 ARRIVAL = ("topic", "partition", "offset")
@@ -47,33 +47,43 @@ def merge_partial(actions: DataFrame, fields: Sequence[str], arrival: Sequence[s
     return found.where(F.col("written").isNotNull() & after(F.col("written"))).select(*ID, *(F.when(after(F.col(f)["at"]), F.col(f)["v"]).alias(f) for f in fields))
 
 
-def _merged_json(actions: DataFrame, text: str, arrival: Sequence[str]) -> DataFrame:
-    """By id: written and deleted (its last write and delete), last (the row of the last of both), merged JSON text."""
+def _merged_json(actions: DataFrame, text: str, arrival: Sequence[str], rest: Sequence[str] = ()) -> DataFrame:
+    """By id: written and deleted (its last write and delete), row (the columns `rest` of the last of both), merged JSON text.
+
+    Objects merge at every depth; a scalar, null or array takes the place of all below it. A write is an object at the root, a
+    delete a leaf there. By path the last to arrive are found by one aggregate; only nodes, with their time of arrival, are gathered.
+    """
     at = F.struct(*arrival)
-    fields = F.when(F.col("op") != "delete", json_fields(F.col(text)))
-    rows = actions.select(*ID, "op", at.alias("at"), F.struct(*_rest(actions)).alias("row"), F.explode_outer(fields).alias("field", "v"))
     write = F.col("op") != "delete"
-    by_field = rows.groupBy(*ID, "field").agg(F.max(F.when(~write, F.col("at"))).alias("deleted"), F.max(F.when(write, F.col("at"))).alias("written"), F.max_by("row", "at").alias("row"), F.max("at").alias("at"), F.max_by(F.to_json("v"), F.when(write, F.col("at"))).alias("v"))
-    entry = F.when(F.col("field").isNotNull(), F.struct("field", "v", "written"))
-    found = by_field.groupBy(*ID).agg(F.max("deleted").alias("deleted"), F.max("written").alias("written"), F.max_by("row", "at").alias("row"), F.sort_array(F.collect_list(entry)).alias("entries"))  # the fields of one document
-    alive = F.filter("entries", lambda e: F.col("deleted").isNull() | (e["written"] > F.col("deleted")))
-    return found.withColumn("merged", F.to_json(F.map_from_entries(F.transform(alive, lambda e: F.struct(e["field"], F.parse_json(e["v"]))))))
+    rows = actions.select(*ID, at.alias("at"), write.alias("write"), F.when(write, F.col(text)).alias("text"), F.struct(F.lit(0).alias("none"), *rest).alias("row"))
+    found = tree.nodes(rows, F.col("text"), max(1, tree.levels_of(rows, "text")), once=["row"])
+    root = F.size(tree.PATH) == 0
+    opened = F.when(F.when(root, F.col("write")).otherwise(F.col(tree.OBJECT)), F.col("at"))
+    last = F.when(~F.when(root, F.col("write")).otherwise(F.col(tree.OBJECT)), F.col("at"))
+    by_path = found.groupBy(*ID, tree.PATH).agg(F.max(last).alias("last"), F.max(opened).alias("opened"), F.max_by(tree.VALUE, last).alias(tree.VALUE), F.max_by("row", F.when(root, F.col("at"))).alias("row"))
+    entry = F.struct(tree.PATH, "last", "opened", tree.VALUE)
+    # The nodes of one document; the root comes first.
+    by_id = by_path.groupBy(*ID).agg(F.sort_array(F.collect_list(entry)).alias("entries"), F.max_by("row", F.when(root, 1)).alias("row"))
+    top = F.element_at("entries", 1)
+    below = F.slice("entries", 2, F.size("entries"))
+    return by_id.select(*ID, "row", top["last"].alias("deleted"), top["opened"].alias("written"), tree.written(below, top["last"]).alias("merged"))
 
 
 def merge_partial_json(actions: DataFrame, text: str = "doc", arrival: Sequence[str] = ARRIVAL) -> DataFrame:
-    """The same for free-form JSON objects: explicit nulls overwrite, absent fields do not. An id that has only {} stays, as {}."""
+    """The same for free-form JSON objects, at every depth: explicit nulls overwrite, absent fields do not. An id that has only {} stays, as {}."""
     found = _merged_json(actions, text, arrival).where("written is not null and (deleted is null or written > deleted)")
     return found.select(*ID, F.col("merged").alias(text))
 
 
 def upserts(actions: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
     """State of partial writes: the actions' columns, doc_json being merged and doc read from it. A last delete stays as a tombstone."""
-    found = _merged_json(actions, "doc_json", arrival)
+    rest = [c for c in _rest(actions) if c not in ("doc", "doc_json")]
+    found = _merged_json(actions, "doc_json", arrival, rest)
     alive = F.col("written").isNotNull() & (F.col("deleted").isNull() | (F.col("written") > F.col("deleted")))
     kind = actions.schema["doc"].dataType
     doc = F.col("merged") if isinstance(kind, T.StringType) else F.from_json("merged", kind)
     own = {"doc_json": F.when(alive, F.col("merged")), "doc": F.when(alive, doc)}
-    return found.select(*ID, *(own.get(c, F.col("row")[c]).alias(c) for c in _rest(actions) if c not in arrival or c in ARRIVAL))
+    return found.select(*ID, *(own[c].alias(c) if c in own else F.col("row")[c].alias(c) for c in _rest(actions) if c not in arrival or c in ARRIVAL))
 
 
 def first_create_wins(actions: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import checks, frame, mapping, outcome, progress, project, resolve, route
+from ..operators import checks, frame, mapping, outcome, progress, project, resolve, route, tree
 from ..options import Options
 from ..sources import changes as source
 from ..sources import state
@@ -359,6 +359,31 @@ def merged_orders_json(spark, sf_dir):
     return merged.select("id", *(F.get_json_object("doc", f"$.{f}").cast("long").alias(f) for f in ("open_key", "done_key")))
 
 
+#: A partial document of an order: fields at three depths, and values that take the place of objects; none is a delete.
+NESTED = """CASE WHEN o_orderkey % 11 = 0 THEN NULL
+  WHEN o_orderkey % 7 = 0 THEN '{"done":[' || o_orderkey || '],"open":{}}'
+  WHEN o_orderstatus = 'P' THEN '{"open":null,"n":{"p":' || o_orderkey || '}}'
+  WHEN o_orderstatus = 'O' THEN '{"open":{"key":' || o_orderkey || ',"by":{"' || o_orderpriority || '":' || o_orderkey || '}}}'
+  ELSE '{"done":{"key":' || o_orderkey || ',"by":{"' || o_orderpriority || '":"' || o_orderkey || '"}}}' END"""
+
+
+@query(f"""
+WITH RECURSIVE w AS (SELECT o_custkey AS c, o_orderkey AS t, CAST({NESTED} AS JSON) AS j FROM orders),
+gone AS (SELECT c, max(t) AS t FROM w WHERE j IS NULL GROUP BY c),
+nodes(c, t, path, v) AS (
+  SELECT c, t, [k], json_extract(j, '$."' || k || '"') FROM (SELECT w.c, w.t, j, unnest(json_keys(j)) AS k FROM w LEFT JOIN gone USING (c) WHERE j IS NOT NULL AND (gone.t IS NULL OR w.t > gone.t))
+  UNION ALL SELECT c, t, list_append(path, k), json_extract(v, '$."' || k || '"') FROM (SELECT *, unnest(json_keys(v)) AS k FROM nodes WHERE json_type(v) = 'OBJECT'))
+SELECT CAST(c AS VARCHAR) AS id, array_to_string(path, '/') AS path, CAST(v AS VARCHAR) AS leaf FROM nodes n
+WHERE json_type(v) <> 'OBJECT' AND NOT EXISTS (SELECT 1 FROM nodes m WHERE m.c = n.c AND m.t > n.t
+  AND (m.path = n.path OR (json_type(m.v) <> 'OBJECT' AND len(m.path) < len(n.path) AND n.path[1 : len(m.path)] = m.path)))""")
+def merged_nested_orders(spark, sf_dir):
+    """Partial documents merge at every depth; a value that is no object takes the place of all below it."""
+    orders = table(spark, sf_dir, "orders")
+    doc = F.expr(NESTED)
+    writes = orders.select(F.lit("customers").alias("resource"), F.col("o_custkey").cast("string").alias("id"), F.when(doc.isNull(), "delete").otherwise("update").alias("op"), doc.alias("doc"), F.lit("orders").alias("topic"), F.lit(0).alias("partition"), F.col("o_orderkey").alias("offset"))
+    return tree.leaves(resolve.merge_partial_json(writes).select("id", "doc"), "doc").select("id", F.array_join("path", "/").alias("path"), "leaf")
+
+
 @query("SELECT CAST(doc_id AS VARCHAR) AS id, lang, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)")
 def document_label_upsert(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.lit("documents").alias("topic"), "lang", "n_chars", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))

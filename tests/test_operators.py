@@ -1,13 +1,14 @@
 import datetime as dt
 import decimal
 import json
+import random
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsink.operators import checks, frame, mapping, outcome, progress, project, resolve, route
+from docsink.operators import checks, frame, mapping, outcome, progress, project, resolve, route, tree
 from docsink.options import Options
 from docsink.plans import job
 from docsink.sources import changes as source
@@ -301,3 +302,43 @@ def test_job_with_maps_headers_and_generated_ids(spark):
     assert made.where("id is null and version is null and version_type = 'internal'").count() == 2
     made = job.actions(checks.accepted(job.tagged(rows, Options())), Options())
     assert {tuple(r) for r in made.select("id", "version", "version_type", "op", "doc_json").collect()} == {("a", 0, "external", "index", "{}"), ("b", 1, "external", "index", "{}")}
+
+
+def merged_by_hand(state, change):
+    out = dict(state)
+    for k, v in change.items():
+        out[k] = merged_by_hand(out[k], v) if isinstance(v, dict) and isinstance(out.get(k), dict) else v
+    return out
+
+
+def test_partial_documents_merge_at_every_depth(spark):
+    r = random.Random(1)
+
+    def value(d):
+        if d and r.random() < 0.5:
+            return {r.choice(["a", "b", "c.d", 'e"f', "g{"]): value(d - 1) for _ in range(r.randint(0, 3))}
+        return r.choice([None, 1, 2.5, 'x"{y', [1, {"z": 2}], True, {}])
+
+    rows, want = [], {}
+    for i in range(500):
+        k = f"k{r.randint(0, 30)}"
+        if r.random() < 0.06:
+            rows.append(("r", k, "delete", None, "t", 0, i))
+            want.pop(k, None)
+            continue
+        doc = {r.choice("abxy"): value(4) for _ in range(r.randint(0, 3))}
+        rows.append(("r", k, "update", json.dumps(doc), "t", 0, i))
+        want[k] = merged_by_hand(want.get(k, {}), doc)
+    actions = spark.createDataFrame(rows, "resource string, id string, op string, doc string, topic string, partition int, offset long").repartition(3)
+    assert {x["id"]: json.loads(x["doc"]) for x in resolve.merge_partial_json(actions).collect()} == want
+    odd = spark.createDataFrame([("r", "n", "update", d, "t", 0, i) for i, d in enumerate([None, "5", "no json", '{"a":1}', "[]"])], actions.schema)
+    assert [x["doc"] for x in resolve.merge_partial_json(odd).collect()] == ['{"a":1}']
+    assert resolve.merge_partial_json(actions.limit(0)).count() == 0
+
+
+def test_depth_and_leaves_of_documents(spark):
+    docs = ['{"a":{"b":{"c":1}},"s":"{{{{"}', '{"x":[{"y":1}]}', "{}", None, '{"q\\"{":"\\\\"}']
+    rows = spark.createDataFrame(list(enumerate(docs)), "i int, doc string")
+    assert [x["d"] for x in rows.select("i", tree.depth_of(F.col("doc")).alias("d")).orderBy("i").collect()] == [3, 2, 1, 0, 1]
+    got = sorted((x["i"], tuple(x["path"]), x["leaf"]) for x in tree.leaves(rows, "doc").collect())
+    assert got == [(0, ("a", "b", "c"), "1"), (0, ("s",), '"{{{{"'), (1, ("x",), '[{"y":1}]'), (4, ('q"{',), '"\\\\"')]
