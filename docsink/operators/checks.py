@@ -105,14 +105,20 @@ def accepted(tagged: DataFrame) -> DataFrame:
     return tagged.where("reason is null").drop("reason")
 
 
-def stop_if_invalid(tagged: DataFrame, options) -> None:
-    """Raises unless the options allow what was rejected. Call it after the rejects are written."""
-    bad = tagged.where("reason is not null")
+def fatal(options) -> Column:
+    """Whether a row's reason must stop the job under these options."""
+    reason = F.col("reason")
+    allowed = F.lit(False)
     if options.null_policy == "ignore":
-        bad = bad.where(F.col("reason") != NULL_VALUE)
+        allowed = allowed | (reason == NULL_VALUE)
     if options.drop_invalid:
-        bad = bad.where(F.col("reason") == NULL_VALUE) if options.null_policy == "fail" else bad.limit(0)
-    first = bad.select("reason", record_position().alias("position")).first()
+        allowed = allowed | (reason != NULL_VALUE if options.null_policy == "fail" else F.lit(True))
+    return reason.isNotNull() & ~allowed
+
+
+def stop_if_invalid(tagged: DataFrame, options) -> None:
+    """Raises unless the options allow what was rejected. Call it after the rejects are written."""
+    first = tagged.where(fatal(options)).select("reason", record_position().alias("position")).first()
     if first:
         raise InvalidRecords(f"{first['reason']}: {first['position']}")
 

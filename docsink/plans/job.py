@@ -31,7 +31,7 @@ def tagged(changes: DataFrame, options: Options) -> DataFrame:
 def actions(accepted: DataFrame, options: Options) -> DataFrame:
     """One action for each accepted change: resource, id, op, version, doc, doc_json and the position.
 
-    doc_json is what is written: of a topic whose schema is ignored the value as it came, else its normalised form, and for
+    The columns `reason` and `stops` stay, if there are any. doc_json is what is written: of a topic whose schema is ignored the value as it came, else its normalised form, and for
     data streams with @timestamp, also where the value is JSON text.
     """
     kind = accepted.schema["value"].dataType
@@ -51,6 +51,7 @@ def actions(accepted: DataFrame, options: Options) -> DataFrame:
     if options.topic_schema_ignore and not text_kind:
         text = F.when(F.col("topic").isin(*options.topic_schema_ignore), project.to_document(with_time(F.col("value")))).otherwise(text)
     own = ["resource", project.doc_id(options).alias("id"), project.write_op(F.col("value"), options).alias("op"), _version(options).alias("version"), doc.alias("doc"), "topic", "partition", "offset", "timestamp"]
+    own += [c for c in ("reason", "stops") if c in accepted.columns]
     return (
         accepted.select(*own, "value")
         .withColumn("version_type", F.when(F.col("version").isNotNull(), "external").otherwise("internal"))

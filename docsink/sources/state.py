@@ -85,7 +85,7 @@ def _files(spark: SparkSession, where: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _names(spark: SparkSession, where: str) -> list[str]:
+def names(spark: SparkSession, where: str) -> list[str]:
     path, fs = _files(spark, where)
     return sorted(x.getPath().getName() for x in fs.listStatus(path)) if fs.exists(path) else []
 
@@ -101,7 +101,7 @@ def _put(spark: SparkSession, where: str, text: str) -> None:
 
 def _finished(spark: SparkSession, root: str) -> list[int]:
     """The batches that were finished, by the pointer files (one for each)."""
-    return sorted(int(n.removeprefix("batch=")) for n in _names(spark, f"{root}/pointers") if n.startswith("batch="))
+    return sorted(int(n.removeprefix("batch=")) for n in names(spark, f"{root}/pointers") if n.startswith("batch="))
 
 
 def manifest_of(spark: SparkSession, root: str, batch: int) -> Manifest:
@@ -199,7 +199,7 @@ def _take_up(spark: SparkSession, root: str, batch: int, manifest: Manifest, due
     name = manifest.of(lambda b: f"{b.low}-{b.depth}", "string", F.xxhash64(*resolve.ID))
     path = f"{root}/buckets/batch={batch}"
     settled.withColumn("bucket", name).repartition(len(parts), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
-    found = {r["bucket"]: r["count"] for r in spark.read.schema("bucket string").parquet(path).groupBy("bucket").count().collect()} if any(n.startswith("bucket=") for n in _names(spark, path)) else {}
+    found = {r["bucket"]: r["count"] for r in spark.read.schema("bucket string").parquet(path).groupBy("bucket").count().collect()} if any(n.startswith("bucket=") for n in names(spark, path)) else {}
     for b in parts:
         b.rows = found.get(f"{b.low}-{b.depth}", 0)
         b.base = batch if b.rows else None
@@ -228,8 +228,8 @@ def remove_old(spark: SparkSession, root: str, keep: int = 2) -> int:
     done = _finished(spark, root)
     kept = [manifest_of(spark, root, b) for b in done[-keep:]]
     needed = {f"runs/{r.name}" for m in kept for r in m.runs} | {f"buckets/batch={b.base}/bucket={b.low}-{b.depth}" for m in kept for b in m.buckets}
-    there = [f"runs/{n}" for n in _names(spark, f"{root}/runs")]
-    there += [f"buckets/{b}/{n}" for b in _names(spark, f"{root}/buckets") for n in _names(spark, f"{root}/buckets/{b}") if n.startswith("bucket=")]
+    there = [f"runs/{n}" for n in names(spark, f"{root}/runs")]
+    there += [f"buckets/{b}/{n}" for b in names(spark, f"{root}/buckets") for n in names(spark, f"{root}/buckets/{b}") if n.startswith("bucket=")]
     # What a batch after the last finished one has begun to write is not old.
     gone = [x for x in there if x not in needed and int(x.split("batch=")[1].split("-")[0].split("/")[0]) <= (done[-1] if done else -1)]
     for b in done[:-keep]:

@@ -1,6 +1,7 @@
 import json
 import threading
-from http.server import BaseHTTPRequestHandler, HTTPServer
+import time
+from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from docsink.options import Options
 from docsink.plans import job
 from docsink.sources import bulk, state
 from docsink.sources import changes as source
-from docsink.streaming import state_sink
+from docsink.streaming import bulk_sink, state_sink
 
 
 @pytest.fixture
@@ -65,11 +66,104 @@ def test_outcomes_of_sent_rows_have_positions(spark, target):
     url, seen, answers = target
     answers += [(429, None), (200, None), (200, bulk.CONFLICT), (200, "mapper_parsing_exception"), (200, bulk.CONFLICT)]
     rows = spark.range(4).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit("r").alias("resource"), F.col("id").cast("string").alias("id"), F.lit("index").alias("op"), F.when(F.col("id") == 3, F.col("id")).alias("version"), F.lit('{"x":1}').alias("doc_json"))
-    found = bulk.sent(rows, Options(batch_size=1, max_retries=1, backoff_ms=1, malformed_policy="warn"), url).orderBy("offset").collect()
+    found = bulk.sent(rows, Options(batch_size=1, max_retries=1, backoff_ms=1, malformed_policy="warn"), url).collect()
+    found.sort(key=lambda r: r["offset"])
     assert [(r["offset"], r["error_class"], r["processed"], r["reported"], r["fatal"]) for r in found] == [(0, "ok", True, False, False), (1, "conflict", True, True, False), (2, "malformed", True, True, False), (3, "conflict", True, False, False)]
     assert [s for s, _ in seen] == [429, 200, 200, 200, 200]
 
 
+def test_nothing_is_sent_after_a_fatal_outcome(spark, target, tmp_path):
+    url, seen, answers = target
+    answers += [(200, None), (200, "boom")]
+    rows = spark.range(6).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit("r").alias("resource"), F.col("id").cast("string").alias("id"), F.lit("index").alias("op"), F.lit(None).cast("long").alias("version"), F.lit('{"x":1}').alias("doc_json"))
+    found = bulk.sent(rows, Options(batch_size=1, max_in_flight=1, malformed_policy="warn"), url, str(tmp_path)).collect()
+    found.sort(key=lambda r: r["offset"])
+    assert [(r["error_class"], r["processed"], r["fatal"]) for r in found] == [("ok", True, False), ("other", False, True)] + [("unsent", False, False)] * 4
+    assert len(seen) == 2
+    # Another task of the same run sees the flag; one of the next run does not.
+    other = {"url": url, "outcomes": str(tmp_path), "run": next((tmp_path / "staging").iterdir()).name}
+    assert [e for _, e in bulk._Writer(other).outcomes(iter([("{}", None)]))] == [None] and len(seen) == 2
+    assert [e for _, e in bulk._Writer(other | {"run": "next"}).outcomes(iter([('{"index":{}}', '{"x":1}')]))] == [""]
+
+
+def test_calls_in_flight_are_limited(spark):
+    lock, now, most = threading.Lock(), [0], [0]
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            with lock:
+                now[0] += 1
+                most[0] = max(most[0], now[0])
+            time.sleep(0.05)
+            self.rfile.read(int(self.headers["Content-Length"]))
+            with lock:
+                now[0] -= 1
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(b'{"items":[{"index":{"_id":"i"}}]}')
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    rows = spark.range(48).select(F.lit("t").alias("topic"), (F.col("id") % 16).cast("int").alias("partition"), F.col("id").alias("offset"), F.lit("r").alias("resource"), F.col("id").cast("string").alias("id"), F.lit("index").alias("op"), F.lit(None).cast("long").alias("version"), F.lit('{"x":1}').alias("doc_json"))
+    try:
+        found = bulk.sent(rows, Options(batch_size=1, max_in_flight=3), f"http://127.0.0.1:{server.server_port}").collect()
+    finally:
+        server.shutdown()
+    assert len(found) == 48 and {r["error_class"] for r in found} == {"ok"} and 1 < most[0] <= 3
+
+
+def test_frames_go_over_arrow_batches(spark, target):
+    url, seen, _ = target
+    rows = spark.range(50).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit("r").alias("resource"), F.col("id").cast("string").alias("id"), F.lit("index").alias("op"), F.lit(None).cast("long").alias("version"), F.lit('{"x":1}').alias("doc_json"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert bulk.sent(rows, Options(batch_size=20), url).where("processed").count() == 50
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [len(x) // 2 for _, x in seen] == [20, 20, 10]
+
+
+def test_a_streams_outcomes_are_published_once(spark, target, tmp_path):
+    """A micro-batch that failed after it had sent rows comes again: its rejects are there once, and its progress."""
+    url, seen, answers = target
+    for k, own in enumerate(([(0, 1, "a"), (1, 2, "b")], [(2, None, "c"), (3, 3, "d"), (4, 4, "e")])):
+        spark.createDataFrame(own, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in" / f"file-{k}"))
+    options = Options(batch_size=1, max_in_flight=1, malformed_policy="warn", drop_invalid=True)
+    rows = lambda: source.as_changes(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")), topic=F.lit("Events"), partition=F.lit(0), offset="o", key="k", value=F.struct("v"))
+    run = lambda: bulk_sink.send_changes(rows(), url, str(tmp_path / "out"), options, str(tmp_path / "checkpoint")).awaitTermination()
+    malformed = "mapper_parsing_exception"
+    answers += [(200, malformed), (200, None), (200, malformed), (200, "boom")]
+    with pytest.raises(Exception, match="see the target's answer"):
+        run()
+    assert len(seen) == 4
+    assert sorted((r["offset"], r["error_class"], r["batch"]) for r in bulk.read_rejects(spark, str(tmp_path / "out")).collect()) == [(0, "malformed", 0)]
+    answers += [(200, malformed), (200, None)]
+    run()
+    want = [(0, "malformed", 0), (2, "invalid", 1), (3, "malformed", 1)]
+    assert sorted((r["offset"], r["error_class"], r["batch"]) for r in bulk.read_rejects(spark, str(tmp_path / "out")).collect()) == want
+    assert sorted((r["first"], r["last"], r["batch"]) for r in bulk.read_done(spark, str(tmp_path / "out")).collect()) == [(0, 1, 0), (2, 4, 1)]
+    # A commit that comes again takes the place of the one before; what an aborted try staged goes.
+    writer = bulk._Stream({"url": url, "outcomes": str(tmp_path / "out")})
+    again = bulk.Sent(0, 0, 0, 0, tuple(writer.stage([("Events", 0, 3, "malformed", "again")], [("Events", 0, 2, 4)])))
+    writer.commit([again, None], 1)
+    dropped = bulk.Sent(0, 0, 0, 0, tuple(writer.stage([("Events", 0, 9, "malformed", "x")], [])))
+    writer.abort([None, dropped], 2)
+    assert sorted((r["offset"], r["message"]) for r in bulk.read_rejects(spark, str(tmp_path / "out")).where("batch = 1").collect()) == [(3, "again")]
+    assert bulk.read_rejects(spark, str(tmp_path / "out")).count() == 2 and not list((tmp_path / "out").glob("staging/*/*/*.parquet"))
+
+
+def test_invalid_records_stop_a_sending_stream(spark, target, tmp_path):
+    url, seen, _ = target
+    spark.createDataFrame([(0, 1, "a"), (1, None, "b")], SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in"))
+    rows = source.as_changes(source.file_changes(spark, str(tmp_path / "in"), SCHEMA), topic=F.lit("Events"), partition=F.lit(0), offset="o", key="k", value=F.struct("v"))
+    with pytest.raises(Exception, match="null key"):
+        bulk_sink.send_changes(rows, url, str(tmp_path / "out"), Options(), str(tmp_path / "checkpoint")).awaitTermination()
+    assert bulk.read_rejects(spark, str(tmp_path / "out")).count() == 0
+
+
 def test_retry_waits():
     waits, calls = [], []
 
