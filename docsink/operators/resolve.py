@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import tree
+from . import order, tree
 
 ID = ["resource", "id"]
 ARRIVAL = ("topic", "partition", "offset")
@@ -107,10 +106,10 @@ def stale_report(actions: DataFrame) -> DataFrame:
     return by_id.groupBy("resource").agg(F.sum(F.col("n") - 1).alias("n_stale"))
 
 
-def refused(actions: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
-    """Writes that a target refuses as they arrive: of a version no greater than one before."""
-    before = F.max("version").over(W.partitionBy(*ID).orderBy(*arrival).rowsBetween(W.unboundedPreceding, -1))
-    return actions.withColumn("before", before).where("version <= before").drop("before")
+def refused(actions: DataFrame, arrival: Sequence[str] = ARRIVAL, block: int = order.BLOCK) -> DataFrame:
+    """Writes that a target refuses as they arrive: of a version no greater than one before. Maxima are scanned by blocks of offsets, so a hot id is no single task."""
+    found = order.scanned(actions, ID, arrival, {"version_before": (F.max, F.greatest, "version")}, block)
+    return found.where("version <= version_before").select(*actions.columns)
 
 
 def apply_batch(state: DataFrame, actions: DataFrame, resolve=latest_wins) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators import checks, frame, mapping, outcome, progress, project, reso
 from ..options import Options
 from ..sources import changes as source
 from ..sources import state
-from ..streaming import latest, state_sink
+from ..streaming import latest, offsets, state_sink
 from . import job
 
 QUERIES: dict = {}
@@ -545,6 +545,21 @@ def safe_offsets(spark, sf_dir):
     return progress.safe_offsets(_records(spark, sf_dir))
 
 
+@query(SAFE.format(more="") + "SELECT 'events' AS topic, partition, commit_offset FROM s WHERE commit_offset IS NOT NULL")
+def safe_offsets_stream(spark, sf_dir):
+    """The same from runs of offsets as keyed state: the last safe offset that a micro-batch gave for each partition."""
+    root = shared(spark, "offsets")
+    own = spark.newSession()  # the state store is a setting of the session; the caller's stays as it is
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    records = event_changes(_stream(own, sf_dir, "events")).select("topic", "partition", "offset", (F.col("offset") % 97 != 0).alias("processed"))
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    offsets.stream_safe_offsets(records).writeStream.outputMode("update").foreachBatch(one).option("checkpointLocation", root + "/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("topic", "partition").agg(F.max("commit_offset").alias("commit_offset"))
+
+
 @query(SAFE.format(more="OR event_id % 2 = 0") + "SELECT 'events' AS topic, partition, commit_offset FROM s WHERE commit_offset IS NOT NULL")
 def safe_offsets_after_replay(spark, sf_dir):
     first = _records(spark, sf_dir)

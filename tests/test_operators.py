@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsink.operators import checks, frame, mapping, outcome, progress, project, resolve, route, tree
+from docsink.operators import checks, frame, mapping, order, outcome, progress, project, resolve, route, tree
 from docsink.options import Options
 from docsink.plans import job
 from docsink.sources import changes as source
@@ -342,3 +342,45 @@ def test_depth_and_leaves_of_documents(spark):
     assert [x["d"] for x in rows.select("i", tree.depth_of(F.col("doc")).alias("d")).orderBy("i").collect()] == [3, 2, 1, 0, 1]
     got = sorted((x["i"], tuple(x["path"]), x["leaf"]) for x in tree.leaves(rows, "doc").collect())
     assert got == [(0, ("a", "b", "c"), "1"), (0, ("s",), '"{{{{"'), (1, ("x",), '[{"y":1}]'), (4, ('q"{',), '"\\\\"')]
+
+
+def test_places_and_refusals_of_a_hot_group(spark):
+    """One log partition, and one id with half of all rows, spread over all tasks; the same as a window over the whole group."""
+    r = random.Random(3)
+    rows = [("r", "hot" if i % 2 else f"k{i % 50}", r.randint(0, 10**6), "t", 0, 3 * i + i % 2) for i in range(4000)]
+    actions = spark.createDataFrame(rows, "resource string, id string, version long, topic string, partition int, offset long").repartition(8)
+    for block in (1, 700, order.BLOCK):
+        framed = {x["offset"]: x["batch"] for x in frame.frame_by_count(actions, 7, block).collect()}
+        assert framed == {offset: k // 7 for k, (*_, offset) in enumerate(rows)}
+        most, want = {}, set()
+        for _, i, version, *_, offset in rows:
+            if version <= most.get(i, -1):
+                want.add(offset)
+            most[i] = max(version, most.get(i, -1))
+        assert {x["offset"] for x in resolve.refused(actions, block=block).collect()} == want
+    plan = resolve.refused(actions, block=700)._jdf.queryExecution().optimizedPlan().toString()
+    assert "order_block" in plan
+    spread = actions.where("id = 'hot'").withColumn("b", F.floor(F.col("offset") / 700)).groupBy("b").count()
+    assert spread.count() > 8 and spread.agg(F.max("count")).first()[0] <= 240
+    assert frame.frame_by_count(actions.limit(0), 7).count() == 0 and resolve.refused(actions.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most_bytes, most_rows", [(100, None), (100, 5), (-1, 3), (1, None), (10**9, 7)])
+def test_batches_within_one_log_partition(spark, most_bytes, most_rows):
+    """Parts of a log partition, framed at once, are as one after the other; with rows larger than parts, and of no size."""
+    r = random.Random(most_bytes + (most_rows or 0))
+    sizes = [r.choice([0, 1, 9, 30, 60, 99, 100, 101, 700 if k % 40 == 0 else 5]) for k in range(900)]
+    rows = [("t", 0, 2 * k, n, "clash") for k, n in enumerate(sizes)] + [("t", 1, 5, 40, "x"), ("u", 0, 0, 400, "x")]
+    want, held, count, number = {}, 0, 0, 0
+    for k, n in enumerate(sizes):
+        want["t", 0, 2 * k] = number
+        held, count = held + n, count + 1
+        if (most_bytes != -1 and held >= most_bytes) or (most_rows and count >= most_rows):
+            held, count, number = 0, 0, number + 1
+    want |= {("t", 1, 5): 0, ("u", 0, 0): 0}
+    actions = spark.createDataFrame(rows, "topic string, partition int, offset long, n int, frame_note string").repartition(4)
+    for batches_of_part, block in ((2, 64), (7, 1000), (512, order.BLOCK)):
+        found = frame.frame_by_bytes(actions, "n", most_bytes, most_rows, batches_of_part, block)
+        assert found.columns == [*actions.columns, "batch"]
+        assert {(x["topic"], x["partition"], x["offset"]): x["batch"] for x in found.collect()} == want
+    assert frame.frame_by_bytes(actions.limit(0), "n", most_bytes, most_rows).count() == 0

@@ -1,4 +1,5 @@
 import json
+import random
 import threading
 import time
 from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
@@ -6,12 +7,12 @@ from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
 import pytest
 from pyspark.sql import functions as F
 
-from docsink.operators import checks, frame, resolve
+from docsink.operators import checks, frame, progress, resolve
 from docsink.options import Options
 from docsink.plans import job
 from docsink.sources import bulk, state
 from docsink.sources import changes as source
-from docsink.streaming import bulk_sink, state_sink
+from docsink.streaming import bulk_sink, offsets, state_sink
 
 
 @pytest.fixture
@@ -333,3 +334,64 @@ def test_decoding(spark):
     assert [r["value"]["a"] for r in source.decode_json(rows, "a int").orderBy("offset").collect()] == [1, None]
     assert [r["n"] for r in source.decode_variant(rows).orderBy("offset").select(F.col("value").isNull().alias("n")).collect()] == [False, True]
     assert source.decode_text(rows).schema["value"].dataType.simpleString() == "string"
+
+
+def test_runs_of_offsets():
+    r = random.Random(5)
+    for _ in range(300):
+        a, b = ({r.randint(0, 30) for _ in range(r.randint(0, 15))} for _ in range(2))
+        runs = [offsets.runs_of(list(x)) for x in (a, b)]
+        flat = lambda x: {k for f, e in x for k in range(f, e + 1)}
+        assert flat(runs[0]) == a and flat(offsets.union(*runs)) == a | b and flat(offsets.without(*runs)) == a - b
+        assert offsets.union(*runs) == offsets.runs_of(list(a | b))
+
+
+@pytest.mark.parametrize("batches", [1, 3, 7])
+def test_safe_offsets_across_batches(spark, tmp_path, batches):
+    """Records come in order and are done out of order, some never, some twice; offsets have gaps."""
+    r = random.Random(batches)
+    events = []
+    for p in range(3):
+        seen = [o for o in range(10 * p, 400) if o % 11 != 4]
+        for o in seen:
+            events.append((o, p, o, False))
+            if o % 97 != 50 + p:
+                events.append((o + r.randint(1, 60), p, o, True))
+            if o % 13 == 0:
+                events.append((o + r.randint(61, 90), p, o, False))  # told again as open
+    events.sort(key=lambda x: x[0])
+    frame_of = lambda rows: spark.createDataFrame([("t", p, o, d) for _, p, o, d in rows], "topic string, partition int, offset long, processed boolean")
+    cuts = [len(events) * k // batches for k in range(batches + 1)]
+    for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        frame_of(events[i:j]).coalesce(1).write.parquet(str(tmp_path / "in" / f"{k:02d}"))
+        time.sleep(0.01)
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    records = own.readStream.schema("topic string, partition int, offset long, processed boolean").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+    got, runs = {}, []
+
+    def one(batch, number):
+        for x in batch.collect():
+            assert x["commit_offset"] > got.get(x["partition"], -1)
+            got[x["partition"]] = x["commit_offset"]
+            runs.append(x["n_runs"])
+
+    offsets.stream_safe_offsets(records).writeStream.outputMode("update").foreachBatch(one).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert got == {x["partition"]: x["commit_offset"] for x in progress.safe_offsets(progress.merge_replays(frame_of(events))).collect()}
+    assert max(runs) < 60, "as many runs as gaps"
+
+
+def test_handed_over_partitions_are_forgotten(spark, tmp_path):
+    rows = [[("t", 0, o, True, False) for o in range(5)] + [("t", 1, 0, True, False)], [("t", 0, None, None, True), ("t", 0, 2, True, False), ("t", 0, 3, False, False)], [("t", 0, 3, True, False)]]
+    schema = "topic string, partition int, offset long, processed boolean, closed boolean"
+    for k, own in enumerate(rows):
+        spark.createDataFrame(own, schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(k)))
+        time.sleep(0.01)
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    records = own.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+    got = []
+    offsets.stream_safe_offsets(records).writeStream.outputMode("update").foreachBatch(lambda b, k: got.extend((k, x["partition"], x["commit_offset"]) for x in b.collect())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(got) == [(0, 0, 5), (0, 1, 1), (1, 0, 3), (2, 0, 4)]
