@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import OBJECT
 from .project import record_position
 
 KEY_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
@@ -130,18 +131,52 @@ def stop_if_malformed(bad: DataFrame, options) -> None:
         raise InvalidRecords(f"{MALFORMED}: {first['position']}")
 
 
-def conforms(docs: DataFrame, declared: dict[str, str], text: str = "doc", strict: bool = True) -> DataFrame:
-    """docs with `unknown_fields` and `bad_fields`, by declared field -> Spark SQL type; JSON text in column `text`.
+def _against(node: Column, declared: dict, strict: bool, prefix: str = "") -> tuple[Column, Column]:
+    """(unknown, bad): the paths below a VARIANT object that the declared tree doesn't have, and those whose values don't fit it."""
+    none = F.array().cast("array<string>")
+    fields = F.try_variant_get(node, "$", OBJECT)
+    unknown, bad = [none], [none]
+    if strict:
+        others = F.filter(F.map_keys(fields), lambda k: ~k.isin(*declared)) if declared else F.map_keys(fields)
+        unknown.append(F.transform(others, lambda k: F.concat(F.lit(prefix), k)))
+    for name, kind in declared.items():
+        child = F.try_element_at(fields, F.lit(name))
+        values = F.filter(F.coalesce(F.try_variant_get(child, "$", "array<variant>"), F.array(child)), lambda x: x.isNotNull() & ~F.is_variant_null(x))
+        if isinstance(kind, dict):
+            found = F.transform(values, _fields_against(kind, strict, f"{prefix}{name}."))
+            unknown.append(F.flatten(F.transform(found, lambda x: x["unknown"])))
+            bad.append(F.flatten(F.transform(found, lambda x: x["bad"])))
+        bad.append(F.when(F.exists(values, _unfit(kind)), F.array(F.lit(prefix + name))).otherwise(none))
+    return tuple(F.array_distinct(F.concat(*(F.coalesce(x, none) for x in own))) for own in (unknown, bad))
 
-    Where the text is null or no JSON object, `unknown_fields` is null.
+
+def _fields_against(declared: dict, strict: bool, prefix: str):
+    def of(node: Column) -> Column:
+        unknown, bad = _against(node, declared, strict, prefix)
+        return F.struct(unknown.alias("unknown"), bad.alias("bad"))
+
+    return of
+
+
+def _unfit(kind: str | dict):
+    """Whether a value is no object where one is declared, or one where a type is, or can't be of that type."""
+
+    def of(node: Column) -> Column:
+        is_object = F.try_variant_get(node, "$", OBJECT).isNotNull()
+        return ~is_object if isinstance(kind, dict) else is_object | F.try_variant_get(node, "$", "string").try_cast(kind).isNull()
+
+    return of
+
+
+def conforms(docs: DataFrame, declared: dict, text: str = "doc", strict: bool = True) -> DataFrame:
+    """docs with `unknown_fields` and `bad_fields`, by declared field -> Spark SQL type, or a dict of the fields of an object; JSON text in column `text`.
+
+    Objects are walked at every depth, arrays count as each of their elements, nulls fit all. Names are whole names, dots and
+    all; paths in the result are joined by dots. Where the text is null or no JSON object, `unknown_fields` is null.
     """
-    keys = F.json_object_keys(text)
-    unknown = F.array_except(keys, F.array(*map(F.lit, declared))) if strict else F.when(keys.isNotNull(), F.array().cast("array<string>"))
-    bad = F.filter(
-        F.array(*(F.when(F.get_json_object(text, f"$.{f}").isNotNull() & F.get_json_object(text, f"$.{f}").try_cast(kind).isNull(), F.lit(f)) for f, kind in declared.items())),
-        lambda x: x.isNotNull(),
-    )
-    return docs.withColumn("unknown_fields", unknown).withColumn("bad_fields", bad)
+    parsed = F.try_parse_json(text)
+    unknown, bad = _against(parsed, declared, strict)
+    return docs.withColumn("unknown_fields", F.when(F.try_variant_get(parsed, "$", OBJECT).isNotNull(), unknown)).withColumn("bad_fields", bad)
 
 
 def malformed(docs: DataFrame, policy: str) -> tuple[DataFrame, DataFrame]:

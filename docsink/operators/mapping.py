@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import tree
+
 # The target's name of each type, and the length up to which a text is a keyword.
 TYPES = {
     T.BooleanType: "boolean",
@@ -104,3 +106,26 @@ def infer_fields(docs: DataFrame, text: str = "doc") -> DataFrame:
     """(resource, field, n, type): the fields that the JSON documents of each resource have, and their common type."""
     fields = docs.select("resource", F.explode(F.expr(f"cast(try_parse_json({text}) as map<string, variant>)")).alias("field", "v"))
     return fields.groupBy("resource", "field").agg(F.count("*").alias("n"), F.schema_of_variant_agg("v").alias("type"))
+
+
+#: Kinds of JSON values, as bits that are joined.
+KINDS = {"boolean": 1, "bigint": 2, "double": 4, "string": 8, "object": 16}
+
+
+def infer_tree(docs: DataFrame, text: str = "doc") -> DataFrame:
+    """(resource, path, n, type, conflict): the fields at every depth that the JSON documents of each resource have.
+
+    path is an array of names; arrays count as each of their elements. Whole numbers and others are double together; of other kinds that
+    don't go together type is null and conflict true; a field that is null throughout is `null`. n counts values. A path's kinds are
+    bits, joined in each task before the shuffle.
+    """
+    rows = docs.select("resource", F.col(text).alias("text"))
+    found = tree.nodes(rows, F.col("text"), tree.levels_of(rows, "text", arrays=True), arrays=True).where(F.size(tree.PATH) > 0)
+    name = F.schema_of_variant(F.try_parse_json(tree.VALUE))
+    kind = F.when(F.col(tree.OBJECT), KINDS["object"]).when(name == "BOOLEAN", KINDS["boolean"]).when(name == "BIGINT", KINDS["bigint"]).when(name.rlike("^(DOUBLE|DECIMAL|FLOAT)"), KINDS["double"]).when(name == "STRING", KINDS["string"]).otherwise(0)
+    merged = found.select("resource", tree.PATH, kind.alias("kind")).groupBy("resource", tree.PATH).agg(F.count("*").alias("n"), F.bit_or("kind").alias("kinds"))
+    both = KINDS["bigint"] | KINDS["double"]
+    made = F.when(F.col("kinds") == 0, "null").when(F.col("kinds") == both, "double")
+    for own, bit in KINDS.items():
+        made = made.when(F.col("kinds") == bit, own)
+    return merged.select("resource", tree.PATH, "n", made.alias("type")).withColumn("conflict", F.col("type").isNull())

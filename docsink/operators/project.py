@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import json_put
+from ..functions import json_fields, json_put
 
 
 def doc_id_from_key(key: Column) -> Column:
@@ -85,8 +85,9 @@ def event_time_from_field(doc: Column, kind: T.StructType, fields: Sequence[str]
 
 
 def event_time_of_json(text: Column, fields: Sequence[str]) -> Column:
-    """The same for documents as JSON text: the first listed field that is present and not null, or null."""
-    return F.coalesce(*(F.get_json_object(text, f"$.{f}") for f in fields))
+    """The same for documents as JSON text: the first listed top-level field that is present and not null, or null. A name is a whole name, dots and all."""
+    own = json_fields(text)
+    return F.coalesce(*(F.try_variant_get(F.try_element_at(own, F.lit(f)), "$", "string") for f in fields))
 
 
 def event_time_in_json(text: Column, timestamp: Column, fields: Sequence[str]) -> Column:

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 PATH, VALUE, OBJECT = "path", "leaf", "object"
 
 
-def depth_of(text: Column) -> Column:
-    """How deep objects are nested in JSON text, those within arrays counted too; names and strings don't count."""
+def depth_of(text: Column, arrays: bool = False) -> Column:
+    """How deep objects, with `arrays` objects and arrays, are nested in JSON text, also within arrays; names and strings don't count."""
     bare = F.regexp_replace(F.regexp_replace(text, r"\\.", ""), '"[^"]*"', "")
-    braces = F.split(F.regexp_replace(bare, "[^{}]", ""), "")
+    kept = F.translate(bare, "[]", "{}") if arrays else bare
+    braces = F.split(F.regexp_replace(kept, "[^{}]", ""), "")
     zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(s: Column, c: Column) -> Column:
@@ -26,15 +27,16 @@ def depth_of(text: Column) -> Column:
     return F.coalesce(F.aggregate(braces, zero, step)["most"], F.lit(0))
 
 
-def levels_of(docs: DataFrame, text: str) -> int:
+def levels_of(docs: DataFrame, text: str, arrays: bool = False) -> int:
     """Levels of the deepest document: a pass over the texts."""
-    return docs.agg(F.max(depth_of(F.col(text)))).first()[0] or 0
+    return docs.agg(F.max(depth_of(F.col(text), arrays))).first()[0] or 0
 
 
-def nodes(docs: DataFrame, text: Column, levels: int, once: list[str] = ()) -> DataFrame:
+def nodes(docs: DataFrame, text: Column, levels: int, once: list[str] = (), arrays: bool = False) -> DataFrame:
     """docs without `text`, a row for each node of the text, with path, leaf (JSON text, null for objects) and object.
 
     A text that is null or no JSON object is a root alone, with object false and no leaf. The columns `once` are on the root's row alone.
+    With `arrays` an array is not a leaf: each of its elements is a node of the array's path.
     """
     parsed = F.try_parse_json(text)
     root = F.try_variant_get(parsed, "$", "map<string, variant>")
@@ -46,7 +48,11 @@ def nodes(docs: DataFrame, text: Column, levels: int, once: list[str] = ()) -> D
         own = F.struct(PATH, F.lit(None).cast("variant").alias("v"), F.lit(False).alias("opened"), F.lit(True).alias(OBJECT), *once)
         children = F.transform(F.map_entries(inner), lambda e: open_node(F.concat(F.col(PATH), F.array(e["key"])), e["value"], F.lit(False)))
         same = F.struct(PATH, "v", F.lit(False).alias("opened"), OBJECT, *once)
-        rows = rows.select(*kept, F.explode(F.when(F.col("opened") & inner.isNotNull(), F.concat(F.array(own), children)).otherwise(F.array(same))).alias("node")).select(*kept, "node.*")
+        made = F.when(F.col("opened") & inner.isNotNull(), F.concat(F.array(own), children))
+        if arrays:
+            elements = F.try_variant_get("v", "$", "array<variant>")
+            made = made.when(F.col("opened") & elements.isNotNull(), F.transform(elements, lambda v: open_node(F.col(PATH), v, F.lit(False))))
+        rows = rows.select(*kept, F.explode(made.otherwise(F.array(same))).alias("node")).select(*kept, "node.*")
     return rows.select(*kept, *once, PATH, F.to_json("v").alias(VALUE), OBJECT)
 
 

@@ -384,3 +384,39 @@ def test_batches_within_one_log_partition(spark, most_bytes, most_rows):
         assert found.columns == [*actions.columns, "batch"]
         assert {(x["topic"], x["partition"], x["offset"]): x["batch"] for x in found.collect()} == want
     assert frame.frame_by_bytes(actions.limit(0), "n", most_bytes, most_rows).count() == 0
+
+
+def test_nested_documents_against_declared_fields(spark):
+    declared = {"a.b": "bigint", "a": {"b": "bigint", "c": {"d": "date"}}, "s": "string", "none": {}}
+    docs = [
+        ('{"a.b":1,"a":{"b":"7","c":{"d":"2020-01-02"}},"s":"x"}', [], []),
+        ('{"a.b":"x","a":{"b":1}}', [], ["a.b"]),
+        ('{"a":{"b":"x","z":1,"c":{"d":"no","q":null}}}', ["a.c.q", "a.z"], ["a.b", "a.c.d"]),
+        ('{"a":[{"b":1},{"b":"x"},{"y":2}],"s":["p","q"]}', ["a.y"], ["a.b"]),
+        ('{"a":[{"b":1},5],"s":{"t":1}}', [], ["a", "s"]),
+        ('{"a":null,"s":null,"none":{"k":1},"other":{"deep":1}}', ["none.k", "other"], []),
+        ("{}", [], []),
+    ]
+    rows = spark.createDataFrame([(i, d) for i, (d, *_) in enumerate(docs)] + [(90, None), (91, "[1]"), (92, "no json")], "i int, doc string")
+    got = {x["i"]: x for x in checks.conforms(rows, declared).collect()}
+    for i, (_, unknown, bad) in enumerate(docs):
+        assert (sorted(got[i]["unknown_fields"]), sorted(got[i]["bad_fields"])) == (unknown, bad), docs[i]
+    assert all(got[i]["unknown_fields"] is None for i in (90, 91, 92))
+    loose = checks.conforms(rows.where("i = 2"), declared, strict=False).first()
+    assert loose["unknown_fields"] == [] and sorted(loose["bad_fields"]) == ["a.b", "a.c.d"]
+
+
+def test_nested_fields_are_inferred(spark):
+    docs = [("r", '{"a":{"x":1,"y":null},"l":[1,2.5],"o":[{"k":"v"},{"k":true}]}'), ("r", '{"a":5,"n":null}'), ("r", "no json"), ("r", None), ("q", '{"a":{"x":1.5}}'), ("q", '{"a":{"x":2}}')]
+    got = {(x["resource"], "/".join(x["path"])): (x["n"], x["type"], x["conflict"]) for x in mapping.infer_tree(spark.createDataFrame(docs, "resource string, doc string")).collect()}
+    assert got == {
+        ("r", "a"): (2, None, True), ("r", "a/x"): (1, "bigint", False), ("r", "a/y"): (1, "null", False), ("r", "l"): (2, "double", False), ("r", "o"): (2, "object", False), ("r", "o/k"): (2, None, True), ("r", "n"): (1, "null", False),
+        ("q", "a"): (2, "object", False), ("q", "a/x"): (2, "double", False),
+    }
+    assert mapping.infer_tree(spark.createDataFrame([], "resource string, doc string")).count() == 0
+
+
+def test_names_with_dots(spark):
+    rows = spark.createDataFrame([(1, '{"event.time":"7"}'), (2, '{"event":{"time":"7"}}'), (3, '{"event.time":null,"t":8}')], "i int, doc string")
+    got = [x["at"] for x in rows.select("i", project.event_time_of_json(F.col("doc"), ["event.time", "t"]).alias("at")).orderBy("i").collect()]
+    assert got == ["7", None, "8"]
