@@ -2,9 +2,9 @@
 
 A text is lower-cased and cut into pre-tokens (letters, single digits, runs of other signs); the pieces of a
 pre-token do not depend on what stands around it. So each distinct pre-token of a Python worker goes through the
-tokenizer once, and documents only join their pre-token frequencies to that table. A text with characters
-for which this module's cutting could differ from the tokenizer's (outside printable Latin-1, or with
-a special token's begin) goes through the tokenizer whole.
+tokenizer once, and documents only join their pre-token frequencies to that table. Texts of printable Latin-1
+are cut by an expression of this module; others by the tokenizer's own normaliser and pre-tokenizer, between the special
+tokens that they hold, so the pre-tokens of any script are counted once.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 def pre_tokens(text: str) -> list[str] | None:
-    """The pre-tokens in order, or None where only the tokenizer itself may cut the text."""
+    """The pre-tokens in order, or None where the tokenizer itself is to cut the text."""
     return PRE_TOKEN.findall(text.lower()) if PLAIN.fullmatch(text) and "<|" not in text else None
 
 
@@ -52,10 +52,30 @@ class Pieces:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.ids, self.known = Tokenizer.from_file(path), ids, {}
+        self.tokenizer, self.ids = Tokenizer.from_file(path), ids
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # the last piece of a pre-token says so
         self.ends[[k for piece, k in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.special = {t.content: k for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = {x: np.array([k], "<u4").tobytes() if self.ids else 1 for x, k in self.special.items()}
+
+    def cut(self, text: str) -> list[str]:
+        """The text's pre-tokens and special tokens, in order."""
+        plain = pre_tokens(text)
+        if plain is not None:
+            return plain
+        out = []
+        for part in self.at_special.split(text) if self.at_special else [text]:
+            if part in self.special:
+                out.append(part)
+            elif part:
+                part = self.tokenizer.normalizer.normalize_str(part)
+                out += [part[i:j] for _, (i, j) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
+        return out
 
     def encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -64,22 +84,19 @@ class Pieces:
         """The new ones go through the tokenizer as one text, which is cut at the ends of pre-tokens."""
         new = list(wanted.difference(self.known))
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(wanted)
+            self.forget()
+            new = list(wanted.difference(self.known))
         ids = self.encoded(" ".join(new))
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(new):
-            raise ValueError("this vocabulary does not mark the ends of pre-tokens")
+        if len(stops) != len(new):  # some are told apart from their neighbours by more than a space
+            several = [self.encoded(x) for x in new]
+            ids, stops = np.concatenate([np.zeros(0, "<u4"), *several]), np.cumsum([len(x) for x in several])
         if self.ids:
             own, stops = ids.tobytes(), [0, *(4 * stops).tolist()]
             self.known.update(zip(new, [own[i:j] for i, j in zip(stops, stops[1:])], strict=True))
         else:
             self.known.update(zip(new, np.diff(stops, prepend=0).tolist(), strict=True))
 
-    def whole(self, text: str) -> int | bytes:
-        ids = self.encoded(text)
-        return ids.tobytes() if self.ids else len(ids)
-
 
 @lru_cache(maxsize=2)
 def pieces_of_worker(path: str, ids: bool = False) -> Pieces:
@@ -98,10 +115,10 @@ def _counter(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of_worker(path)
         for ids, texts, sizes in _text_blocks(batches):
-            frequencies = [None if (x := pre_tokens(t)) is None else Counter(x) for t in texts]
-            pieces.learn(set().union(*filter(None, frequencies)))
+            frequencies = [Counter(pieces.cut(t)) for t in texts]
+            pieces.learn(set().union(*frequencies))
             known = pieces.known
-            totals = [pieces.whole(t) if f is None else sum([n * known[x] for x, n in f.items()]) for t, f in zip(texts, frequencies, strict=True)]
+            totals = [sum([n * known[x] for x, n in f.items()]) for f in frequencies]
             yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(totals, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     return count
@@ -118,10 +135,10 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
 
 def ids_of(texts: list[str], pieces: Pieces) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit numbers, by pieces with `ids`."""
-    cut = [pre_tokens(t) for t in texts]
-    pieces.learn(set().union(*filter(None, cut)))
+    cut = [pieces.cut(t) for t in texts]
+    pieces.learn(set().union(*cut))
     of = pieces.known.__getitem__
-    return [pieces.whole(t) if c is None else b"".join(map(of, c)) for t, c in zip(texts, cut, strict=True)]
+    return [b"".join(map(of, c)) for c in cut]
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

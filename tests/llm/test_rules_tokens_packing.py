@@ -4,6 +4,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docsink.llm import packing, quality_rules, tokens
@@ -81,6 +83,26 @@ def test_pre_tokens_are_the_tokenizers(tokenizer):
         assert own == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
 
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("aZ1 '\n.“”’—é\u0301\u0307中ﬁİ<|>"), st.characters(exclude_categories=["Cs"])), max_size=30), max_size=5), st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "’s", "it’s"]), max_size=3))
+@settings(max_examples=200, deadline=None)
+def test_pre_tokens_of_any_script(texts, between):
+    from tokenizers import Tokenizer
+
+    own = tokens.pieces_of_worker(tokens.vocabulary_path(), ids=True)
+    texts = [*texts, "".join(x + y for x, y in zip(texts, between))]
+    for t, ids in zip(texts, tokens.ids_of(texts, own), strict=True):
+        assert ids == np.array(Tokenizer.encode(own.tokenizer, t, add_special_tokens=False).ids, "<u4").tobytes(), t
+
+
+def test_one_curly_quote_does_not_send_a_text_whole(monkeypatch):
+    own = tokens.Pieces(tokens.vocabulary_path())
+    text = "the same few words “again” and again " * 200
+    seen = []
+    monkeypatch.setattr(own, "encoded", lambda x, made=own.encoded: seen.append(len(x)) or made(x))
+    own.learn(set(own.cut(text)))
+    assert sum(own.known[x] for x in own.cut(text)) == len(own.tokenizer.encode(text, add_special_tokens=False).ids) and seen == [len("the same few words “ again ” and") ]
+
+
 def test_remembered_pre_tokens_begin_anew(monkeypatch, tokenizer):
     monkeypatch.setattr(tokens, "REMEMBERED", 5)
     pieces = tokens.Pieces(tokens.vocabulary_path(), ids=True)
