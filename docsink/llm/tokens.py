@@ -3,8 +3,9 @@
 A text is lower-cased and cut into pre-tokens (letters, single digits, runs of other signs); the pieces of a
 pre-token do not depend on what stands around it. So each distinct pre-token of a Python worker goes through the
 tokenizer once, and documents only join their pre-token frequencies to that table. Texts of printable Latin-1
-are cut by an expression of this module; others by the tokenizer's own normaliser and pre-tokenizer, between the special
-tokens that they hold, so the pre-tokens of any script are counted once.
+are cut by an expression of this module; others by the tokenizer's own normaliser and a wider expression, between the special
+tokens that they hold, so the pre-tokens of any script are counted once. Each character is tried on the tokenizer's own pre-tokenizer
+first; a text with one that it takes for another kind is cut by that.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ BLOCK_BYTES = 1 << 20
 PLAIN = re.compile(r"[\t\n\r\x20-\x7E\xA1-\xFF]*")
 PRE_TOKEN = re.compile(r"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|'(?:[stmd]|re|ve|ll)|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\t\n\r\x20a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
 
+ANY_PRE_TOKEN = regex.compile(r"'(?:[stmd]|re|ve|ll)|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -58,6 +62,7 @@ class Pieces:
         self.ends[[k for piece, k in vocabulary.items() if piece.endswith("</w>")]] = True
         self.special = {t.content: k for k, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.trusted: dict[str, bool] = {chr(c): True for c in range(32, 127)}
         self.forget()
 
     def forget(self) -> None:
@@ -74,9 +79,18 @@ class Pieces:
                 out.append(part)
             elif part:
                 part = self.tokenizer.normalizer.normalize_str(part)
-                out += [part[i:j] for _, (i, j) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
+                if all([self.trusted[c] if c in self.trusted else self.trust(c) for c in set(part)]):
+                    out += ANY_PRE_TOKEN.findall(part)
+                else:
+                    out += [part[i:j] for _, (i, j) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part)]
         return out
 
+    def trust(self, c: str) -> bool:
+        """Whether the tokenizer takes a character for the same kind as ANY_PRE_TOKEN does: their tables of characters may be of different years."""
+        probe = f"!{c}{c}"
+        made = [probe[i:j] for _, (i, j) in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)]
+        return self.trusted.setdefault(c, made == ANY_PRE_TOKEN.findall(probe))
+
     def encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
