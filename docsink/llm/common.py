@@ -31,7 +31,16 @@ def written(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     """df as a table in the shared folder: it cuts the lineage and survives lost executors."""
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def remove(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes tables of `written` that nothing will read any more: all that came from them is written."""
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import remove, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,7 +35,8 @@ def components(spark: SparkSession, links: DataFrame, rounds: int = 60) -> DataF
         if new == mark or not new[0]:
             break
         mark = new
-        edges = written(spark, _star(_star(edges, True), False), "links")
+        before, edges = edges, written(spark, _star(_star(edges, True), False), "links")
+        remove(spark, before)
     else:
         raise RuntimeError(f"the components still change after {rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

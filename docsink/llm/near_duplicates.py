@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SpanHash, blocks, splitmix, table, texts_of, utf8, written
+from .common import SpanHash, blocks, remove, splitmix, table, texts_of, utf8, written
 from .components import components
 from .decontaminate import word_hashes
 
@@ -263,7 +263,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     found = those.select("text").mapInArrow(_words, "copy_key binary, words binary").dropDuplicates(["copy_key"])
     words = written(spark, found.join(met.select("copy_key", F.col("text_id").alias("doc")), "copy_key").select("doc", "words"), "words")
     linked = written(spark, verified(stars, words, least), "linked")
-    roots = written(spark, components(spark, linked), "roots")
+    roots = first_roots = written(spark, components(spark, linked), "roots")
 
     # Buckets whose texts are in several components, each set of texts once: there all of them meet, in the tasks.
     placed = members.select("bucket", "doc").join(roots.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
@@ -280,6 +280,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, least: float = SIMILAR
     rooted = copies.join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left").select("copy_key", "doc_id", "n", F.coalesce("root", "text_id").alias("root"))
     least_of = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     classes = written(spark, rooted.join(least_of, "root").select("copy_key", "n", "class_id"), "classes")
+    remove(spark, copies, members, stars, met, words, linked, more, first_roots)
     return _texts_of_rows(signed.select("doc_id", "copy_key"), classes)
 
 
