@@ -30,6 +30,11 @@ HEAVY = 4
 OVERHEAD = 16
 
 
+def _all():
+    """All rows of a table of slots, of which there are at most twice SLOTS."""
+    return Window.partitionBy(F.lit(0))
+
+
 def records(spark: SparkSession, docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Written (doc_id, size, text_crc32, slot, part, row, block): each row's slot and part of it, a number of its own, and the block of input it is in."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -43,8 +48,7 @@ def records(spark: SparkSession, docs: DataFrame, slots: int = SLOTS) -> DataFra
     )
     rows = written(spark, rows, "records")
     sums = rows.groupBy("slot").agg(F.sum("size").alias("bytes"))
-    mean = sums.agg(F.greatest(F.sum("bytes") / F.lit(slots), F.lit(1)).alias("mean"))
-    parts = sums.join(F.broadcast(mean)).where(F.col("bytes") > HEAVY * F.col("mean")).select("slot", F.ceil(F.col("bytes") / F.col("mean")).cast("int").alias("parts"))
+    parts = sums.withColumn("mean", F.greatest(F.sum("bytes").over(_all()) / F.lit(slots), F.lit(1))).where(F.col("bytes") > HEAVY * F.col("mean")).select("slot", F.ceil(F.col("bytes") / F.col("mean")).cast("int").alias("parts"))
     return rows.join(F.broadcast(parts), "slot", "left").withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("row"), "parts").cast("int"))).drop("parts")
 
 
@@ -75,19 +79,19 @@ def rebalanced(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     """slot_map edited for the given sizes (slot, part, bytes): shards over the fair share release their last slots (the largest stay), and
     these, with slots that the map doesn't have and those of shards that are no more, go to the shard with the least bytes, largest first."""
     placed = sizes.join(slot_map, ["slot", "part"], "left").select("slot", "part", "bytes", F.when(F.col("shard") < shards, F.col("shard")).alias("shard"))
-    fair = sizes.agg((F.sum("bytes") / F.lit(shards)).alias("fair"))
     before = Window.partitionBy("shard").orderBy(F.desc("bytes"), "slot", "part")
-    held = placed.withColumn("sum", F.sum("bytes").over(before)).join(F.broadcast(fair)).withColumn("stays", F.col("shard").isNotNull() & (F.col("sum") <= F.col("fair")))
+    fair = F.sum("bytes").over(_all()) / F.lit(shards)
+    held = placed.withColumn("stays", F.col("shard").isNotNull() & (F.sum("bytes").over(before) <= fair))
     return _moved(held, F.sequence(F.lit(0), F.lit(shards - 1)))
 
 
 def grown(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     """slot_map of `shards` shards edited for one more: slots go from the old shards, each down to the new fair share, to the new one and nowhere else."""
     placed = sizes.join(slot_map, ["slot", "part"])
-    fair = sizes.agg((F.sum("bytes") / F.lit(shards + 1)).alias("fair"))
     before = Window.partitionBy("shard").orderBy(F.desc("bytes"), "slot", "part")
-    over = placed.withColumn("sum", F.sum("bytes").over(before)).join(F.broadcast(fair)).withColumn("over", F.col("sum") > F.col("fair"))
-    taken = over.withColumn("new", F.sum(F.when(F.col("over"), F.col("bytes")).otherwise(0)).over(Window.orderBy(F.desc("over"), F.desc("bytes"), "slot", "part")))
+    fair = F.sum("bytes").over(_all()) / F.lit(shards + 1)
+    over = placed.withColumn("fair", fair).withColumn("over", F.sum("bytes").over(before) > F.col("fair"))
+    taken = over.withColumn("new", F.sum(F.when(F.col("over"), F.col("bytes")).otherwise(0)).over(_all().orderBy(F.desc("over"), F.desc("bytes"), "slot", "part")))
     return taken.select("slot", "part", F.when(F.col("over") & (F.col("new") <= F.col("fair")), F.lit(shards)).otherwise(F.col("shard")).alias("shard"))
 
 
