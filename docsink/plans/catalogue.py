@@ -652,7 +652,8 @@ def first_create_stream(spark, sf_dir):
     return state.read_state(spark, root + "/out").select("id", "doc.*")
 
 
-@query("SELECT CAST(user_id AS VARCHAR) AS id, event_id AS version, CASE WHEN event_type = 'error' THEN 'delete' ELSE 'index' END AS op FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1")
+@query("""SELECT CAST(user_id AS VARCHAR) AS id, event_id AS version, CASE WHEN event_type = 'error' THEN 'delete' ELSE 'index' END AS op,
+  CASE WHEN event_type <> 'error' THEN event_type END AS event_type, CASE WHEN event_type <> 'error' THEN value END AS value, CASE WHEN event_type <> 'error' THEN props END AS props FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def stream_latest_versions(spark, sf_dir):
     """Keyed state: each micro-batch emits the writes that became an id's state; the last of these per id is its state."""
     root = shared(spark, "latest")
@@ -664,7 +665,8 @@ def stream_latest_versions(spark, sf_dir):
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
     emitted.writeStream.outputMode("update").foreachBatch(one).option("checkpointLocation", root + "/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out").groupBy("id").agg(F.max("version").alias("version"), F.max_by("op", "version").alias("op"))
+    last = spark.read.parquet(f"{root}/out").groupBy("id").agg(F.max("version").alias("version"), F.max_by(F.struct("op", "doc_json"), "version").alias("won"))
+    return last.select("id", "version", "won.op", F.from_json("won.doc_json", "event_type string, value double, props string").alias("doc")).select("id", "version", "op", "doc.*")
 
 
 @query(MERGED.format(open="max(o_orderkey) FILTER (WHERE o_orderstatus = 'O')", done="max(o_orderkey) FILTER (WHERE o_orderstatus = 'F')", a="open_key", b="done_key"))
@@ -699,6 +701,30 @@ def malformed_in_a_job(spark, sf_dir):
     return counted.unionByName(mapped)
 
 
+@query("""
+WITH p AS (SELECT * FROM (VALUES ('ignore', false), ('warn', false), ('fail', true)) v(policy, stopped))
+SELECT policy, stopped, CASE WHEN stopped THEN 0 ELSE (SELECT count(DISTINCT user_id) FROM events WHERE event_type NOT IN ('error', 'view')) END AS written,
+  (SELECT count(*) FROM events WHERE event_type IN ('error', 'view')) AS malformed FROM p""")
+def malformed_policies(spark, sf_dir):
+    """Under every policy malformed documents are rejects; under `fail` the job stops after they are written."""
+    doc = F.when(F.col("event_type") == "error", '{"k":"text"}').when(F.col("event_type") == "view", '{"other":1}').otherwise(F.col("props"))
+    rows = source.as_changes(table(spark, sf_dir, "events"), topic=F.lit("events"), partition=F.lit(0), offset="event_id", key="user_id", value=doc)
+    out = None
+    for policy in ("ignore", "warn", "fail"):
+        root, stopped = shared(spark, policy), False
+        try:
+            state_sink.apply_changes(rows, root, 0, Options(malformed_policy=policy, declared_fields={"k": "bigint"}))
+        except checks.InvalidRecords:
+            stopped = True
+        kept = state.read_state(spark, root)
+        kinds = [state.read_rejects(spark, root).where("stage = 'write'").select(F.lit("malformed").alias("kind"))] + ([kept.select(F.lit("written").alias("kind"))] if kept is not None else [])
+        for rows_of_kind in kinds:
+            own = rows_of_kind.select(F.lit(policy).alias("policy"), F.lit(stopped).alias("stopped"), "kind")
+            out = own if out is None else out.unionByName(own)
+    count = lambda kind: F.count(F.when(F.col("kind") == kind, 1)).alias(kind)
+    return out.groupBy("policy", "stopped").agg(count("written"), count("malformed"))
+
+
 @query("SELECT 'events' AS resource, path, type FROM (VALUES ('event_type', 'text'), ('value', 'double'), ('props', 'text')) m(path, type) WHERE (SELECT count(*) FROM events) > 0")
 def mappings_of_a_job(spark, sf_dir):
     """Two batches of a job map their resource once, from the values' schema."""
