@@ -641,6 +641,19 @@ def latest_documents_stream(spark, sf_dir):
     return _documents(resolve.live(state.read_state(spark, f"{root}/out")))
 
 
+@query(LATEST)
+def latest_documents_lingering(spark, sf_dir):
+    """The same with micro-batches that wait for more, until nothing new comes."""
+    root = shared(spark, "state")
+    options = Options(null_policy="delete", linger_ms=100)
+    running = state_sink.keep_state(event_changes(_stream(spark, sf_dir, "events")), f"{root}/out", options, f"{root}/checkpoint", linger=True)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return _documents(resolve.live(state.read_state(spark, f"{root}/out")))
+
+
 @query(FIRST_TURN)
 def first_create_stream(spark, sf_dir):
     root = shared(spark, "state")

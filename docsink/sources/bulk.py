@@ -40,15 +40,17 @@ from . import state
 LONGEST_WAIT_MS = 24 * 3600 * 1000
 
 
-def with_retries(call: Callable[[], object], retries: int, backoff_ms: int, sleep=time.sleep, uniform=random.uniform):
-    """call(), again after any exception up to `retries` times; waits are uniform below backoff * 2^attempt."""
+def with_retries(call: Callable[[], object], retries: int, backoff_ms: int, sleep=time.sleep, uniform=random.uniform, most_ms: float = float("inf"), clock=time.monotonic):
+    """call(), again after any exception up to `retries` times, if that begins within `most_ms`; waits are uniform below backoff * 2^attempt."""
+    began = clock()
     for attempt in range(retries + 1):
         try:
             return call()
         except Exception:
-            if attempt == retries:
+            wait = uniform(0, min(LONGEST_WAIT_MS, backoff_ms * 2**attempt)) / 1000
+            if attempt == retries or (clock() - began + wait) * 1000 > most_ms:
                 raise
-            sleep(uniform(0, min(LONGEST_WAIT_MS, backoff_ms * 2**attempt)) / 1000)
+            sleep(wait)
 
 
 def frames(rows: Iterator[tuple], most_rows: int, most_bytes: int) -> Iterator[list[tuple]]:
@@ -136,6 +138,7 @@ class _Writer:
         self.url = options["url"].rstrip("/") + "/_bulk"
         self.rows, self.bytes = int(options.get("batch_size", 2000)), int(options.get("bulk_bytes", 5 << 20))
         self.retries, self.backoff = int(options.get("max_retries", 5)), int(options.get("backoff_ms", 100))
+        self.flush_timeout = float(options.get("flush_timeout_ms", 180_000))
         self.timeout, self.gzip = float(options.get("timeout_s", 3)), options.get("gzip", "false").lower() == "true"
         self.malformed = options.get("malformed_policy", "fail")
         self.streams = options.get("is_stream", "false").lower() == "true"
@@ -163,7 +166,7 @@ class _Writer:
             if self.stopped:
                 yield from ((row, None) for row in batch)
                 continue
-            items = with_retries(lambda b=batch: self.send(b), self.retries, self.backoff).get("items", [])
+            items = with_retries(lambda b=batch: self.send(b), self.retries, self.backoff, most_ms=self.flush_timeout).get("items", [])
             self.calls += 1
             errors = [error_text(next(iter(x.values())).get("error")) for x in items] + ["no answer"] * (len(batch) - len(items))
             yield from zip(batch, errors[: len(batch)])
@@ -263,7 +266,7 @@ class BulkSink(DataSource):
 
 def sink_options(options: Options, url: str, **more: str) -> dict[str, str]:
     """A job's options as those of this sink."""
-    own = {"batch_size": options.batch_size, "bulk_bytes": options.bulk_bytes, "max_retries": options.max_retries, "backoff_ms": options.backoff_ms, "malformed_policy": options.malformed_policy, "is_stream": str(options.is_stream).lower()}
+    own = {"batch_size": options.batch_size, "bulk_bytes": options.bulk_bytes, "max_retries": options.max_retries, "backoff_ms": options.backoff_ms, "malformed_policy": options.malformed_policy, "flush_timeout_ms": options.flush_timeout_ms, "is_stream": str(options.is_stream).lower()}
     return {"url": url, **{k: str(v) for k, v in own.items()}, **more}
 
 

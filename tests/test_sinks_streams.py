@@ -176,6 +176,11 @@ def test_retry_waits():
         bulk.with_retries(fail, 3, 100, waits.append, lambda a, b: b)
     assert len(calls) == 4 and waits == [0.1, 0.2, 0.4]
     bulk.with_retries(lambda: 1, 0, 0)
+    now = iter([0, 0.05, 0.1, 0.35])  # seconds at the begin and after each failure: no new try begins after 600 ms
+    calls.clear()
+    with pytest.raises(OSError):
+        bulk.with_retries(fail, 9, 100, waits.append, lambda a, b: b, most_ms=600, clock=lambda: next(now))
+    assert len(calls) == 3
     assert bulk.with_retries(lambda: 7, 5, 0) == 7
 
 
@@ -213,6 +218,21 @@ def test_a_stream_is_its_batch(spark, tmp_path, files):
     assert {r["resource"]: r["n_docs"] for r in state.doc_counts(kept).collect()} == {"events": 7}
 
 
+def test_a_lingering_stream(spark, tmp_path):
+    """With linger micro-batches wait that long for more; what comes while the query runs is taken up."""
+    data = spark.createDataFrame(events(70), SCHEMA)
+    data.where("o < 40").coalesce(1).write.parquet(str(tmp_path / "in"))
+    options = Options(null_policy="delete", linger_ms=200)
+    running = state_sink.keep_state(envelope(source.file_changes(spark, str(tmp_path / "in"), data.schema)), str(tmp_path / "out"), options, str(tmp_path / "checkpoint"), linger=True)
+    try:
+        running.processAllAvailable()
+        data.where("o >= 40").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert settled(state.read_state(spark, str(tmp_path / "out"))) == settled(resolve.latest_wins(job.actions(checks.accepted(job.tagged(envelope(data), options)), options)))
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     root, options = str(tmp_path), Options(null_policy="delete")
     a, b = (envelope(spark.createDataFrame(x, SCHEMA)) for x in (events(70)[:40], events(70)[40:]))
