@@ -11,7 +11,7 @@ from .common import remove, written
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Each node's neighbours (large: those above it, else those below it and itself) are linked to the least one around it.
 
-    Only minima are gathered for a node, so that a node with very many links is no group in one task.
+    Only minima are gathered for a node; the links of a node with very many meet its minimum in a join, which Spark can split (skew join).
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
