@@ -196,7 +196,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(spark: SparkSession, docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Per piece of each document: where it goes.
 
-    A null or empty text is one piece of one id; repeated rows are packed each; no rows give none; other columns stay out.
+    A null or empty text is one piece of one id; repeated rows, and rows without a doc_id, are packed each; no rows give none; other columns stay out.
     """
     return pack(written(spark, pieces_of(docs, path, capacity), "pieces"), capacity)
 

@@ -178,7 +178,7 @@ def score_of(model: Discriminant, column: str) -> Column:
 def quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
-    A null or empty text is scored by its statistics, which are zeros; repeated rows each have a row; no rows give none;
+    A null or empty text is scored by its statistics, which are zeros; repeated rows each have a row; without a doc_id held_out is null, as it is of neither part; no rows give none;
     with no labels of a class all get the share of the other; other columns stay out. A score at the threshold is 1.
     """
     features = written(spark, measured(docs), "statistics")

@@ -180,7 +180,7 @@ def accuracies(spark: SparkSession, docs: DataFrame, rules: dict = RULES) -> Dat
 def quality_rules(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document: doc_id, its counts, base_failed, kept, posterior.
 
-    A null or empty text has no words and fails; repeated rows each have a row and count each; no rows give none;
+    A null or empty text has no words and fails; repeated rows, and rows without a doc_id, each have a row and count each; no rows give none;
     other columns stay out. Ties at the threshold are kept.
     """
     found = judge(written(spark, measures(docs), "measures"))

@@ -141,7 +141,7 @@ def _counter(path: str):
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """Per document: doc_id, n_bytes, n_tokens, over_limit.
 
-    A null or empty text has no tokens; repeated rows each have a row; no rows give none; other columns stay out.
+    A null or empty text has no tokens; repeated rows, and rows without a doc_id, each have a row; no rows give none; other columns stay out.
     """
     counted = texts_of(docs).mapInArrow(_counter(path or vocabulary_path()), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

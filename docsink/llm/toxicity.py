@@ -177,7 +177,7 @@ def _scorer(chosen: np.ndarray, weights: np.ndarray, intercept: float):
 def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
-    A null or empty text has the intercept's score; repeated rows each have a row; no rows give none; with no labels
+    A null or empty text has the intercept's score; repeated rows each have a row; without a doc_id held_out is null, as it is of neither part; no rows give none; with no labels
     of a class all get the smoothed share of the other; other columns stay out. A score at the threshold is 1.
     """
     scored = texts_of(docs).mapInArrow(_scorer(*train(spark, docs, labels, label, sample)), "doc_id long, score double")
