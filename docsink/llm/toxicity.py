@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier over character n-grams whose features are scaled by naive Bayes log-count ratios.
 
 Learning uses a bounded sample of labelled documents (SAMPLE): Spark counts in how many toxic and other documents
-each hashed n-gram of code points occurs, the n-grams with the strongest ratios (the model's size, FEATURES) come to the driver, and a
+each hashed n-gram of code points occurs, the n-grams with significant ratios (SIGNIFICANT) come to the driver, and a
 logistic regression with ridge penalty is fitted there on the sample's occurrences of these. The penalty is the one with the least log loss over
 three folds of the sample, which has no held-out row. All whole texts are scored.
 """
@@ -21,8 +21,8 @@ from .sampling import thinned
 THRESHOLD = 0.3
 #: Labelled rows that the model learns from, at most: those with the smallest hashes of their ids.
 SAMPLE = 8000
-#: n-grams that the model has weights for: the model's size, as the number of trees or layers is in others.
-FEATURES = 4096
+#: The model has weights for all n-grams whose log-count ratio is so many standard errors from 0, or more.
+SIGNIFICANT = 3.0
 SIZES = (3, 4, 5, 6)
 #: n-grams are told apart by so many bits of a hash.
 BITS = 22
@@ -150,8 +150,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, s
     ratio = F.log(p / q)
     # How far the ratio is from 0, in standard errors.
     strength = F.abs(ratio) / F.sqrt(1 / (F.col("toxic") + SMOOTHING) + 1 / (F.col("clean") + SMOOTHING))
-    best = counts.select("gram", ratio.alias("ratio"), strength.alias("strength")).orderBy(F.desc("strength"), "gram").limit(FEATURES).toPandas()
-    if best.empty:
+    best = counts.select("gram", ratio.alias("ratio"), strength.alias("strength")).where(F.col("strength") >= SIGNIFICANT).orderBy("gram").toPandas()
+    if best.empty:  # at most as many as there are hashes
         return nothing, np.zeros(0), float(np.log(n[1] / n[0]))
     chosen, ratios = best["gram"].to_numpy(), best["ratio"].to_numpy()
     found = seen.mapInArrow(_rows(chosen), "label int, fold int, own array<int>").toPandas()
