@@ -25,6 +25,11 @@ def safe_offsets(records: DataFrame) -> DataFrame:
     return done.groupBy(*PART).agg((F.max("offset") + 1).alias("commit_offset"))
 
 
+def safe_of_runs(done: DataFrame) -> DataFrame:
+    """(topic, partition, commit_offset) of the runs of offsets (first, last) that finished micro-batches have published; what such a batch read is done as a whole."""
+    return done.where("topic is not null").groupBy(*PART).agg((F.max("last") + 1).alias("commit_offset"))
+
+
 def all_or_none_offsets(records: DataFrame) -> DataFrame:
     """After the last offset where all is processed; else no row."""
     return records.groupBy(*PART).agg((F.max("offset") + 1).alias("commit_offset"), F.bool_and("processed").alias("all")).where("all").drop("all")

@@ -283,7 +283,7 @@ def read_rejects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_done(spark: SparkSession, root: str) -> DataFrame:
-    """(topic, partition, first, last, batch): the runs of offsets that are done; progress.safe_of_intervals says what may be committed."""
+    """(topic, partition, first, last, batch): the runs of offsets that are done; progress.safe_of_runs says what may be committed."""
     return _finished_of(spark, root, "done", "topic string, partition int, first long, last long")
 
 

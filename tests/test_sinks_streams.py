@@ -146,6 +146,7 @@ def test_a_streams_outcomes_are_published_once(spark, target, tmp_path):
     want = [(0, "malformed", 0), (2, "invalid", 1), (3, "malformed", 1)]
     assert sorted((r["offset"], r["error_class"], r["batch"]) for r in bulk.read_rejects(spark, str(tmp_path / "out")).collect()) == want
     assert sorted((r["first"], r["last"], r["batch"]) for r in bulk.read_done(spark, str(tmp_path / "out")).collect()) == [(0, 1, 0), (2, 4, 1)]
+    assert [tuple(r) for r in progress.safe_of_runs(bulk.read_done(spark, str(tmp_path / "out"))).collect()] == [("Events", 0, 5)]
     # A commit that comes again takes the place of the one before; what an aborted try staged goes.
     writer = bulk._Stream({"url": url, "outcomes": str(tmp_path / "out")})
     again = bulk.Sent(0, 0, 0, 0, tuple(writer.stage([("Events", 0, 3, "malformed", "again")], [("Events", 0, 2, 4)])))
