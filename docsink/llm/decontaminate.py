@@ -244,14 +244,17 @@ def search(spark: SparkSession, index: DataFrame, items: DataFrame, window: int
     Each row of a repeated doc_id, or without one, is a document of its own.
     """
     blocks_made = [spark.sparkContext.broadcast(r.asDict()) for r in item_windows(spark, items, window, most).toLocalIterator()] or [None]
-    passes = [index.mapInArrow(_finder(block, slop), FOUND) for block in blocks_made]
-    found = passes[0]
-    if passes[1:]:
-        for other in passes[1:]:
-            found = found.unionByName(other)
-        ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
-        found = found.groupBy("segment", "place").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), ids.alias("items"))
-    return found.select("doc_id", "n_words", "spans", "items").mapInArrow(_covered, "doc_id long, n_words long, n_hit long, items array<string>")
+    covered = "doc_id long, n_words long, n_hit long, items array<string>"
+    if len(blocks_made) == 1:
+        find = _finder(blocks_made[0], slop)
+        return index.mapInArrow(lambda batches: _covered(find(batches)), covered)  # one worker to a task
+    found = None
+    for block in blocks_made:
+        one = index.mapInArrow(_finder(block, slop), FOUND)
+        found = one if found is None else found.unionByName(one)
+    ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
+    found = found.groupBy("segment", "place").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), ids.alias("items"))
+    return found.select("doc_id", "n_words", "spans", "items").mapInArrow(_covered, covered)
 
 
 def report(found: DataFrame) -> DataFrame:
