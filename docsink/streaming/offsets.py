@@ -1,13 +1,16 @@
-"""Offsets that are safe to commit, across micro-batches: sets of runs of offsets as keyed state.
+"""Offsets that are safe to commit, across micro-batches: sets of offsets as keyed state.
 
-For each log partition the state has the offset up to which all is committed, and above it the runs of offsets that are done
-and of those that are open. Neighbouring offsets are one run, and what lies below the first open offset is forgotten, so the state's size
-follows the number of gaps and not of records.
+For each log partition the state has the offset up to which all is committed, and above it which offsets are done and which are
+open, as compressed flags by blocks of offsets. What lies below the first open offset is forgotten. A task holds some blocks
+at a time, so its memory follows neither the records nor the gaps, however many runs of offsets there are (a log whose
+partitions have every fourth offset has a run for each).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import zlib
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,6 +20,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 Runs = list[tuple[int, int]]
 
+#: Offsets of a block; blocks that a task holds at most (64 KiB each).
+BLOCK, HELD = 1 << 15, 256
+
 
 def runs_of(offsets: np.ndarray) -> Runs:
     """Runs (first, last) of the offsets."""
@@ -54,46 +60,138 @@ def without(a: Runs, b: Runs) -> Runs:
     return out
 
 
-def advanced(committed: int | None, done: Runs, opened: Runs, new_done: Runs, new_open: Runs) -> tuple[int | None, Runs, Runs]:
-    """The state with new offsets: those that are done stay so, those below what is committed are left out."""
-    if committed is not None:
-        new_done, new_open = (without(x, [(min([committed - 1, *(f for f, _ in x)]), committed - 1)]) for x in (new_done, new_open))
-    done = union(done, new_done)
-    opened = without(union(opened, new_open), done)
-    first_open = opened[0][0] if opened else None
-    safe = [last if first_open is None else min(last, first_open - 1) for first, last in done if first_open is None or first < first_open]
-    if safe:
-        committed = max(safe) + 1 if committed is None else max(committed, max(safe) + 1)
-    return committed, [x for x in done if first_open is not None and x[1] > first_open], opened
+def packed(flags: np.ndarray) -> tuple[bytes]:
+    return (zlib.compress(np.packbits(flags, axis=1).tobytes(), 1),)
+
+
+def unpacked(row: tuple) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(zlib.decompress(bytes(row[0])), np.uint8).reshape(2, -1), axis=1).astype(bool)
+
+
+class Blocks:
+    """Which offsets of a log partition are done and which open, by blocks of BLOCK offsets.
+
+    `bits`, `marks` and `fresh` are map states by block: the two sets, compressed; what the walk over all blocks needs of them; and
+    the sets of the micro-batch alone, where it has more than HELD blocks. What was known counts only after all rows
+    of the micro-batch, as any of them may hand the partition over.
+    """
+
+    def __init__(self, bits, marks, fresh, committed: int | None):
+        self.bits, self.marks, self.fresh, self.committed = bits, marks, fresh, committed
+        self.held: dict[int, np.ndarray] = {}  # two rows of flags by block: done and open
+        self.spilled = False
+
+    def load(self, block: int) -> np.ndarray:
+        return unpacked(self.bits.getValue((block,))) if self.bits.containsKey((block,)) else np.zeros((2, BLOCK), bool)
+
+    def store(self, block: int, flags: np.ndarray) -> None:
+        """Done ones stay so, whatever else was told of them."""
+        done, opened = flags[0], flags[1] & ~flags[0]
+        if not (done.any() or opened.any()):
+            self.drop(block)
+            return
+        self.bits.updateValue((block,), packed(np.stack([done, opened])))
+        at = np.flatnonzero(opened)
+        starts = sum(int(x[0]) + int(np.count_nonzero(x[1:] & ~x[:-1])) for x in (done, opened))
+        last = BLOCK - 1 - int(np.argmax(done[::-1])) if done.any() else -1
+        edges = sum(int(x) << k for k, x in enumerate((done[0], done[-1], opened[0], opened[-1])))
+        self.marks.updateValue((block,), (int(at[0]) if len(at) else -1, last, starts, edges))
+
+    def drop(self, block: int) -> None:
+        if self.bits.containsKey((block,)):
+            self.bits.removeKey((block,))
+            self.marks.removeKey((block,))
+
+    def add(self, offsets: np.ndarray, done: np.ndarray) -> None:
+        own = offsets // BLOCK
+        order = np.argsort(own, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(own[order])) + 1) if len(order) else ():
+            block = int(own[rows[0]])
+            if block not in self.held:
+                if len(self.held) >= HELD:
+                    self.spill()
+                self.held[block] = np.zeros((2, BLOCK), bool)
+            self.held[block][np.where(done[rows], 0, 1), offsets[rows] - block * BLOCK] = True
+
+    def spill(self) -> None:
+        for block, flags in self.held.items():
+            old = unpacked(self.fresh.getValue((block,))) if self.fresh.containsKey((block,)) else False
+            self.fresh.updateValue((block,), packed(flags | old))
+        self.held.clear()
+        self.spilled = True
+
+    def forget(self) -> None:
+        self.committed = None
+        self.bits.clear()
+        self.marks.clear()
+
+    def new(self) -> Iterator[tuple[int, np.ndarray]]:
+        if not self.spilled:
+            yield from self.held.items()
+            return
+        self.spill()
+        for block in array("q", (k for (k,) in self.fresh.keys())):
+            yield block, unpacked(self.fresh.getValue((block,)))
+        self.fresh.clear()
+
+    def advance(self) -> int:
+        """Moves `committed` to after the last done offset below the first open one, and forgets all below that; the number of runs that stay."""
+        for block, flags in self.new():
+            if self.committed is not None:
+                flags[:, : max(0, min(BLOCK, self.committed - block * BLOCK))] = False
+            if flags.any():
+                self.store(block, flags | self.load(block))
+        first = min((k for (k,), (opened, _, _, _) in self.marks.iterator() if opened >= 0), default=None)
+        safe = max((k * BLOCK + last for (k,), (_, last, _, _) in self.marks.iterator() if last >= 0 and (first is None or k < first)), default=None)
+        if first is not None:
+            flags = self.load(first)
+            at = int(np.argmax(flags[1]))
+            if len(below := np.flatnonzero(flags[0, :at])):
+                safe = first * BLOCK + int(below[-1])
+                flags[:, :at] = False
+                self.store(first, flags)
+        if safe is not None:
+            self.committed = safe + 1 if self.committed is None else max(self.committed, safe + 1)
+        gone, n = array("q"), 0
+        edges = [array("q") for _ in range(4)]
+        for (k,), (_, _, starts, own) in self.marks.iterator():
+            if first is None or k < first:
+                gone.append(k)
+                continue
+            n += starts
+            for j in range(4):
+                if own >> j & 1:
+                    edges[j].append(k)
+        if first is None:
+            self.bits.clear()
+            self.marks.clear()
+        else:
+            for k in gone:
+                self.drop(k)
+        begins, ends = (edges[0], edges[2]), (edges[1], edges[3])
+        return n - sum(len(np.intersect1d(np.frombuffer(a, np.int64) - 1, np.frombuffer(b, np.int64))) for a, b in zip(begins, ends, strict=True))
 
 
 class _Progress(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.committed = handle.getValueState("committed", "commit_offset long")
-        self.runs = handle.getListState("runs", "first long, last long, done boolean")
+        self.bits = handle.getMapState("bits", "block long", "flags binary")
+        self.marks = handle.getMapState("marks", "block long", "first_open int, last_done int, runs int, edges int")
+        self.fresh = handle.getMapState("fresh", "block long", "flags binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new_done, new_open, closed = [], [], False
+        blocks, closed = Blocks(self.bits, self.marks, self.fresh, self.committed.get()[0] if self.committed.exists() else None), False
         for frame in rows:
             closed = closed or bool(frame["closed"].any())
             own = frame[~frame["closed"] & frame["offset"].notna()]
-            for flag, out in ((True, new_done), (False, new_open)):
-                out += runs_of(own["offset"][own["processed"] == flag].to_numpy(np.int64))
+            blocks.add(own["offset"].to_numpy(np.int64), own["processed"].to_numpy(bool))
         if closed:
             self.committed.clear()
-            self.runs.clear()
-        before = self.committed.get()[0] if self.committed.exists() else None
-        held: Iterable = list(self.runs.get()) if self.runs.exists() else []
-        done, opened = ([(int(f), int(e)) for f, e, d in held if bool(d) == flag] for flag in (True, False))
-        after, done, opened = advanced(before, sorted(done), sorted(opened), union(new_done, []), union(new_open, []))
-        kept = [(*x, True) for x in done] + [(*x, False) for x in opened]
-        if kept:
-            self.runs.put(kept)
-        else:
-            self.runs.clear()
-        if after is not None and after != before:
-            self.committed.update((after,))
-            yield pd.DataFrame({"topic": [key[0]], "partition": [int(key[1])], "commit_offset": [after], "n_runs": [len(kept)]})
+            blocks.forget()
+        before, n = blocks.committed, blocks.advance()
+        if blocks.committed is not None and blocks.committed != before:
+            self.committed.update((blocks.committed,))
+            yield pd.DataFrame({"topic": [key[0]], "partition": [int(key[1])], "commit_offset": [blocks.committed], "n_runs": [n]})
 
     def close(self) -> None:
         pass

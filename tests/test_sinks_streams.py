@@ -416,3 +416,97 @@ def test_handed_over_partitions_are_forgotten(spark, tmp_path):
     got = []
     offsets.stream_safe_offsets(records).writeStream.outputMode("update").foreachBatch(lambda b, k: got.extend((k, x["partition"], x["commit_offset"]) for x in b.collect())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(got) == [(0, 0, 5), (0, 1, 1), (1, 0, 3), (2, 0, 4)]
+
+
+class _Held:
+    """A keyed state in memory, for a processor without a stream."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def state(self, *_):
+        return _Held()
+
+    getValueState = getListState = getMapState = state
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return self.rows[""]
+
+    def update(self, row):
+        self.rows[""] = row
+
+    put = update
+
+    def clear(self):
+        self.rows = {}
+
+    def containsKey(self, key):
+        return key in self.rows
+
+    def getValue(self, key):
+        return self.rows[key]
+
+    def updateValue(self, key, row):
+        self.rows[key] = row
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+    def keys(self):
+        return iter(list(self.rows))
+
+    def iterator(self):
+        return iter(list(self.rows.items()))
+
+
+def _told(processor, frames):
+    return [tuple(x) for out in processor.handleInputRows(("t", 0), iter(frames), None) for x in out[["commit_offset", "n_runs"]].itertuples(index=False)]
+
+
+def test_offsets_of_blocks_by_brute_force(monkeypatch):
+    """Few and small blocks, hand-overs in any frame, offsets told in any order and again."""
+    import pandas as pd
+
+    monkeypatch.setattr(offsets, "BLOCK", 8, raising=False)
+    monkeypatch.setattr(offsets, "HELD", 2, raising=False)
+    r = random.Random(9)
+    for _ in range(60):
+        processor = offsets._Progress()
+        processor.init(_Held())
+        done, opened, committed = set(), set(), None
+        for batch in range(6):
+            rows = [(r.randint(-20, 20 + 15 * batch) * r.choice((1, 1, 3)), r.random() < 0.8, False) for _ in range(r.randint(0, 40))]
+            if r.random() < 0.2:
+                rows.insert(r.randint(0, len(rows)), (None, False, True))
+                done, opened, committed = set(), set(), None
+            before = committed
+            own = [(o, d) for o, d, c in rows if not c and (committed is None or o >= committed)]
+            done |= {o for o, d in own if d}
+            opened = (opened | {o for o, d in own if not d}) - done
+            first = min(opened, default=None)
+            safe = [o for o in done if first is None or o < first]
+            committed = max([*(o + 1 for o in safe), *([] if committed is None else [committed])], default=None)
+            done = {o for o in done if first is not None and o > first}
+            frames = [pd.DataFrame(rows[k : k + 7], columns=["offset", "processed", "closed"]).astype({"processed": bool, "closed": bool}) for k in range(0, len(rows), 7)]
+            want = [(committed, len(offsets.runs_of(sorted(done))) + len(offsets.runs_of(sorted(opened))))] if committed is not None and committed != before else []
+            assert _told(processor, frames) == want
+
+
+def test_a_run_for_each_offset_takes_little_memory():
+    """Every fourth offset of a log, behind an open one: the sets are held by blocks, not as runs."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    processor, n = offsets._Progress(), 200_000
+    processor.init(_Held())
+    frames = (pd.DataFrame({"offset": 4 * np.arange(k, k + 10_000), "processed": np.arange(k, k + 10_000) != 1, "closed": False}) for k in range(0, n, 10_000))
+    tracemalloc.start()
+    assert _told(processor, frames) == [(1, n - 1)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20, peak
