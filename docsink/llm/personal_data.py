@@ -1,8 +1,8 @@
 """Personal data: high-recall generators propose overlapping spans, boosted trees judge them by format and context.
 
 Fixed formats (the base) always count. Looser generators add candidates: addresses spelled out, digit groups
-inside longer runs, numbers with other separators. The trees learn from a bounded sample of documents. What is positive
-is decided by checks of the kind (`passes`), whichever generator proposed a span; base spans also count spelled in other
+inside longer runs, numbers with other separators. The trees learn from all candidates of all documents: a feature has a few whole
+values, so candidates are counted by their features, and the counts are all that the trees need. What is positive is decided by checks of the kind (`passes`), whichever generator proposed a span; base spans also count spelled in other
 ways, and spoilt ones as negatives, as a corpus may have few of either.
 The threshold is the lowest score from which the candidates of a calibration part are as precise as asked for;
 candidates from there on that overlap nothing accepted are added, best first.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import bisect
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,18 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, texts_of
-from .sampling import thinned
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
-#: Documents with candidates that the trees learn from, at most: those with the smallest hashes of their ids.
-SAMPLE = 5000
-#: Documents that are searched for these, about, for each that is taken: few have candidates.
-SEARCHED = 20
-#: Candidates of one document that the trees learn from, at most: those with the smallest hashes of their places. All are judged.
-SAMPLE_OF_DOC = 50
 PRECISION = 0.99
-ROUNDS, DEPTH, RATE, LEAST, BINS = 40, 3, 0.2, 10, 32
+ROUNDS, DEPTH, RATE, LEAST = 40, 3, 0.2, 10
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN_RE = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -163,13 +157,14 @@ def _class(sign: str) -> int:
 
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
+    """WIDTH whole numbers, each of a few values."""
     span, before = text[start:end], text[max(0, start - 24) : start]
     own = digits_of(span)
     parts = [x for x in re.split(r"[^0-9]+", span) if x]
     return [
         kind,
         float(DIGITS[kind][0] <= len(own) <= DIGITS[kind][1]),
-        len(parts) if kind == IP else 0,
+        min(len(parts), 5) if kind == IP else 0,  # an address has four: five says more
         float(kind == CARD and len(own) <= 32 and luhn(own)) if own else 0.0,
         float(kind == IP and all(len(x) < 4 and int(x) <= 255 for x in parts)) if parts else 0.0,
         float(kind == PHONE and abroad(span)),
@@ -195,29 +190,29 @@ def candidates_in(text: str) -> list[tuple[int, int, int, bool]]:
 
 
 class Trees:
-    """Boosted regression trees for the logistic loss, over binned features."""
+    """Boosted regression trees for the logistic loss, over features of few values; row k stands for n[k] equal ones."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) if len(x) else np.zeros(0) for j in range(x.shape[1])]
-        self.bias, self.trees = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), []
+    def __init__(self, x: np.ndarray, y: np.ndarray, n: np.ndarray):
+        self.cuts = [np.unique(x[:, j])[:-1] for j in range(x.shape[1])]
+        self.bias, self.trees = float(np.log((n @ y + 1) / (n @ (1 - y) + 1))), []
         binned, z = self.bin(x), np.full(len(y), self.bias)
         for _ in range(ROUNDS if len(y) else 0):
             p = 1 / (1 + np.exp(-z))
-            tree = self.grow(binned, y - p, p * (1 - p), np.arange(len(y)), DEPTH)
+            tree = self.grow(binned, n * (y - p), n * p * (1 - p), n, np.arange(len(y)), DEPTH)
             self.trees.append(tree)
             z = z + self.walk(tree, binned)
 
     def bin(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(self.cuts)], axis=1) if len(x) else np.zeros(x.shape, int)
 
-    def grow(self, binned: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, depth: int):
-        whole = (g[rows].sum(), h[rows].sum())
+    def grow(self, binned: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, rows: np.ndarray, depth: int):
+        whole, total = (g[rows].sum(), h[rows].sum()), n[rows].sum()
         gain = lambda a, b: a * a / (b + 1)
         best = (1e-6, None)
-        for j in range(binned.shape[1]) if depth and len(rows) >= 2 * LEAST else ():
+        for j in range(binned.shape[1]) if depth and total >= 2 * LEAST else ():
             own = binned[rows, j]
-            a, b, n = (np.cumsum(np.bincount(own, w, BINS + 1)) for w in (g[rows], h[rows], None))
-            ok = (n >= LEAST) & (len(rows) - n >= LEAST)
+            a, b, count = (np.cumsum(np.bincount(own, w[rows], len(self.cuts[j]) + 1)) for w in (g, h, n))
+            ok = (count >= LEAST) & (total - count >= LEAST)
             gains = np.where(ok, gain(a, b) + gain(whole[0] - a, whole[1] - b) - gain(*whole), 0)
             k = int(np.argmax(gains))
             if gains[k] > best[0]:
@@ -226,7 +221,7 @@ class Trees:
             return RATE * whole[0] / (whole[1] + 1)
         j, k = best[1]
         left = binned[rows, j] <= k
-        return j, k, self.grow(binned, g, h, rows[left], depth - 1), self.grow(binned, g, h, rows[~left], depth - 1)
+        return j, k, self.grow(binned, g, h, n, rows[left], depth - 1), self.grow(binned, g, h, n, rows[~left], depth - 1)
 
     def walk(self, tree, binned: np.ndarray) -> np.ndarray:
         if not isinstance(tree, tuple):
@@ -267,16 +262,18 @@ class Cover:
 class Model:
     """Trees and, by kind, the score from which a candidate is added (over 1: none is)."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, precision: float = PRECISION):
-        part = np.arange(len(y)) % 3 == 2  # calibration
-        self.trees = Trees(x[~part], y[~part])
+    def __init__(self, x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, part: np.ndarray | None = None, precision: float = PRECISION):
+        """n: how many candidates a row stands for (1); part: rows that calibrate (every third)."""
+        n = np.ones(len(y)) if n is None else n
+        part = np.arange(len(y)) % 3 == 2 if part is None else part
+        self.trees = Trees(x[~part], y[~part], n[~part])
         self.thresholds = [2.0] * len(KINDS)
         scores = self.trees.score(x[part])
         for kind in range(len(KINDS)):
             own = x[part][:, 0] == kind
             order = np.argsort(-scores[own], kind="stable")
-            ranked, right = scores[own][order], y[part][own][order]
-            precise = np.cumsum(right) / np.arange(1, len(right) + 1) >= precision
+            ranked, right, many = scores[own][order], y[part][own][order], n[part][own][order]
+            precise = np.cumsum(right * many) / np.cumsum(many) >= precision
             last = np.append(ranked[1:] != ranked[:-1], True)[: len(ranked)]  # equal scores stand or fall together
             if (found := np.flatnonzero(precise & last)).size:
                 below = ranked[found[-1] + 1] if found[-1] + 1 < len(ranked) else 0.0  # between what passes and the next
@@ -299,26 +296,25 @@ class Model:
 
 
 def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, x, y, n): how many candidates have these features and this label, those that calibrate apart."""
+    counts: Counter = Counter()
     for batch in batches:
-        x, y, ids = [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            found = candidates_in(text)
-            if len(found) > SAMPLE_OF_DOC:
-                found = sorted(found, key=lambda c: xxhash.xxh3_64_intdigest(b"%d:%d" % c[:2]))[:SAMPLE_OF_DOC]
-            if found:
-                ids.append(doc_id)
-                cases = [(text, *c[:3]) for c in found] + [(t, c[0], a, b) for c in found if c[3] for t, a, b in variants(text, *c[:3])]
-                x.append([v for c in cases for v in features(*c)])
-                y.append([passes(*c) for c in cases])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(x, pa.list_(pa.float32())), pa.array(y, pa.list_(pa.bool_()))], names=["doc_id", "x", "y"])
-
-
-def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """From the candidates of at most `sample` documents (and SAMPLE_OF_DOC of each), found in about SEARCHED times as many."""
-    rows = thinned(texts_of(docs), F.col("doc_id"), SEARCHED * sample).where(F.col("text").rlike(r"[0-9@]|[\[(]at[\])]")).mapInArrow(_propose, "doc_id long, x array<float>, y array<boolean>")
-    found = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.hash("x")).limit(sample).toPandas()
-    x = np.concatenate([np.asarray(v, float) for v in found["x"]]).reshape(-1, WIDTH) if len(found) else np.zeros((0, WIDTH))
-    return Model(x, np.concatenate([np.asarray(v, float) for v in found["y"]]) if len(found) else np.zeros(0))
+            for kind, start, end, base in candidates_in(text):
+                for k, (t, a, b) in enumerate([(text, start, end), *(variants(text, kind, start, end) if base else ())]):
+                    part = xxhash.xxh3_64_intdigest(f"{doc_id}:{kind}:{start}:{end}:{k}".encode()) % 3 == 2
+                    counts[part, tuple(int(v) for v in features(t, kind, a, b)), passes(t, kind, a, b)] += 1
+    part, x, y = zip(*counts, strict=True) if counts else ((), (), ())
+    columns = [pa.array(part, pa.bool_()), pa.array(x, pa.list_(pa.int32())), pa.array(y, pa.bool_()), pa.array(list(counts.values()), pa.int64())]
+    yield pa.RecordBatch.from_arrays(columns, names=["part", "x", "y", "n"])
+
+
+def train(docs: DataFrame) -> Model:
+    """From all candidates of all documents: a row for each combination of features and label reaches the driver."""
+    rows = texts_of(docs).where(F.col("text").rlike(r"[0-9@]|[\[(]at[\])]")).mapInArrow(_propose, "part boolean, x array<int>, y boolean, n long")
+    found = rows.groupBy("part", "x", "y").agg(F.sum("n").alias("n")).orderBy("part", "x", "y").toPandas()
+    x = np.array(found["x"].tolist(), float).reshape(-1, WIDTH)
+    return Model(x, found["y"].to_numpy(float), found["n"].to_numpy(float), found["part"].to_numpy(bool))
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:

@@ -171,3 +171,26 @@ def test_many_candidates_in_a_long_text():
 
 def test_redaction_covers_overlaps():
     assert personal_data.redacted_text("ab cd ef", [(0, 0, 4), (1, 3, 5), (3, 6, 8)]) == "[EMAIL] [PHONE]"
+
+
+def test_models_learn_from_every_candidate(spark):
+    """No number of documents, nor of candidates of one, is left out, however the rows are dealt out."""
+    rows = [(i, f"call 00 20 79{i % 10} 0958 or mail a{i}@b.org now") for i in range(30)] + [(99, " ".join(f"phone 555 010 {k:04d} x, a{k} [at] b.de;" for k in range(700)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cases = 0
+    for _, text in rows:
+        for kind, start, end, base in personal_data.candidates_in(text):
+            cases += 1 + (len(list(personal_data.variants(text, kind, start, end))) if base else 0)
+    seen, made = [], personal_data.Model.__init__
+
+    def spy(self, x, y, n=None, *more, **named):
+        seen.append((len(y) if n is None else int(n.sum()), x.shape))
+        made(self, x, y, n, *more, **named) if n is not None else made(self, x, y)
+
+    personal_data.Model.__init__ = spy
+    try:
+        models = [personal_data.train(docs.repartition(k)) for k in (1, 7)]
+    finally:
+        personal_data.Model.__init__ = made
+    assert [n for n, _ in seen] == [cases, cases] and cases > 1400 and max(shape[0] for _, shape in seen) < 200
+    assert models[0].thresholds == models[1].thresholds and models[0].trees.trees == models[1].trees.trees
