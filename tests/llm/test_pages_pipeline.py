@@ -202,3 +202,16 @@ def test_stages_decide_by_row(spark, tables):
         assert got.columns == clash.columns and {(r["pipeline_row"], r["pipeline_statistics"]) for r in got.collect()} == {("own", "own")}
     leak = f"{c} {items[0][1]}"
     assert kept("decontamination", [(5001, a), (5001, leak), (None, b), (None, leak)]) == sorted([(5001, a), (None, b)], key=str)
+
+
+def test_personal_data_stage_learns_from_all_rows(spark, tables, monkeypatch):
+    """Rows that share a doc_id or have none, and the many candidates of one text, all count."""
+    from docsink.llm import personal_data
+
+    own = prose(1, 30) + "".join(f" phone 555 010 {k:04d};" for k in range(300))
+    docs = spark.createDataFrame([(i, own, "en", "s", len(own)) for i in (1, 1, None)], spark.read.parquet(f"{tables[0]}/documents.parquet").schema)
+    models = []
+    monkeypatch.setattr(personal_data.Model, "__init__", lambda self, x, y, n=None, *more, **named: models.append(len(y) if n is None else n.sum()) or setattr(self, "spans", None))
+    monkeypatch.setattr(corpus_pipeline, "redact", lambda docs, model: docs)
+    corpus_pipeline.private(spark, docs, tables[0])
+    assert models == [3 * len(personal_data.candidates_in(own))] and models[0] >= 900
