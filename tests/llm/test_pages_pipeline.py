@@ -1,3 +1,7 @@
+import functools
+import json
+import random
+import re
 import time
 
 import numpy as np
@@ -112,6 +116,102 @@ def test_deep_pages_take_linear_time():
     assert html_text.infer([deep, deep])["paths"] != []
 
 
+def fits(rule, content):
+    """By brute force: whether an expression of regular expressions, made of the rule, takes the content."""
+    group = {"": "{}", "?": "(?:{})?", "+": "(?:{})+", "*": "(?:{})*"}
+    return bool(re.fullmatch("".join(group[kind].format("|".join(re.escape(x) + ";" for x in labels)) for kind, labels in rule), "".join(x + ";" for x in content)))
+
+
+def test_contents_are_aligned():
+    def aligned(*contents):
+        return json.loads(html_text.rule_text(functools.reduce(html_text.align_content, ([("", (x,)) for x in c.split()] for c in contents))))
+
+    assert aligned("nav div article footer", "nav article footer") == ["nav", ["?", "div"], "article", "footer"]
+    assert aligned("h1 p p", "h1 p p p p") == ["h1", ["+", "p"]]
+    assert aligned("h1 h2 p p h2 p foot", "h1 h2 p h2 p h2 p ul foot") == ["h1", ["+", "h2", "p"], ["?", "ul"], "foot"]
+    assert aligned("div div div", "div div div") == ["div", "div", "div"]
+    assert aligned("# b # i", "# b # i") == ["#", "b", "#", "i"]
+    assert aligned("# b #", "# i # b # a") == [["+", "#", "b", "i"], ["?", "a"]]
+
+
+def test_rules_take_all_contents_they_were_made_of():
+    r = random.Random(4)
+    exact = 0
+    for trial in range(600):
+        names = "#abcde"[: r.randint(1, 6)]
+        base = [r.choice(names) for _ in range(r.randint(0, 7))]
+        contents = [[x for x in base if r.random() < 0.8] + [r.choice(names) for _ in range(r.choice((0, 0, 1, 3)))] for _ in range(r.randint(1, 6))]
+        models = [[("", (x,)) for x in c] for c in contents]
+        k = r.randint(1, len(models))
+        halves = [functools.reduce(html_text.align_content, part) for part in (models[:k], models[k:]) if part]
+        rule = functools.reduce(html_text.align_content, halves)
+        assert html_text.rule_from(html_text.rule_text(rule)) == rule
+        for labels, at in html_text.where(rule).items():
+            assert len(at) == 1 or not any(rule[i][0] for i in at)
+        for c in contents:
+            slots = html_text.slots_of(rule, c)
+            assert fits(rule, c) and slots is not None and all(x in rule[i][1] for x, i in zip(c, slots, strict=True))
+        for _ in range(20):
+            c = [r.choice(names + "z") for _ in range(r.randint(0, 6))]
+            assert (html_text.slots_of(rule, c) is not None) == fits(rule, c)
+            exact += fits(rule, c)
+    assert exact > 100
+    many = [("", (x,)) for x in "# br".split() * 20_000]
+    began = time.time()
+    assert html_text.rule_text(html_text.align_content([("", ("b",)), *many], [*many, ("", ("i",))])).count("br") == 20_000
+    assert html_text.align_content(many, many[1:]) == [("+", ("#", "br"))]
+    assert time.time() - began < 5
+
+
+def sites():
+    """Two hosts whose pages have no marks, and a long notice that is no repeated block of theirs by name: (rows, texts)."""
+    rows, want = [], {}
+    notice = prose(7000, 150)
+    for i in range(12):
+        text, promo = prose(i, 50 + 4 * i), prose(800 + i, 14)
+        rows.append((2 * i, f"http://plain.org/{i}", f"<html><body><section><p>{notice}</p></section><p>{text}</p><p>{promo}</p>{'' if i % 3 else '<hr><p>End.</p>'}</body></html>"))
+        want[2 * i] = f"{text} {promo}" + ("" if i % 3 else " End.")
+        rows.append((2 * i + 1, f"http://divs.org/{i}", f"<html><body><div><p>{promo}</p></div><div><p>{text}</p><p>{text[::-1]}</p></div><div><p>{promo[::-1]}</p></div></body></html>"))
+        want[2 * i + 1] = f"{text} {text[::-1]}"
+    return rows, want
+
+
+def test_pages_are_read_by_the_aligned_expression(spark, monkeypatch):
+    """The host's strings go and elements are told apart by their place in the rule; without the expression the texts differ."""
+    rows, want = sites()
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.extract(spark, pages).collect()} == want
+    monkeypatch.setattr(html_text, "LOT", 2)  # lots of two, then lots of lots
+    assert {r["page_id"]: r["text"] for r in html_text.extract(spark, pages.repartition(5)).collect()} == want
+    for host in ("plain", "divs"):
+        own = [(i, source) for i, url, source in rows if host in url]
+        made = html_text.infer([source for _, source in own])
+        keys = {functools.reduce(html_text.path_key, p, 0) for p in made["paths"]}
+        for i, source in own:
+            assert html_text.main_text(source, keys, frozenset(made["template"]), frozenset(made["shared"]), html_text.Expression(made["expression"])) == want[i]
+            assert html_text.main_text(source, keys, frozenset(made["template"]), frozenset(made["shared"])) != want[i]
+
+
+def test_expressions_of_hosts(spark, monkeypatch):
+    """The rules of all pages, in lots or not, are those of the list of pages; each takes all contents of its path."""
+    rows = [(f"h{i % 2}", page(i, f"<p>{prose(i, 9)}</p>" * (1 + i % 5) + f"<ul>{'<li>x</li>' * (i % 4)}</ul>" * (i % 3), "<hr>" * (i % 2))) for i in range(40)]
+    pages = spark.createDataFrame(rows, "host string, html string")
+    marked = pages.withColumn("shared", F.array(F.lit("div class=ad"), F.lit("div class=cookie-notice")))
+    for lot in (256, 2):
+        monkeypatch.setattr(html_text, "LOT", lot)
+        got = {(r["host"], r["path"]): (html_text.rule_from(r["rule"]), r["n"]) for r in html_text.rules(spark, marked)[0].collect()}
+        seen = set()
+        for host, source in rows:
+            one = html_text.Page(source, frozenset(("div class=ad", "div class=cookie-notice")))
+            for node, content, _, _ in one.contents:
+                seen.add((host, one.keys[node]))
+                assert fits(got[host, one.keys[node]][0], content)
+        assert seen == set(got) and max(n for _, n in got.values()) == 20
+        if lot == 256:
+            for host in ("h0", "h1"):
+                assert {p: rule for (h, p), (rule, _) in got.items() if h == host} == html_text.infer([s for h, s in rows if h == host])["rules"]
+
+
 @pytest.fixture
 def tables(spark, tmp_path):
     docs, labels, items = [], [], [(i, prose(700 + i, 15)) for i in range(5)]
