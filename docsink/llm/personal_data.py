@@ -4,8 +4,8 @@ Fixed formats (the base) always count. Looser generators add candidates: address
 inside longer runs, numbers with other separators. The trees learn from all candidates of all documents: a feature has a few whole
 values, so candidates are counted by their features, and the counts are all that the trees need. What is positive is decided by checks of the kind (`passes`), whichever generator proposed a span; base spans also count spelled in other
 ways, and spoilt ones as negatives, as a corpus may have few of either.
-The threshold is the lowest score from which the candidates of a calibration part are as precise as asked for;
-candidates from there on that overlap nothing accepted are added, best first.
+The threshold is the lowest score from which candidates are as precise as asked for, each being scored by trees of the other
+folds, so that all candidates calibrate too; candidates from there on that overlap nothing accepted are added, best first.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
 PRECISION = 0.99
 ROUNDS, DEPTH, RATE, LEAST = 40, 3, 0.2, 10
+FOLDS = 3
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN_RE = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -262,17 +263,20 @@ class Cover:
 class Model:
     """Trees and, by kind, the score from which a candidate is added (over 1: none is)."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, part: np.ndarray | None = None, precision: float = PRECISION):
-        """n: how many candidates a row stands for (1); part: rows that calibrate (every third)."""
+    def __init__(self, x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, fold: np.ndarray | None = None, precision: float = PRECISION):
+        """n: how many candidates a row stands for (1); fold: 0 to FOLDS - 1, rows that are scored by the trees of all others (dealt in turn)."""
         n = np.ones(len(y)) if n is None else n
-        part = np.arange(len(y)) % 3 == 2 if part is None else part
-        self.trees = Trees(x[~part], y[~part], n[~part])
+        fold = np.arange(len(y)) % FOLDS if fold is None else fold
+        scores = np.zeros(len(y))
+        for k in range(FOLDS):
+            out = fold == k
+            scores[out] = Trees(x[~out], y[~out], n[~out]).score(x[out])
+        self.trees = Trees(x, y, n)
         self.thresholds = [2.0] * len(KINDS)
-        scores = self.trees.score(x[part])
         for kind in range(len(KINDS)):
-            own = x[part][:, 0] == kind
+            own = x[:, 0] == kind
             order = np.argsort(-scores[own], kind="stable")
-            ranked, right, many = scores[own][order], y[part][own][order], n[part][own][order]
+            ranked, right, many = scores[own][order], y[own][order], n[own][order]
             precise = np.cumsum(right * many) / np.cumsum(many) >= precision
             last = np.append(ranked[1:] != ranked[:-1], True)[: len(ranked)]  # equal scores stand or fall together
             if (found := np.flatnonzero(precise & last)).size:
@@ -296,25 +300,25 @@ class Model:
 
 
 def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, x, y, n): how many candidates have these features and this label, those that calibrate apart."""
+    """(fold, x, y, n): how many candidates of a fold have these features and this label."""
     counts: Counter = Counter()
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             for kind, start, end, base in candidates_in(text):
                 for k, (t, a, b) in enumerate([(text, start, end), *(variants(text, kind, start, end) if base else ())]):
-                    part = xxhash.xxh3_64_intdigest(f"{doc_id}:{kind}:{start}:{end}:{k}".encode()) % 3 == 2
-                    counts[part, tuple(int(v) for v in features(t, kind, a, b)), passes(t, kind, a, b)] += 1
-    part, x, y = zip(*counts, strict=True) if counts else ((), (), ())
-    columns = [pa.array(part, pa.bool_()), pa.array(x, pa.list_(pa.int32())), pa.array(y, pa.bool_()), pa.array(list(counts.values()), pa.int64())]
-    yield pa.RecordBatch.from_arrays(columns, names=["part", "x", "y", "n"])
+                    fold = xxhash.xxh3_64_intdigest(f"{doc_id}:{kind}:{start}:{end}:{k}".encode()) % FOLDS
+                    counts[fold, tuple(int(v) for v in features(t, kind, a, b)), passes(t, kind, a, b)] += 1
+    fold, x, y = zip(*counts, strict=True) if counts else ((), (), ())
+    columns = [pa.array(fold, pa.int32()), pa.array(x, pa.list_(pa.int32())), pa.array(y, pa.bool_()), pa.array(list(counts.values()), pa.int64())]
+    yield pa.RecordBatch.from_arrays(columns, names=["fold", "x", "y", "n"])
 
 
 def train(docs: DataFrame) -> Model:
     """From all candidates of all documents: a row for each combination of features and label reaches the driver."""
-    rows = texts_of(docs).where(F.col("text").rlike(r"[0-9@]|[\[(]at[\])]")).mapInArrow(_propose, "part boolean, x array<int>, y boolean, n long")
-    found = rows.groupBy("part", "x", "y").agg(F.sum("n").alias("n")).orderBy("part", "x", "y").toPandas()
+    rows = texts_of(docs).where(F.col("text").rlike(r"[0-9@]|[\[(]at[\])]")).mapInArrow(_propose, "fold int, x array<int>, y boolean, n long")
+    found = rows.groupBy("fold", "x", "y").agg(F.sum("n").alias("n")).orderBy("fold", "x", "y").toPandas()
     x = np.array(found["x"].tolist(), float).reshape(-1, WIDTH)
-    return Model(x, found["y"].to_numpy(float), found["n"].to_numpy(float), found["part"].to_numpy(bool))
+    return Model(x, found["y"].to_numpy(float), found["n"].to_numpy(float), found["fold"].to_numpy(int))
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:

@@ -315,3 +315,25 @@ def test_personal_data_stage_learns_from_all_rows(spark, tables, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "redact", lambda docs, model: docs)
     corpus_pipeline.private(spark, docs, tables[0])
     assert models == [3 * len(personal_data.candidates_in(own))] and models[0] >= 900
+
+
+def test_personal_data_stage_fits_and_calibrates_on_all_candidates(spark, tables, monkeypatch):
+    """The stage's trees learn from all of them, and all are scored, by trees of the others, for the thresholds."""
+    from docsink.llm import personal_data
+
+    docs = spark.read.parquet(f"{tables[0]}/documents.parquet")
+    cases = 0
+    for r in docs.collect():
+        for kind, start, end, base in personal_data.candidates_in(r["text"]):
+            cases += 1 + (len(list(personal_data.variants(r["text"], kind, start, end))) if base else 0)
+    learnt, made = [], personal_data.Trees.__init__
+
+    def spy(self, x, y, n):
+        learnt.append(int(n.sum()))
+        made(self, x, y, n)
+
+    monkeypatch.setattr(personal_data.Trees, "__init__", spy)
+    monkeypatch.setattr(corpus_pipeline, "redact", lambda docs, model: docs)
+    corpus_pipeline.private(spark, docs, tables[0])
+    *folds, whole = learnt
+    assert whole == cases > 100 and sum(cases - n for n in folds) == cases and all(0 < n < cases for n in folds)
